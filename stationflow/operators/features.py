@@ -79,22 +79,24 @@ def atmospheric_features(df: DataFrame, site: Sequence[str], ts: str, species: s
         return out
     # cyclic features are never missing; only the others need medians
     gaps = [c for c in out.columns if c not in before and c not in cyclic(F.col(ts))]
-    return fill_with_medians(out, site, gaps) if gaps else out
-
-
-def fill_with_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str], default: float = 0.0) -> DataFrame:
-    """Replace NULL by the exact median of the column per key, else by ``default``."""
-    med = ranks.column_medians(df, columns, keys)
-    # one row per key with one column per feature: the pivot values are known, so no extra job
-    wide = med.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("feature") == c, F.col("median"))).alias(f"_med_{i}") for i, c in enumerate(columns)])
-    if keys:
-        out = df.join(wide, list(keys), "left")
-    else:
-        out = df.withColumns({c: wide.select(c).scalar() for c in wide.columns})
+    return fill_series_with_medians(out, site, gaps) if gaps else out
+
+
+def fill_with_medians(df: DataFrame, columns: Sequence[str], default: float = 0.0) -> DataFrame:
+    """Replace NULL by the exact median of the column over all rows, else by ``default``."""
+    med = ranks.column_medians(df, columns)
+    wide = med.agg(*[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(c) for c in columns])
+    return df.withColumns({
+        c: F.coalesce(F.col(c).cast("double"), wide.select(c).scalar(), F.lit(default)) for c in columns})
+
+
+def fill_series_with_medians(df: DataFrame, site: Sequence[str], columns: Sequence[str],
+                             default: float = 0.0) -> DataFrame:
+    """Replace NULL by the median of the column in the site's series, else by ``default``."""
+    out = df.join(ranks.series_medians(df, site, columns), list(site), "left")
     return out.withColumns({
-        c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{i}"), F.lit(default)) for i, c in enumerate(columns)
-    }).drop(*[f"_med_{i}" for i in range(len(columns))])
+        c: F.coalesce(F.col(c).cast("double"), F.col(f"{c}_median"), F.lit(default)) for c in columns
+    }).drop(*[f"{c}_median" for c in columns])
 
 
 def bias_ratio(value: Column, raw: Column, limits: tuple[float, float] = fv.RATIO_LIMITS) -> Column:

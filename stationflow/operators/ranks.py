@@ -2,7 +2,8 @@
 
 Equal values are counted first (map-side combined), so heavily repeated values shrink to one
 row. The distinct values of a group are then cut into value blocks that are ordered
-independently; only block totals are ordered per group.
+independently; only block totals are ordered per group. Quantiles sort just the blocks that
+hold a wanted position.
 """
 
 from __future__ import annotations
@@ -11,33 +12,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-VALUE_BLOCKS = 1024
+BLOCKS_PER_E_FOLD = 256
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, blocks: int = VALUE_BLOCKS) -> DataFrame:
-    """Distinct values per key with ``n_equal``, ``n_upto`` (rows <= value) and ``n_all``."""
-    keys = list(keys)
+def value_block(v: Column, per_e_fold: int = BLOCKS_PER_E_FOLD) -> Column:
+    """Block number that never decreases with the value; about 180 blocks per doubling.
+
+    It depends on the value alone, so a rerun of a lost task cuts the same blocks.
+    """
+    return F.floor(F.signum(v) * F.log1p(F.abs(v) * 1000) * per_e_fold).cast("bigint")
+
+
+def _counted(df: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with counts, and per block: rows before it, its rows, rows of the key."""
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
-    if not keys:
-        base, keys = base.withColumn("_all", F.lit(0)), ["_all"]
     counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n_equal"))
-    bounds = counts.groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("n_equal").alias("n_all"))
-    # log1p is monotone and keeps a long upper tail from filling a single block
-    share = F.log1p(F.col("_v") - F.col("_lo")) / F.nullif(F.log1p(F.col("_hi") - F.col("_lo")), F.lit(0.0))
-    placed = counts.join(bounds, keys).withColumn(
-        "_blk", F.coalesce(F.floor(share * blocks), F.lit(0)).cast("bigint"))
+    counts = counts.withColumn("_blk", value_block(F.col("_v")))
+    totals = counts.groupBy(*keys, "_blk").agg(F.sum("n_equal").alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = totals.select(
+        *keys, "_blk", "_n", (F.sum("_n").over(upto) - F.col("_n")).alias("_off"),
+        F.sum("_n").over(whole).alias("n_all"))
+    return counts, offsets
+
+
+def _ranked(counts: DataFrame, offsets: DataFrame, keys: list[str], value: str) -> DataFrame:
     inside = Window.partitionBy(*keys, "_blk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    totals = placed.groupBy(*keys, "_blk").agg(F.sum("n_equal").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = (
-        placed.withColumn("_cum", F.sum("n_equal").over(inside))
-        .join(offsets, [*keys, "_blk"])
-        .withColumn("n_upto", F.col("_cum") + F.col("_off"))
-    )
-    kept = [k for k in keys if k != "_all"]
-    return out.select(*kept, F.col("_v").alias(value), "n_equal", "n_upto", "n_all")
+    out = counts.join(offsets, [*keys, "_blk"]).withColumn(
+        "n_upto", F.sum("n_equal").over(inside) + F.col("_off"))
+    return out.select(*keys, F.col("_v").alias(value), "n_equal", "n_upto", "n_all")
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Without keys the whole table is one group, named by a constant."""
+    return (df, list(keys)) if keys else (df.withColumn("_all", F.lit(0)), ["_all"])
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values per key with ``n_equal``, ``n_upto`` (rows <= value) and ``n_all``."""
+    df, full = _keyed(df, keys)
+    counts, offsets = _counted(df, full, value)
+    return _ranked(counts, offsets, full, value).drop("_all")
 
 
 def average_rank() -> Column:
@@ -53,15 +70,25 @@ def percent_rank() -> Column:
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact linearly interpolated quantiles, one output column per entry of ``probs``."""
-    vc = value_counts(df, keys, value)
+    df, full = _keyed(df, keys)
+    counts, offsets = _counted(df, full, value)
+
+    def spots(p: float) -> tuple[Column, Column]:
+        pos = (F.col("n_all") - 1) * F.lit(float(p))
+        return F.floor(pos), F.ceil(pos)
+
+    wanted = F.lit(False)
+    for p in probs.values():
+        for at in spots(p):
+            wanted = wanted | ((F.col("_off") <= at) & (at < F.col("_off") + F.col("_n")))
+    ranked = _ranked(counts, offsets.where(wanted), full, value)
     below = F.col("n_upto") - F.col("n_equal")
     aggs = []
     for name, p in probs.items():
-        pos = (F.col("n_all") - 1) * F.lit(float(p))
-        for side, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+        for side, at in zip(("lo", "hi"), spots(p)):
             hit = (below <= at) & (at < F.col("n_upto"))
             aggs.append(F.max(F.when(hit, F.col(value))).alias(f"_{side}_{name}"))
-    out = vc.groupBy(*keys).agg(F.max("n_all").alias("n_all"), *aggs)
+    out = ranked.groupBy(*full).agg(F.max("n_all").alias("n_all"), *aggs)
     cols = []
     for name, p in probs.items():
         pos = (F.col("n_all") - 1) * F.lit(float(p))
@@ -79,3 +106,12 @@ def column_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     long = df.select(*keys, *[F.col(c).cast("double") for c in columns]).unpivot(
         list(keys), list(columns), "feature", "value")
     return median(long, [*keys, "feature"], "value")
+
+
+def series_medians(df: DataFrame, site: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Median of every column per site of an hourly series, as ``<column>_median``.
+
+    For series only: a site holds at most one row per hour (8784 a year), so the built-in
+    aggregate keeps a bounded buffer per site whatever the raw data volume was.
+    """
+    return df.groupBy(*site).agg(*[F.median(c).alias(f"{c}_median") for c in columns])
