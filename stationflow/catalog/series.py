@@ -37,7 +37,7 @@ def flagship_aqi(spark, sf_dir):
     """Hourly means, regular calendar, short gaps filled, NowCast and air-quality indices."""
     gapless = align.hourly_mean_gapless(by_type(spark, sf_dir), SITE, "ts", ["value"])
     out = blocks.with_trailing_frames(gapless, SITE, t.hour_index(F.col("ts")), _aqi_stages())
-    out = out.drop(*windows.NOWCAST_HELPERS)
+    out = out.drop(*windows.HELPERS)
     out = windows.add_overall_index(out)
     return round_columns(out, ["value", "PM25_NowCast_Concentration"])
 
@@ -259,16 +259,14 @@ def nowcast(spark, sf_dir):
     """NowCast on a series with gaps: a gap in the last 12 hours gives no value."""
     stages = windows.nowcast_stages("value", name="nowcast")
     out = blocks.with_trailing_frames(gapless_by_user(spark, sf_dir), SITE, t.hour_index(F.col("ts")), stages)
-    return out.select("site", "ts", r6("nowcast").alias("nowcast"), aqi.sub_index(F.col("nowcast"), "PM2.5").alias("aqi"))
+    return out.select("site", "ts", r6("nowcast").alias("nowcast"), aqi.sub_index("nowcast", "PM2.5").alias("aqi"))
 
 
 @query(f"""SELECT event_id, {index_sql('value', 'PM2.5')} AS pm, {index_sql('value', 'NO2')} AS no2, {index_sql('value', 'O3')} AS o3,
   greatest({index_sql('value', 'PM2.5')}, {index_sql('value', 'NO2')}) AS overall FROM events""")
 def index_from_concentration(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    c = F.col("value")
-    out = ev.select("event_id", aqi.sub_index(c, "PM2.5").alias("pm"), aqi.sub_index(c, "NO2").alias("no2"),
-                    aqi.sub_index(c, "O3").alias("o3"))
+    out = ev.select("event_id", *[aqi.sub_index("value", p).alias(n) for n, p in (("pm", "PM2.5"), ("no2", "NO2"), ("o3", "O3"))])
     return out.withColumn("overall", aqi.overall_index(["pm", "no2"]))
 
 

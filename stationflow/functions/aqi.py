@@ -9,22 +9,27 @@ from pyspark.sql import Column, functions as F
 from ..fixed_values import INDEX_BREAKPOINTS, INDEX_CEILING, INDEX_DECIMALS
 
 
-def sub_index(conc: Column, pollutant: str, truncate: bool = False) -> Column:
-    """Index of one pollutant, linear inside each breakpoint segment, rounded half to even.
+def sub_index(conc: str, pollutant: str, truncate: bool = False) -> Column:
+    """Index of the concentration in column ``conc``, linear inside each breakpoint segment and
+    rounded half to even.
 
     A concentration between two segments has no index unless ``truncate`` first cuts it to
     the number of decimals of the breakpoint table.
     """
     segments = INDEX_BREAKPOINTS[pollutant]
-    c = F.nanvl(conc.cast("double"), F.lit(None).cast("double"))
+    c = f"CAST(`{conc}` AS DOUBLE)"
     if truncate:
-        scale = float(10 ** INDEX_DECIMALS[pollutant])
-        c = F.floor(c * scale + F.lit(1e-9)) / scale
-    out = F.when(c > segments[-1][1], F.lit(INDEX_CEILING)).when(c < segments[0][0], F.lit(0.0))
+        scale = 10 ** INDEX_DECIMALS[pollutant]
+        c = f"(floor({c} * {scale} + 1e-9D) / {scale}D)"
+    cases = [
+        f"WHEN isnan({c}) THEN NULL",
+        f"WHEN {c} > {segments[-1][1]}D THEN {INDEX_CEILING}D",
+        f"WHEN {c} < {segments[0][0]}D THEN 0D",
+    ]
     for c_low, c_high, i_low, i_high in segments:
         slope = (i_high - i_low) / (c_high - c_low)
-        out = out.when(c.between(c_low, c_high), F.rint(slope * (c - c_low) + i_low))
-    return out
+        cases.append(f"WHEN {c} BETWEEN {c_low}D AND {c_high}D THEN rint({slope!r}D * ({c} - {c_low}D) + {i_low})")
+    return F.expr("CASE " + " ".join(cases) + " END")
 
 
 def overall_index(columns: Sequence[str]) -> Column:
@@ -46,19 +51,15 @@ def nowcast_terms(value: str, window, hours: int = 12) -> Column:
     return F.array(*[marked if k == 0 else F.lag(marked, k).over(window) for k in range(hours)])
 
 
-def nowcast_weight(top: Column, low: Column) -> Column:
+def nowcast_weight(top: str, low: str) -> Column:
     """Weight of one hour of age: 1 - range / maximum, at least one half."""
-    return F.greatest(F.lit(0.5), 1 - (top - low) / F.nullif(top, F.lit(0.0)))
+    return F.expr(f"greatest(0.5D, 1 - ({top} - {low}) / nullif({top}, 0D))")
 
 
-def nowcast_mean(terms: Column, weight: Column, top: Column, hours: int = 12) -> Column:
+def nowcast_mean(terms: str, weight: str, top: str, hours: int = 12) -> Column:
     """Mean of ``terms`` weighted by ``weight ** age``; NULL if any value is missing, 0 if all are 0."""
-    total = weights = F.lit(0.0)
+    total = weights = "0D"
     for age in range(hours - 1, -1, -1):
-        total = total * weight + F.coalesce(terms[age], F.lit(0.0))
-        weights = weights * weight + terms[age].isNotNull().cast("double")
-    return (
-        F.when(F.isnan(top), F.lit(None).cast("double"))
-        .when(top == 0, F.lit(0.0))
-        .otherwise(total / F.nullif(weights, F.lit(0.0)))
-    )
+        total = f"({total} * {weight} + coalesce({terms}[{age}], 0D))"
+        weights = f"({weights} * {weight} + CAST({terms}[{age}] IS NOT NULL AS DOUBLE))"
+    return F.expr(f"CASE WHEN isnan({top}) THEN NULL WHEN {top} = 0 THEN 0D ELSE {total} / nullif({weights}, 0D) END")

@@ -2,9 +2,9 @@
 
 Two families, both fitted by distributed jobs:
 
-* site models: one ridge regression per site (or per site and fold). A single combining
-  aggregation collects the sums the normal equations need, a few hundred numbers per site; the
-  small systems are solved in Arrow batches. Leave-one-site-out, k-fold and expanding time
+* site models: one ridge regression per site (or per site and fold). Every Arrow batch is reduced
+  to the sums the normal equations need, a few hundred numbers per site, which are then added
+  up; the small systems are solved in Arrow batches. Leave-one-site-out, k-fold and expanding time
   validation reuse the same sums (all minus one part, or running totals), so no fold
   is fitted by another pass over the data.
 * pooled models: gradient-boosted trees of Spark ML over all sites.
@@ -21,7 +21,9 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -31,24 +33,43 @@ from . import evaluate, features as feat, folds, ranks
 # ---- ridge regression from sums ------------------------------------------------------------
 
 
-def _pairs(n: int) -> list[tuple[int, int]]:
-    """Upper triangle of the (1, features, target) product matrix."""
-    return list(itertools.combinations_with_replacement(range(n), 2))
+PRODUCTS_AT_ONCE = 2_000_000
 
 
 def product_sums(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str) -> DataFrame:
-    """Sums of all products of (1, features, target) per key, as ``s0 .. sm``.
+    """Sums of all products of (1, features, target) per key, as one array ``sums``.
 
-    Rows with a missing feature or target do not take part.
+    Each Arrow batch is reduced to one matrix per key before anything is shuffled, so a large
+    site sends a few matrices instead of its rows. Rows with a missing feature or target do not take part.
     """
-    cols = [F.lit(1.0), *[F.col(f).cast("double") for f in features], F.col(target).cast("double")]
-    full = df.na.drop(subset=[*features, target])
-    return full.groupBy(*keys).agg(*[
-        F.sum(cols[i] * cols[j]).alias(f"s{k}") for k, (i, j) in enumerate(_pairs(len(cols)))])
-
-
-def _sum_columns(sums: DataFrame) -> list[str]:
-    return [c for c in sums.columns if c[0] == "s" and c[1:].isdigit()]
+    keys = list(keys)
+    names = [f"_x{i}" for i in range(len(features) + 1)]
+    rows = df.na.drop(subset=[*features, target]).select(
+        *keys, *[F.col(c).cast("double").alias(n) for c, n in zip([*features, target], names)])
+    size = len(names) + 1
+    step = max(1, PRODUCTS_AT_ONCE // size ** 2)
+
+    def reduce_batches(batches):
+        for batch in batches:
+            for start in range(0, len(batch), step):
+                yield _sum_products(batch.iloc[start:start + step], keys, names)
+
+    kinds = ", ".join(f"`{k}` {t}" for k, t in rows.select(*keys).dtypes)
+    partial = rows.mapInPandas(reduce_batches, f"{kinds}, part ARRAY<DOUBLE>")
+    total = Summarizer.sum(array_to_vector("part"))
+    return partial.groupBy(*keys).agg(vector_to_array(total).alias("sums"))
+
+
+def _sum_products(batch: pd.DataFrame, keys: list[str], names: list[str]) -> pd.DataFrame:
+    """One row per key of a batch: its keys and the flattened product matrix."""
+    code = batch.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+    order = np.argsort(code, kind="stable")
+    x = np.column_stack([np.ones(len(batch)), batch[names].to_numpy(dtype="float64")])[order]
+    starts = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0])
+    products = np.einsum("ni,nj->nij", x, x).reshape(len(x), -1)
+    out = batch[keys].iloc[order[starts]].reset_index(drop=True)
+    out["part"] = list(np.add.reduceat(products, starts, axis=0))
+    return out
 
 
 def solve_ridge(flat: np.ndarray, n_features: int, ridge: float) -> np.ndarray:
@@ -57,9 +78,7 @@ def solve_ridge(flat: np.ndarray, n_features: int, ridge: float) -> np.ndarray:
     Features are standardised within the sums, a feature without variance gets coefficient 0.
     """
     size = n_features + 2
-    full = np.zeros((len(flat), size, size))
-    for k, (i, j) in enumerate(_pairs(size)):
-        full[:, i, j] = full[:, j, i] = flat[:, k]
+    full = flat.reshape(len(flat), size, size)
     n = full[:, 0, 0]
     mean = full[:, 0, 1:] / n[:, None]
     cov = full[:, 1:, 1:] / n[:, None, None] - mean[:, :, None] * mean[:, None, :]
@@ -82,8 +101,8 @@ def _coefficients(sums: DataFrame, keys: Sequence[str], n_features: int, ridge:
         if flat.empty:
             return pd.Series([], dtype=object)
         return pd.Series(list(solve_ridge(np.stack(flat.to_numpy()), n_features, ridge)))
-    flat = F.array(*_sum_columns(sums))
-    return sums.where(F.col("s0") > 0).select(*keys, F.col("s0").cast("bigint").alias("n_train"), solve(flat).alias("coef"))
+    n = F.get("sums", F.lit(0))
+    return sums.where(n > 0.5).select(*keys, F.round(n).cast("bigint").alias("n_train"), solve("sums").alias("coef"))
 
 
 def fit_sites(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str,
@@ -94,10 +113,8 @@ def fit_sites(df: DataFrame, keys: Sequence[str], features: Sequence[str], targe
 
 def linear_prediction(features: Sequence[str], coef: str = "coef") -> Column:
     """Value of the model in ``coef``; a missing feature counts as 0."""
-    out = F.element_at(coef, 1)
-    for i, f in enumerate(features):
-        out = out + F.element_at(coef, i + 2) * F.coalesce(F.col(f).cast("double"), F.lit(0.0))
-    return out
+    terms = [f"{coef}[{i + 1}] * coalesce(CAST(`{f}` AS DOUBLE), 0D)" for i, f in enumerate(features)]
+    return F.expr(" + ".join([f"{coef}[0]", *terms]))
 
 
 def predict_sites(df: DataFrame, models: DataFrame, keys: Sequence[str], features: Sequence[str],
@@ -107,10 +124,6 @@ def predict_sites(df: DataFrame, models: DataFrame, keys: Sequence[str], feature
     return out.withColumn(name, linear_prediction(features)).drop("coef")
 
 
-def _minus(total: str, part: str) -> Column:
-    return F.col(total) - F.col(part)
-
-
 def cross_validate(df: DataFrame, site: Sequence[str], fold: str, features: Sequence[str], target: str,
                    scheme: str, ridge: float = 1e-6, name: str = "prediction") -> DataFrame:
     """Out-of-fold predictions of site models.
@@ -121,21 +134,23 @@ def cross_validate(df: DataFrame, site: Sequence[str], fold: str, features: Sequ
     """
     site = list(site)
     by_fold = product_sums(df, [*site, fold], features, target)
-    cols = _sum_columns(by_fold)
     if scheme == "expanding":
+        # at most one matrix per fold of a site is listed here
         before = Window.partitionBy(*site).orderBy(fold).rowsBetween(Window.unboundedPreceding, -1)
-        train = by_fold.select(*site, fold, *[F.sum(c).over(before).alias(c) for c in cols])
+        earlier = by_fold.withColumn("_e", F.collect_list("sums").over(before)).where(F.size("_e") > 0)
+        added = F.aggregate(F.slice("_e", 2, F.size("_e")), F.get("_e", F.lit(0)),
+                            lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
+        train = earlier.select(*site, fold, added.alias("sums"))
+    elif scheme in ("kfold", "leave_out"):
+        on = site or ["_all"]
+        parts = by_fold if site else by_fold.withColumn("_all", F.lit(0))
+        total = parts.groupBy(*on).agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("_total"))
+        rest = F.zip_with("_total", "sums", lambda a, b: a - b)
+        train = parts.join(total, on).select(*site, fold, rest.alias("sums"))
     else:
-        if scheme == "leave_out" and not site:
-            by_fold = by_fold.withColumn("_all", F.lit(0))
-            total = by_fold.groupBy("_all")
-            on = ["_all"]
-        else:
-            total, on = by_fold.groupBy(*site), site
-        total = total.agg(*[F.sum(c).alias(f"t{c[1:]}") for c in cols])
-        train = by_fold.join(total, on).select(*site, fold, *[_minus(f"t{c[1:]}", c).alias(c) for c in cols])
-    models = _coefficients(train, [*site, fold], len(features), ridge)
-    return predict_sites(df, models, [*site, fold], features, name)
+        raise ValueError(f"unknown scheme {scheme!r}")
+    fitted = _coefficients(train, [*site, fold], len(features), ridge)
+    return predict_sites(df, fitted, [*site, fold], features, name)
 
 
 def fold_scores(predicted: DataFrame, keys: Sequence[str], fold: str, actual: str, prediction: str,

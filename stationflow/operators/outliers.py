@@ -40,28 +40,41 @@ def normalise(df: DataFrame, site: Sequence[str], value: str, name: str) -> Data
     return out.withColumn(name, z).drop("_mean", "_std")
 
 
+def _deviations(df: DataFrame, site: Sequence[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """Median per site, and distances from it as distinct ``(site, _dev)`` with their row counts ``_w``.
+
+    Both come from the distinct values of a site with their counts, so no full row is shuffled for them.
+    """
+    counts = df.select(*site, F.col(value).alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)").groupBy(
+        *site, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    centre = ranks.median(counts, site, "_v", "_med", weight="_w")
+    devs = counts.join(centre, list(site)).select(*site, F.abs(F.col("_v") - F.col("_med")).alias("_dev"), "_w")
+    return centre, devs
+
+
 def robust_score(df: DataFrame, site: Sequence[str], value: str, name: str = "score") -> DataFrame:
     """|x - median| / median absolute deviation per site, with exact medians."""
-    centre = ranks.median(df, site, value, "_med")
-    out = df.join(centre, list(site)).withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
-    spread = ranks.median(out, site, "_dev", "_mad")
-    out = out.join(spread, list(site))
-    score = F.col("_dev") / F.nullif(F.col("_mad"), F.lit(0.0))
-    return out.withColumn(name, F.coalesce(score, F.when(F.col("_dev") > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
-                          ).drop("_med", "_dev", "_mad")
+    centre, devs = _deviations(df, site, value)
+    spread = ranks.median(devs, site, "_dev", "_mad", weight="_w")
+    out = df.join(centre.join(spread, list(site)), list(site))
+    dev = F.abs(F.col(value) - F.col("_med"))
+    flat = F.when(dev > 0, F.lit(float("inf"))).otherwise(F.lit(0.0))
+    return out.withColumn(name, F.coalesce(dev / F.nullif(F.col("_mad"), F.lit(0.0)), flat)).drop("_med", "_mad")
 
 
 def drop_most_isolated(df: DataFrame, site: Sequence[str], value: str, contamination: float = 0.02,
                        min_rows: int = 50) -> DataFrame:
     """Drop the most isolated share of values per site; sites below ``min_rows`` stay whole.
 
-    Isolation is distance from the median. Scaling by the median absolute deviation does not
-    change the order inside a site, so the ranks are taken on the distance itself.
+    Isolation is distance from the median (scaling it by the median absolute deviation would not change the
+    order inside a site). The largest distance that stays is one number per site, so the rows
+    themselves are only joined with one limit per site.
     """
-    centre = ranks.median(df, site, value, "_med")
-    out = df.join(centre, list(site), "left").withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
-    vc = ranks.value_counts(out, site, "_dev").select(
-        *site, "_dev", ranks.percent_rank().alias("_pr"), "n_all")
-    out = out.join(vc, [*site, "_dev"], "left")
-    keep = (F.col("n_all") < min_rows) | (F.col("_pr") <= 1 - contamination) | F.col("_dev").isNull()
+    centre, devs = _deviations(df, site, value)
+    ranked = ranks.value_counts(devs, site, "_dev", weight="_w")
+    limits = ranked.groupBy(*site).agg(
+        F.max(F.when(ranks.percent_rank() <= 1 - contamination, F.col("_dev"))).alias("_limit"),
+        F.max("n_all").alias("_n")).join(centre, list(site))
+    out = df.join(limits, list(site), "left")
+    keep = (F.col("_n") < min_rows) | (F.abs(F.col(value) - F.col("_med")) <= F.col("_limit")) | F.col(value).isNull()
     return out.where(keep).select(*df.columns)

@@ -23,10 +23,15 @@ def value_block(v: Column, per_e_fold: int = BLOCKS_PER_E_FOLD) -> Column:
     return F.floor(F.signum(v) * F.log1p(F.abs(v) * 1000) * per_e_fold).cast("bigint")
 
 
-def _counted(df: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with counts, and per block: rows before it, its rows, rows of the key."""
-    base = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
-    counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n_equal"))
+def _counted(df: DataFrame, keys: list[str], value: str, weight: str | None) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with counts, and per block: rows before it, its rows, rows of the key.
+
+    ``weight`` holds the number of rows a row of ``df`` stands for (one without it).
+    """
+    rows = F.col(weight) if weight else F.lit(1)
+    base = df.select(*keys, F.col(value).cast("double").alias("_v"), rows.alias("_w")).where(
+        "_v IS NOT NULL AND NOT isnan(_v)")
+    counts = base.groupBy(*keys, "_v").agg(F.sum("_w").alias("n_equal"))
     counts = counts.withColumn("_blk", value_block(F.col("_v")))
     totals = counts.groupBy(*keys, "_blk").agg(F.sum("n_equal").alias("_n"))
     upto = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
@@ -50,10 +55,10 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return (df, list(keys)) if keys else (df.withColumn("_all", F.lit(0)), ["_all"])
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
     """Distinct values per key with ``n_equal``, ``n_upto`` (rows <= value) and ``n_all``."""
     df, full = _keyed(df, keys)
-    counts, offsets = _counted(df, full, value)
+    counts, offsets = _counted(df, full, value, weight)
     return _ranked(counts, offsets, full, value).drop("_all")
 
 
@@ -68,10 +73,11 @@ def percent_rank() -> Column:
     return F.coalesce(below / F.nullif(F.col("n_all") - 1, F.lit(0)), F.lit(0.0))
 
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
+              weight: str | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles, one output column per entry of ``probs``."""
     df, full = _keyed(df, keys)
-    counts, offsets = _counted(df, full, value)
+    counts, offsets = _counted(df, full, value, weight)
 
     def spots(p: float) -> tuple[Column, Column]:
         pos = (F.col("n_all") - 1) * F.lit(float(p))
@@ -97,8 +103,9 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
     return out.select(*keys, *cols, F.col("n_all").alias("n"))
 
 
-def median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    return quantiles(df, keys, value, {name: 0.5}).drop("n")
+def median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median",
+           weight: str | None = None) -> DataFrame:
+    return quantiles(df, keys, value, {name: 0.5}, weight).drop("n")
 
 
 def column_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

@@ -46,34 +46,36 @@ def lags_and_rolling(df: DataFrame, site: Sequence[str], ts: str, value: str, la
 
 
 def nowcast_stages(value: str, hours: int = 12, name: str = "PM25_NowCast_Concentration"):
-    top, low = F.col("_top"), F.col("_low")
     return [
         (hours - 1, lambda w: {"_terms": aqi.nowcast_terms(value, w, hours)}),
         (0, lambda w: {"_top": F.array_max("_terms"), "_low": F.array_min("_terms")}),
-        (0, lambda w: {"_weight": aqi.nowcast_weight(top, low)}),
-        (0, lambda w: {name: aqi.nowcast_mean(F.col("_terms"), F.col("_weight"), top, hours)}),
+        (0, lambda w: {"_weight": aqi.nowcast_weight("_top", "_low")}),
+        (0, lambda w: {name: aqi.nowcast_mean("_terms", "_weight", "_top", hours)}),
     ]
 
 
-NOWCAST_HELPERS = ("_terms", "_top", "_low", "_weight")
+HELPERS = ("_terms", "_top", "_low", "_weight", "_mean_NO2", "_mean_O3")
 
 
 def index_stages(species: dict[str, str], avg_hours: dict[str, int] | None = None):
-    """Stages for the index columns of each species: NowCast for PM2.5, rolling mean otherwise."""
+    """Stages for the index columns of each species: NowCast for PM2.5, rolling mean otherwise.
+
+    The caller drops the columns in ``HELPERS``.
+    """
     avg_hours = avg_hours or {}
-    stages = []
+    stages, means, indices = [], {}, {}
     for name, column in species.items():
         if name == "PM2.5":
             stages += nowcast_stages(column)
-            stages.append((0, lambda w: {
-                "PM25_NowCast_AQI": aqi.sub_index(F.col("PM25_NowCast_Concentration"), "PM2.5")}))
+            indices["PM25_NowCast_AQI"] = ("PM25_NowCast_Concentration", name)
         else:
-            n = avg_hours.get(name, 1)
-
-            def rolled(w, name=name, column=column, n=n):
-                mean = F.avg(column).over(w.rowsBetween(-(n - 1), 0))
-                return {f"{name}_AQI": aqi.sub_index(mean, name)}
-            stages.append((n - 1, rolled))
+            means[f"_mean_{name}"] = (column, avg_hours.get(name, 1))
+            indices[f"{name}_AQI"] = (f"_mean_{name}", name)
+    if means:
+        depth = max(n - 1 for _, n in means.values())
+        stages.append((depth, lambda w: {
+            m: F.avg(c).over(w.rowsBetween(-(n - 1), 0)) for m, (c, n) in means.items()}))
+    stages.append((0, lambda w: {out: aqi.sub_index(c, name) for out, (c, name) in indices.items()}))
     return stages
 
 
@@ -83,7 +85,7 @@ def add_indices(df: DataFrame, site: Sequence[str], ts: str, species: dict[str,
     present = {s: c for s, c in species.items() if c in df.columns}
     df, pos = indexed(df, site, ts, by)
     out = blocks.with_trailing_frames(df, site, pos, index_stages(present, avg_hours))
-    return out.drop(*NOWCAST_HELPERS, pos)
+    return out.drop(*HELPERS, pos)
 
 
 def add_overall_index(df: DataFrame, columns: Sequence[str] = ("pm25_aqi", "NO2_AQI", "PM25_NowCast_AQI"),

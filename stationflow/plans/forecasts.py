@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions import times as t
-from ..operators import aggregates, align, blocks, clean, evaluate, features as feat, folds, joins, models, outliers, windows
+from ..operators import aggregates, align, clean, evaluate, features as feat, folds, joins, models, outliers, ranks, windows
 from ..session import cut_lineage
 from .series import combine_versions
 
@@ -61,6 +61,7 @@ def training_rows(model: DataFrame, obs: DataFrame, site: Sequence[str], ts: str
     merged, mode = feat.with_target(merged, species)
     target = "bias_ratio" if mode == "ratio" else "value"
     if remove_outliers:
+        merged = cut_lineage(merged, "features")
         merged = outliers.drop_most_isolated(merged, site, target, contamination)
     return clean.finite_target(merged, target), mode
 
@@ -70,8 +71,8 @@ def site_forecast(model: DataFrame, obs: DataFrame, site: Sequence[str], ts: str
                   scheme: str = "expanding", ridge: float = 1e-3) -> SiteForecast:
     """Bias-corrected series of every site: train, validate over time folds, predict, attach observations.
 
-    The training table is written once to the shared folder: the fold sums, the final fit and
-    the scores all read it.
+    Feature tables are written to the shared folder: fold sums, final fit, scores and the gap
+    filling all read them, and a lost executor does not recompute them.
     """
     if older is not None:
         model = combine_versions(older, model, site, ts)
@@ -93,8 +94,10 @@ def site_forecast(model: DataFrame, obs: DataFrame, site: Sequence[str], ts: str
     tested = tested.withColumn("prediction", back_to_value(mode, raw, "prediction"))
     scores = models.fold_scores(tested, site, "fold", "value", "prediction")
 
-    ready = feat.atmospheric_features(model, site, ts, species)
-    ready = align.fill_all(ready, site, ts, names, _pool_medians(ready, site, names))
+    # engineered columns have no gaps left; only the model's own columns need carrying
+    ready = cut_lineage(feat.atmospheric_features(model, site, ts, species), "prediction-features")
+    own = [c for c in names if c in model.columns]
+    ready = cut_lineage(align.fill_all(ready, site, ts, own, ranks.series_medians(ready, site, own)), "filled")
     out = models.predict_sites(ready, fitted, site, names, "localised")
     out = out.withColumn("localised", back_to_value(mode, raw, "localised"))
     out = align.interpolate_rows(out, site, ts, "localised", fill_limit)
@@ -102,11 +105,6 @@ def site_forecast(model: DataFrame, obs: DataFrame, site: Sequence[str], ts: str
     return SiteForecast(windows.add_overall_index(out), scores, fitted, names)
 
 
-def _pool_medians(df: DataFrame, site: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    from ..operators.ranks import series_medians
-    return series_medians(df, site, columns)
-
-
 def back_to_value(mode: str, raw: str | None, prediction: str) -> Column:
     """Prediction in units of the observation."""
     if mode == "ratio" and raw:

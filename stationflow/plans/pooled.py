@@ -9,9 +9,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
-from ..operators import aggregates, blocks, clean, evaluate, features as feat, folds, joins, models, outliers, ranks, windows
-from ..session import cut_lineage, scratch_path
-from ..sinks import writers
+from ..operators import aggregates, blocks, clean, evaluate, features as feat, folds, joins, models, outliers, windows
+from ..session import cut_lineage
 from .forecasts import back_to_value
 
 
@@ -38,6 +37,7 @@ def training_pool(sites: DataFrame, obs: DataFrame, model: DataFrame, site: str,
     pool, mode = feat.with_target(pool, species)
     target = "bias_ratio" if mode == "ratio" else "value"
     if remove_outliers:
+        pool = cut_lineage(pool, "pool-features")
         pool = outliers.drop_most_isolated(pool, [site], target, contamination)
     pool = cut_lineage(pool.withColumnRenamed(site, "_site").withColumnRenamed(ts, "time"), "pool")
 

@@ -20,6 +20,8 @@ def build_session(app: str = "stationflow", master: str | None = None, **conf: s
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # call sites are looked up for every expression otherwise, which doubles plan building
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     defaults.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in defaults.items():
@@ -30,6 +32,8 @@ def build_session(app: str = "stationflow", master: str | None = None, **conf: s
 def use_utc(spark: SparkSession) -> SparkSession:
     """Naive times are UTC throughout, so the session zone has to be UTC too."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.isModifiable("spark.python.sql.dataFrameDebugging.enabled"):
+        spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
     return spark
 
 
