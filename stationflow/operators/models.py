@@ -16,8 +16,6 @@ import itertools
 import random
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -27,15 +25,13 @@ from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions import linear
 from ..session import shared_folder
 from . import evaluate, features as feat, folds, ranks
 
 # ---- ridge regression from sums ------------------------------------------------------------
 
 
-PRODUCTS_AT_ONCE = 2_000_000
-
-
 def product_sums(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str) -> DataFrame:
     """Sums of all products of (1, features, target) per key, as one array ``sums``.
 
@@ -44,63 +40,17 @@ def product_sums(df: DataFrame, keys: Sequence[str], features: Sequence[str], ta
     """
     keys = list(keys)
     names = [f"_x{i}" for i in range(len(features) + 1)]
-    rows = df.na.drop(subset=[*features, target]).select(
+    rows = df.select(
         *keys, *[F.col(c).cast("double").alias(n) for c, n in zip([*features, target], names)])
-    size = len(names) + 1
-    step = max(1, PRODUCTS_AT_ONCE // size ** 2)
-
-    def reduce_batches(batches):
-        for batch in batches:
-            for start in range(0, len(batch), step):
-                yield _sum_products(batch.iloc[start:start + step], keys, names)
-
+    reduce_batches = linear.batch_reducer(keys, names)
     kinds = ", ".join(f"`{k}` {t}" for k, t in rows.select(*keys).dtypes)
     partial = rows.mapInPandas(reduce_batches, f"{kinds}, part ARRAY<DOUBLE>")
     total = Summarizer.sum(array_to_vector("part"))
     return partial.groupBy(*keys).agg(vector_to_array(total).alias("sums"))
 
 
-def _sum_products(batch: pd.DataFrame, keys: list[str], names: list[str]) -> pd.DataFrame:
-    """One row per key of a batch: its keys and the flattened product matrix."""
-    code = batch.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
-    order = np.argsort(code, kind="stable")
-    x = np.column_stack([np.ones(len(batch)), batch[names].to_numpy(dtype="float64")])[order]
-    starts = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0])
-    products = np.einsum("ni,nj->nij", x, x).reshape(len(x), -1)
-    out = batch[keys].iloc[order[starts]].reset_index(drop=True)
-    out["part"] = list(np.add.reduceat(products, starts, axis=0))
-    return out
-
-
-def solve_ridge(flat: np.ndarray, n_features: int, ridge: float) -> np.ndarray:
-    """Coefficients (intercept first) of one ridge regression per row of product sums.
-
-    Features are standardised within the sums, a feature without variance gets coefficient 0.
-    """
-    size = n_features + 2
-    full = flat.reshape(len(flat), size, size)
-    n = full[:, 0, 0]
-    mean = full[:, 0, 1:] / n[:, None]
-    cov = full[:, 1:, 1:] / n[:, None, None] - mean[:, :, None] * mean[:, None, :]
-    var = np.einsum("kii->ki", cov)[:, :-1]
-    scale = np.sqrt(np.clip(var, 0.0, None))
-    flatline = scale <= 1e-9 * (1.0 + np.abs(mean[:, :-1]))
-    safe = np.where(flatline, 1.0, scale)
-    a = cov[:, :-1, :-1] / (safe[:, :, None] * safe[:, None, :])
-    b = np.where(flatline, 0.0, cov[:, :-1, -1] / safe)
-    a[flatline[:, :, None] | flatline[:, None, :]] = 0.0
-    a += np.eye(n_features) * (ridge + flatline[:, :, None])
-    beta = np.linalg.solve(a, b[:, :, None])[:, :, 0] / safe
-    intercept = mean[:, -1] - (beta * mean[:, :-1]).sum(axis=1)
-    return np.concatenate([intercept[:, None], beta], axis=1)
-
-
 def _coefficients(sums: DataFrame, keys: Sequence[str], n_features: int, ridge: float) -> DataFrame:
-    @F.pandas_udf("array<double>")
-    def solve(flat: pd.Series) -> pd.Series:
-        if flat.empty:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(solve_ridge(np.stack(flat.to_numpy()), n_features, ridge)))
+    solve = F.pandas_udf(linear.ridge_solver(n_features, ridge), "array<double>")
     n = F.get("sums", F.lit(0))
     return sums.where(n > 0.5).select(*keys, F.round(n).cast("bigint").alias("n_train"), solve("sums").alias("coef"))
 

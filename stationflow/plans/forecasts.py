@@ -81,7 +81,7 @@ def site_forecast(model: DataFrame, obs: DataFrame, site: Sequence[str], ts: str
     target = "bias_ratio" if mode == "ratio" else "value"
     raw = feat.species_column(model.columns, species)
     names = [c for c in feat.feature_columns(train, [*fv.NEVER_FEATURES, *site, ts])]
-    fitted = models.fit_sites(train, site, names, target, ridge)
+    fitted = cut_lineage(models.fit_sites(train, site, names, target, ridge), "site-models")
 
     if scheme == "expanding":
         folded = folds.expanding_folds(train, site, ts)
@@ -92,14 +92,15 @@ def site_forecast(model: DataFrame, obs: DataFrame, site: Sequence[str], ts: str
         folded = folds.shuffled_folds(train.join(counted, list(site)), [*site, ts], n).drop("_n")
         tested = models.cross_validate(folded, site, "fold", names, target, "kfold", ridge)
     tested = tested.withColumn("prediction", back_to_value(mode, raw, "prediction"))
-    scores = models.fold_scores(tested, site, "fold", "value", "prediction")
+    tested = cut_lineage(tested.select(*site, ts, "fold", "value", "prediction"), "held-out")
+    scores = cut_lineage(models.fold_scores(tested, site, "fold", "value", "prediction"), "site-scores")
 
     # engineered columns have no gaps left; only the model's own columns need carrying
     ready = cut_lineage(feat.atmospheric_features(model, site, ts, species), "prediction-features")
     own = [c for c in names if c in model.columns]
     ready = cut_lineage(align.fill_all(ready, site, ts, own, ranks.series_medians(ready, site, own)), "filled")
     out = models.predict_sites(ready, fitted, site, names, "localised")
-    out = out.withColumn("localised", back_to_value(mode, raw, "localised"))
+    out = cut_lineage(out.withColumn("localised", back_to_value(mode, raw, "localised")), "predicted")
     out = align.interpolate_rows(out, site, ts, "localised", fill_limit)
     out = joins.attach_observations(out, obs.select(*site, ts, "value"), [*site, ts])
     return SiteForecast(windows.add_overall_index(out), scores, fitted, names)

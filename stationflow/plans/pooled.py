@@ -67,9 +67,11 @@ def train_pooled(pool: DataFrame, log: DataFrame, mode: str, species: str, min_s
     rows = clean.finite_target(pool, target)
     held_out = models.cross_validate(rows, [], "_site", names, target, "leave_out", ridge)
     held_out = held_out.withColumn("prediction", back_to_value(mode, raw, "prediction"))
+    held_out = cut_lineage(held_out.select("_site", "time", "value", "prediction"), "held-out")
     per_site = evaluate.scores(held_out, ["_site"], "value", "prediction").where(F.col("n") >= min_site_rows)
     model = models.fit_trees(rows, names, target, **trees)
     fitted = models.predict_trees(model, rows).withColumn("prediction", back_to_value(mode, raw, "prediction"))
+    fitted = cut_lineage(fitted.select("value", "prediction"), "fitted")
     overall = per_site.agg(F.avg("rmse").alias("cv_rmse"), F.avg("r2").alias("cv_r2"), F.avg("mae").alias("cv_mae"),
                            F.count(F.lit(1)).alias("n_sites"))
     train = evaluate.scores(fitted, [], "value", "prediction").select(F.col("r2").alias("train_r2"), F.col("n").alias("n_train"))

@@ -38,9 +38,10 @@ def train_sites(merged: DataFrame, site: Sequence[str], ts: str, value: str = "v
     target = feat.increment_target(F.col(value), base, log)
     rows = folds.train_test(rows.withColumn("_y", target), [*site, ts], test_share)
     rows = cut_lineage(rows, "site-training")
-    fitted = models.fit_sites(rows.where("part = 'train'"), site, names, "_y", ridge)
+    fitted = cut_lineage(models.fit_sites(rows.where("part = 'train'"), site, names, "_y", ridge), "site-models")
     predicted = models.predict_sites(rows, fitted, site, names, "_p")
     predicted = predicted.withColumn("prediction", feat.invert_increment(F.col("_p"), base, log))
+    predicted = cut_lineage(predicted.select(*site, "part", value, "prediction"), "site-predictions")
     both = [*site, "part"]
     scores = evaluate.scores(predicted, both, value, "prediction").join(
         evaluate.normalised_errors(predicted, both, value, "prediction"), both)
