@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import times as t
-from ..operators import align
-from ..session import scratch_path, use_utc
+from ..session import scratch_path
 from ..streaming import feeds
 from .data import HOURLY_TYPE_SQL, SPINE_SQL, hourly_by_type, nowcast_sql, r6, round_columns, table
 from .registry import query
@@ -53,3 +51,18 @@ def stream_ingest(spark, sf_dir):
     _finish(feeds.append_readings(src, path, scratch_path(spark, "checkpoint"), "sensor", "ts"), spark)
     out = feeds.read_readings(spark, path, "sensor", "ts")
     return out.select("sensor", "ts", F.lit(True).alias("present"))
+
+
+@query(f"""WITH {HOURLY_TYPE_SQL}, {SPINE_SQL}
+SELECT site, ts, R6(nowcast) AS nowcast FROM {nowcast_sql('g', 'value')} WHERE value IS NOT NULL""")
+def stream_nowcast(spark, sf_dir):
+    """NowCast with twelve hours of state per site over a stream of hourly means."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    hourly = scratch_path(spark, "hourly-input")
+    hourly_by_type(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(hourly)
+    src = feeds.file_stream(spark, hourly, "site STRING, ts TIMESTAMP, value DOUBLE")
+    path = scratch_path(spark, "nowcast")
+    _finish(feeds.append_to_table(feeds.streaming_nowcast(src), path, scratch_path(spark, "checkpoint")), spark)
+    out = spark.read.schema("site STRING, ts TIMESTAMP, value DOUBLE, nowcast DOUBLE").parquet(path)
+    return out.select("site", F.col("ts").cast("timestamp_ntz").alias("ts"), r6("nowcast").alias("nowcast"))

@@ -6,15 +6,10 @@ live below the caller's path, normally the shared folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
-from ..functions import times as t
+from ..functions import nowcast_state, times as t
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType | str, file_glob: str | None = None,
@@ -82,58 +77,17 @@ def latest_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
 
 # ---- NowCast with state --------------------------------------------------------------------
 
-NOWCAST_OUTPUT = "site STRING, ts TIMESTAMP, value DOUBLE, nowcast DOUBLE"
-HOURS = 12
-
-
-def weighted_mean(values: list[float]) -> float | None:
-    """NowCast of values in time order; NaN anywhere gives none, all zero gives 0."""
-    window = pd.Series(values, dtype="float64").to_numpy()
-    if pd.isna(window).any():
-        return None
-    top = window.max()
-    if top == 0:
-        return 0.0
-    weight = max(0.5, 1 - (top - window.min()) / top)
-    weights = weight ** pd.RangeIndex(len(window) - 1, -1, -1).to_numpy()
-    return float((weights * window).sum() / weights.sum())
-
-
-class NowCastProcessor(StatefulProcessor):
-    """Keeps the last twelve hourly values of a site; a missing hour counts as a missing value."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._buffer = handle.getValueState("hours", "times ARRAY<TIMESTAMP>, vals ARRAY<DOUBLE>")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timer_values: Any) -> Iterator[pd.DataFrame]:
-        state = self._buffer.get() if self._buffer.exists() else None
-        times = [pd.Timestamp(x).tz_localize(None) for x in state[0]] if state else []
-        values = [float("nan") if v is None else float(v) for v in state[1]] if state else []
-        # the rows of a site and trigger arrive in chunks of bounded size and any order
-        new = pd.concat(list(rows), ignore_index=True).sort_values("ts")
-        out = []
-        for ts, value in zip(new["ts"], new["value"]):
-            ts = pd.Timestamp(ts).tz_localize(None)
-            if times and ts <= times[-1]:
-                continue
-            while times and ts - times[-1] > pd.Timedelta(hours=1) and len(values) < 2 * HOURS:
-                times.append(times[-1] + pd.Timedelta(hours=1))
-                values.append(float("nan"))
-            if times and ts - times[-1] > pd.Timedelta(hours=1):
-                times, values = [ts - pd.Timedelta(hours=k) for k in range(HOURS - 1, 0, -1)], [float("nan")] * (HOURS - 1)
-            times.append(ts)
-            values.append(float("nan") if pd.isna(value) else float(value))
-            times, values = times[-HOURS:], values[-HOURS:]
-            out.append((key[0], ts, values[-1], weighted_mean(values)))
-        if times:
-            self._buffer.update((times, values))
-        yield pd.DataFrame(out, columns=["site", "ts", "value", "nowcast"])
-
-    def close(self) -> None:
-        pass
-
-
 def streaming_nowcast(hourly: DataFrame) -> DataFrame:
-    """NowCast over a stream of hourly rows ``site, ts, value`` whose hours arrive in order."""
+    """NowCast over a stream of hourly rows ``site, ts, value`` whose hours arrive in order.
+
+    Needs the RocksDB state store. A site keeps twelve values of state, whatever its history.
+    """
     return hourly.groupBy("site").transformWithStateInPandas(
-        statefulProcessor=NowCastProcessor(), outputStructType=NOWCAST_OUTPUT, outputMode="Append", timeMode="None")
+        statefulProcessor=nowcast_state.NowCastProcessor(), outputStructType=nowcast_state.OUTPUT, outputMode="Append",
+        timeMode="None")
+
+
+def append_to_table(result: DataFrame, path: str, checkpoint: str):
+    """Run an append stream to its end into Parquet."""
+    return result.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).start(path)
