@@ -42,13 +42,13 @@ def overall_index(columns: Sequence[str]) -> Column:
 
 
 def nowcast_terms(value: str, window, hours: int = 12) -> Column:
-    """The last ``hours`` values of ``window`` as an array whose index is the age in rows.
+    """The last ``hours`` values of ``window`` as an array, oldest first.
 
     Read as lags, so no frame is collected. A missing value is marked NaN and thereby told apart
     from "before the start of the series" (NULL).
     """
     marked = F.coalesce(F.col(value), F.lit(float("nan")))
-    return F.array(*[marked if k == 0 else F.lag(marked, k).over(window) for k in range(hours)])
+    return F.array(*[marked if k == 0 else F.lag(marked, k).over(window) for k in range(hours - 1, -1, -1)])
 
 
 def nowcast_weight(top: str, low: str) -> Column:
@@ -56,10 +56,13 @@ def nowcast_weight(top: str, low: str) -> Column:
     return F.expr(f"greatest(0.5D, 1 - ({top} - {low}) / nullif({top}, 0D))")
 
 
-def nowcast_mean(terms: str, weight: str, top: str, hours: int = 12) -> Column:
-    """Mean of ``terms`` weighted by ``weight ** age``; NULL if any value is missing, 0 if all are 0."""
-    total = weights = "0D"
-    for age in range(hours - 1, -1, -1):
-        total = f"({total} * {weight} + coalesce({terms}[{age}], 0D))"
-        weights = f"({weights} * {weight} + CAST({terms}[{age}] IS NOT NULL AS DOUBLE))"
-    return F.expr(f"CASE WHEN isnan({top}) THEN NULL WHEN {top} = 0 THEN 0D ELSE {total} / nullif({weights}, 0D) END")
+def nowcast_mean(terms: str, weight: str, top: str) -> Column:
+    """Mean of ``terms`` weighted by ``weight ** age``; NULL if any value is missing, 0 if all are 0.
+
+    Folding the array keeps the generated code small; written out per hour it outgrows what the
+    JVM compiles.
+    """
+    mean = f"""aggregate({terms}, named_struct('t', 0D, 'n', 0D),
+      (a, x) -> named_struct('t', a.t * {weight} + coalesce(x, 0D), 'n', a.n * {weight} + if(x IS NULL, 0D, 1D)),
+      a -> a.t / nullif(a.n, 0D))"""
+    return F.expr(f"CASE WHEN isnan({top}) THEN NULL WHEN {top} = 0 THEN 0D ELSE {mean} END")

@@ -50,7 +50,7 @@ def nowcast_stages(value: str, hours: int = 12, name: str = "PM25_NowCast_Concen
         (hours - 1, lambda w: {"_terms": aqi.nowcast_terms(value, w, hours)}),
         (0, lambda w: {"_top": F.array_max("_terms"), "_low": F.array_min("_terms")}),
         (0, lambda w: {"_weight": aqi.nowcast_weight("_top", "_low")}),
-        (0, lambda w: {name: aqi.nowcast_mean("_terms", "_weight", "_top", hours)}),
+        (0, lambda w: {name: aqi.nowcast_mean("_terms", "_weight", "_top")}),
     ]
 
 
