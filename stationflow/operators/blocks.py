@@ -86,16 +86,17 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], ts: str, values: Sequenc
         return F.when(F.col(v).isNotNull(),
                       F.struct(F.col("_rn").alias("rn"), F.col(ts).alias("t"), F.col(v).alias("v")))
 
-    ordered = df.withColumn("_rn", F.row_number().over(w).cast("bigint"))
-    ordered = ordered.withColumns({f"_prev_{v}": F.last(point(v), ignorenulls=True).over(upto) for v in values})
+    numbered = df.withColumn("_rn", F.row_number().over(w).cast("bigint"))
+    ordered = numbered.withColumns({f"_prev_{v}": F.last(point(v), ignorenulls=True).over(upto) for v in values})
     ordered = ordered.withColumns({f"_next_{v}": F.last(point(v), ignorenulls=True).over(downto) for v in values})
 
-    # Block summaries: row count and the outermost points; the latest row of a block carries
-    # its last point in _prev, the earliest row its first point in _next.
-    summary = ordered.groupBy(*keys, "_blk").agg(
+    # Block summaries: row count and the outermost points.
+    def known(v: str) -> Column:
+        return F.when(F.col(v).isNotNull(), F.col(ts))
+    summary = numbered.groupBy(*keys, "_blk").agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.max_by(f"_prev_{v}", ts).alias(f"_last_{v}") for v in values],
-        *[F.min_by(f"_next_{v}", ts).alias(f"_first_{v}") for v in values],
+        *[F.max_by(point(v), known(v)).alias(f"_last_{v}") for v in values],
+        *[F.min_by(point(v), known(v)).alias(f"_first_{v}") for v in values],
     )
     sb = Window.partitionBy(*keys).orderBy("_blk")
     before = sb.rowsBetween(Window.unboundedPreceding, -1)
