@@ -134,7 +134,7 @@ def site_registry(spark: SparkSession, path: str, code: str | None = None, multi
 
     ``multi_line=False`` reads a registry that is split into one object per line.
     """
-    text = spark.read.option("wholetext", multi_line).text(path)
+    text = spark.read.text(path, wholetext=multi_line)
     entry = F.explode(F.from_json("value", schemas.SITE_REGISTRY)).alias("site_id", "_s")
     out = text.select(entry).select("site_id", "_s.*")
     return clean.equals(out, "site_id", code) if code else out
@@ -166,7 +166,7 @@ def document_rows(documents: DataFrame) -> DataFrame:
 
 def site_index(spark: SparkSession, path: str) -> DataFrame:
     """Site index (an array of entries) with the place of each entry as ``position``."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     entries = F.from_json("value", f"ARRAY<STRUCT<location_name: STRING, species: STRING, sources: ARRAY<STRING>>>")
     return text.select(F.posexplode(entries).alias("position", "_e")).select("position", "_e.*")
 
