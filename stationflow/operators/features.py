@@ -36,9 +36,12 @@ def first_containing(columns: Sequence[str], parts: Sequence[str], skip: Sequenc
     return None
 
 
-def species_column(columns: Sequence[str], species: str) -> str | None:
-    """Column that holds the model's own value of a species."""
-    for exact in (species, f"{species}_col", f"geos_{species}"):
+def species_column(columns: Sequence[str], species: str, prefixes: Sequence[str] = ()) -> str | None:
+    """Column that holds the model's own value of a species.
+
+    Exact names come first (``prefixes`` adds ``<prefix>_<species>``), then any name that contains it.
+    """
+    for exact in (species, f"{species}_col", *[f"{p}_{species}" for p in prefixes]):
         if exact in columns:
             return exact
     return first_containing(columns, [species.lower()], skip=["value"])
