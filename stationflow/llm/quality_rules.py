@@ -5,10 +5,12 @@ All in column expressions; a row is judged by itself, so nothing is shuffled and
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
 # What lines of menus and of standing phrases look like, matched in lower case.
@@ -21,6 +23,7 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 ENDS = r"[.!?:;,…。！？]['\"”’»)\]]*[\x20\x09-\x0D]*$"
 BOILERPLATE_LINE = "|".join(BOILERPLATE)
 NAVIGATION_LINE = r"^[^a-z0-9]*(" + "|".join(NAVIGATION) + r")([^a-z0-9]+(" + "|".join(NAVIGATION) + r"))*[^a-z0-9]*$"
+BARS = r"[|>»•·]"
 #: Four parts between bars, arrows or bullets.
 LINK_LIST = r"[|>»•·][^|>»•·]*[|>»•·][^|>»•·]*[|>»•·]"
 
@@ -33,12 +36,18 @@ def size_without(text: Column, chars: str) -> Column:
     return F.char_length(F.translate(text, chars, ""))
 
 
-def good_line(line: Column, max_symbols: int = 30) -> Column:
-    """Whether a line passes the punctuation rule (it ends as sentences do, at most ``max_symbols`` percent symbols) and the
-    navigation and boilerplate rules."""
-    # every subexpression stands once: one that two branches share is not computed anew for each element of an array
-    punctuation = line.rlike(ENDS) & (size_without(line, SYMBOLS) * 100 >= F.lit(100 - max_symbols) * F.char_length(line))
-    return punctuation & ~line.rlike(LINK_LIST) & ~F.lower(line).rlike(f"({NAVIGATION_LINE})|({BOILERPLATE_LINE})")
+def good_lines(lines: Column, text: Column, max_symbols: int = 30) -> Column:
+    """The lines that pass the punctuation rule (a line ends as sentences do, with at most ``max_symbols`` percent symbols) and the
+    navigation and boilerplate rules.
+
+    The rules filter one after the other. A rule whose signs the whole text lacks cannot fail any of its lines and is skipped.
+    """
+    low = F.lower(text)
+    phrase = reduce(or_, [F.contains(low, F.lit(p)) for p in BOILERPLATE + NAVIGATION])
+    ended = F.filter(lines, lambda x: x.rlike(ENDS))
+    worded = F.when(text.rlike(f"[{SYMBOLS}]"), F.filter(ended, lambda x: size_without(x, SYMBOLS) * 100 >= F.lit(100 - max_symbols) * F.char_length(x))).otherwise(ended)
+    single = F.when(text.rlike(BARS), F.filter(worded, lambda x: ~x.rlike(LINK_LIST))).otherwise(worded)
+    return F.when(phrase, F.filter(single, lambda x: ~F.lower(x).rlike(f"({NAVIGATION_LINE})|({BOILERPLATE_LINE})"))).otherwise(single)
 
 
 def clean_lines(docs: DataFrame, text: str = "text", max_loss: float = 0.3) -> DataFrame:
@@ -48,7 +57,8 @@ def clean_lines(docs: DataFrame, text: str = "text", max_loss: float = 0.3) -> D
     Null, empty and wordless texts have no line, lose nothing and fail. Input columns of the added names are replaced.
     """
     lines = F.filter(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n"), lambda x: x.rlike(HAS_WORD))
-    out = docs.withColumn("__lines", lines).withColumn("__good", F.filter("__lines", good_line))
+    out = docs.withColumn("__lines", lines)
+    out = out.withColumn("__good", good_lines(F.col("__lines"), F.coalesce(F.col(f"`{text}`"), F.lit(""))))
     chars = [F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + F.char_length(x)) for c in ("__lines", "__good")]
     out = out.withColumns({"__all_chars": chars[0], "__good_chars": chars[1]})
     lost = F.when(F.col("__all_chars") > 0, 1 - F.col("__good_chars") / F.col("__all_chars")).otherwise(0.0)
@@ -81,7 +91,7 @@ def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     found = F.filter("__sorted", repeated)
     covered = F.size(F.array_distinct(F.flatten(F.transform(found, lambda e: F.array(e["i"], e["i"] + 1, e["i"] + 2)))))
     out = out.withColumns({
-        "word_chars": size_without(whole, WHITE).cast("bigint"), "n_symbols": (F.char_length(whole) - size_without(whole, SYMBOLS)).cast("bigint"),
+        "word_chars": F.char_length(F.array_join("__words", "")).cast("bigint"), "n_symbols": F.char_length(F.regexp_replace(whole, f"[^{SYMBOLS}]+", "")).cast("bigint"),
         "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint"),
         "n_repeat_words": F.when(F.col("__sorted").isNull(), 0).otherwise(covered).cast("bigint"),
     })
