@@ -57,6 +57,8 @@ class WordBPE:
         self.end = model["end_of_word_suffix"]
         self.vocab: dict[str, int] = model["vocab"]
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        #: Special tokens as runs of text; a run of words has no space, so nothing else looks like them.
+        self.marks = {" " + s: i for s, i in self.specials.items()}
         self.text_of = {i: s for s, i in (self.vocab | self.specials).items()}
         self.words = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in self.specials) + ")")
@@ -212,7 +214,7 @@ class WordBPE:
 
     def learn(self, chunks: set[str]) -> None:
         """Encode new runs of text without white space; remember them as packed ids and as tokens."""
-        parts = {c: [c] if c in self.specials else self.words.findall(c) for c in chunks}
+        parts = {c: [c] if c in self.marks else self.words.findall(c) for c in chunks}
         self.learn_words(set(chain.from_iterable(parts.values())).difference(self.encoded))
         encoded, known = self.encoded, self.known
         for c, words in parts.items():
@@ -223,8 +225,8 @@ class WordBPE:
                 known[c] = (b"".join([w[0] for w in both]), " ".join([w[1] for w in both]))
 
     def learn_words(self, words: set[str]) -> None:
-        plain = [w for w in words if w not in self.specials]
-        tokens = {w: [self.specials[w]] for w in words if w in self.specials}
+        plain = [w for w in words if w not in self.marks]
+        tokens = {w: [self.marks[w]] for w in words if w in self.marks}
         if plain:
             raw = [w.encode() for w in plain]
             sizes = np.array(list(map(len, raw)))
@@ -270,11 +272,11 @@ class WordBPE:
         return word.encode().decode("latin-1").translate(self.symbols)
 
     def split(self, text: str) -> list[str]:
-        """Special tokens, and runs without white space of what stands between them, in lower case."""
+        """Special tokens, each after a space, and runs without white space of what stands between them, in lower case."""
         out: list[str] = []
         for i, part in enumerate(self.special.split(text) if "<|" in text else (text,)):
             if i % 2:
-                out.append(part)
+                out.append(" " + part)
             elif part:
                 # a capital sigma turns into the same small one wherever it stands
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()

@@ -26,12 +26,12 @@ PREFIXES = range(3, 9)
 class FitSettings:
     """Bounds of the fit: rows of either kind, characters of a text taken into the fit, features,
     the log-likelihood gain a feature needs (about the log of the number of candidates), rounds of the fit."""
-    positives: int = 1500
-    unlabelled: int = 4000
+    positives: int = 2500
+    unlabelled: int = 5000
     max_chars: int = 20_000
-    features: int = 500
+    features: int = 1000
     least_seen: int = 4
-    least_evidence: float = 12.0
+    least_evidence: float = 10.0
     rounds: int = 400
     rate: float = 0.05
     ridge: float = 1e-4
@@ -97,16 +97,18 @@ def presence(sets, at) -> np.ndarray:
 
 
 def nn_pu(p: np.ndarray, u: np.ndarray, prior: float, settings: FitSettings) -> tuple[np.ndarray, float]:
-    """Weights and bias under the logistic loss, by full-batch Adam from zero."""
+    """Weights and bias under the sigmoid loss, by full-batch Adam from zero.
+
+    The loss is bounded, so a few positives far on the right side cannot outweigh all unlabelled texts.
+    """
     w = np.zeros(p.shape[1] + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     p, u = (np.hstack([x, np.ones((len(x), 1))]) for x in (p, u))
     for step in range(1, settings.rounds + 1):
-        zp, zu = p @ w, u @ w
-        as_toxic = -prior * p.T @ sigmoid(-zp) / len(p)
-        risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        as_clean = u.T @ sigmoid(zu) / len(u) - prior * p.T @ sigmoid(zp) / len(p)
-        g = as_toxic + as_clean if risk >= 0 else -as_clean
+        sp, su = sigmoid(p @ w), sigmoid(u @ w)
+        slope_p, slope_u = p.T @ (sp * (1 - sp)) / len(p), u.T @ (su * (1 - su)) / len(u)
+        clean = slope_u - prior * slope_p
+        g = clean - prior * slope_p if su.mean() >= prior * sp.mean() else -clean
         g[:-1] += settings.ridge * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= settings.rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
