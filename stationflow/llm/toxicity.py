@@ -26,8 +26,8 @@ PREFIXES = range(3, 9)
 class FitSettings:
     """Bounds of the fit: rows of either kind, characters of a text taken into the fit, features,
     the log-likelihood gain a feature needs (about the log of the number of candidates), rounds of the fit."""
-    positives: int = 2500
-    unlabelled: int = 5000
+    positives: int = 1500
+    unlabelled: int = 4000
     max_chars: int = 20_000
     features: int = 1000
     least_seen: int = 4
@@ -69,30 +69,45 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, settings: FitS
     prior = min(max(prior, 1e-3), 0.5)
     if not positive or not unlabelled:
         return Model({}, float(np.log(prior / (1 - prior))))
-    p_sets, u_sets = ([text_features(t) for t in sorted(set(some))] for some in (positive, unlabelled))
-    names = choose_features(p_sets, u_sets, prior, settings)
+    positive, unlabelled = sorted(set(positive)), sorted(set(unlabelled))
+    names = choose_features(positive, unlabelled, prior, settings)
     at = {f: i for i, f in enumerate(names)}
-    p, u = (presence(sets, at) for sets in (p_sets, u_sets))
+    p, u = presence(positive, at), presence(unlabelled, at)
     w, b = nn_pu(p, u, prior, settings)
     return Model(dict(zip(names, w.tolist())), float(b))
 
 
-def choose_features(p_sets, u_sets, prior, settings) -> list[str]:
-    """Features that set the positives off most from what the unlabelled texts hold besides positives."""
-    in_p, in_u = Counter(f for s in p_sets for f in s), Counter(f for s in u_sets for f in s)
-    names = sorted(f for f, n in in_p.items() if n >= settings.least_seen)
-    p = np.array([in_p[f] for f in names]) / (len(p_sets) + 1)
-    u = np.array([in_u[f] for f in names]) / (len(u_sets) + 1)
-    n = np.maximum((u - prior * p) / (1 - prior), 0.5 / (len(u_sets) + 1))
+def choose_features(positive: list[str], unlabelled: list[str], prior: float, settings: FitSettings) -> list[str]:
+    """Features that set the positives off most from what the unlabelled texts hold besides positives.
+
+    Most features are seen once. A table of hashed counts, which are never too low, keeps those from being remembered at all.
+    """
+    rough = np.zeros(1 << 22, dtype=np.int32)
+
+    def slots(features):
+        return np.array([hash(f) & (len(rough) - 1) for f in features], dtype=np.int64)
+
+    for text in positive:
+        rough[np.unique(slots(text_features(text)))] += 1
+    in_p: Counter[str] = Counter()
+    for text in positive:
+        features = list(text_features(text))
+        in_p.update([f for f, n in zip(features, rough[slots(features)].tolist()) if n >= settings.least_seen])
+    in_p = Counter({f: n for f, n in in_p.items() if n >= settings.least_seen})
+    in_u = Counter(f for text in unlabelled for f in text_features(text) if f in in_p)
+    names = sorted(in_p)
+    p = np.array([in_p[f] for f in names]) / (len(positive) + 1)
+    u = np.array([in_u[f] for f in names]) / (len(unlabelled) + 1)
+    n = np.maximum((u - prior * p) / (1 - prior), 0.5 / (len(unlabelled) + 1))
     gain = np.where(p > n, p * np.log(p / n) + (1 - p) * np.log((1 - p) / (1 - n)), 0)
     order = np.lexsort((np.arange(len(names)), -gain))[:settings.features]
-    return [names[i] for i in order if gain[i] * len(p_sets) >= settings.least_evidence]
+    return [names[i] for i in order if gain[i] * len(positive) >= settings.least_evidence]
 
 
-def presence(sets, at) -> np.ndarray:
-    x = np.zeros((len(sets), len(at)), dtype=np.float64)
-    for row, s in enumerate(sets):
-        x[row, [at[f] for f in s if f in at]] = 1
+def presence(texts: list[str], at: dict[str, int]) -> np.ndarray:
+    x = np.zeros((len(texts), len(at)))
+    for row, text in enumerate(texts):
+        x[row, [at[f] for f in text_features(text) if f in at]] = 1
     return x
 
 
