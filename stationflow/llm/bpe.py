@@ -27,7 +27,7 @@ from .common import KeyIndex, per_batch
 NEVER = 1 << 40
 #: Runs of text remembered per Python worker. Beyond it they become the older generation, from which those met
 #: again are taken over, and the generation before is forgotten.
-KEPT = 500_000
+KEPT = 120_000
 #: Longer words are merged one by one, so that no table of words gets wide.
 WIDE = 48
 POWERS = np.array([pow(0x100000001B3, n, 1 << 64) for n in range(256)], dtype=np.uint64)
