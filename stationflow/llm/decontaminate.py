@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -83,8 +84,8 @@ class Block:
         self.seeds = {c: where[c] for c in sorted(chosen)}
 
     def ids(self, text: str | None) -> np.ndarray:
-        get = self.vocab.get
-        return np.array([get(w, 0) for w in words_of(text)], dtype=np.int64)
+        words = words_of(text)
+        return np.fromiter(map(self.vocab.get, words, repeat(0)), dtype=np.int64, count=len(words))
 
     def widths(self) -> list[int]:
         return sorted({self.width(w) for _, w in self.items})
@@ -94,9 +95,10 @@ class Block:
         out = []
         for n in self.widths():
             codes = self.codes(ids, n)
-            at = np.minimum(np.searchsorted(wanted, codes), len(wanted) - 1)
-            hit = np.flatnonzero((wanted[at] == codes) & (codes > 0))
-            out += list(zip(hit.tolist(), codes[hit].tolist()))
+            some = np.flatnonzero(codes)
+            codes = codes[some]
+            hit = wanted[np.minimum(np.searchsorted(wanted, codes), len(wanted) - 1)] == codes
+            out += list(zip(some[hit].tolist(), codes[hit].tolist()))
         return out
 
 
