@@ -193,17 +193,19 @@ def local_snapshots(spark, sf_dir):
     return snaps.select("forecast_hour", "location_name", "timezone", "local_time", "no2", "rh")
 
 
-@query("""WITH v AS (SELECT date_trunc('hour', ts) AS time, event_type = 'view' AS old, avg(value) AS no2 FROM events GROUP BY 1, 2)
-SELECT 12.5 AS lat, -3.25 AS lon, CAST(CASE WHEN max(old) THEN 1 ELSE 2 END AS INT) AS version, time,
-  R6(coalesce(max(no2) FILTER (old), max(no2) FILTER (NOT old))) AS no2 FROM v GROUP BY time""")
+@query("""WITH v AS (SELECT date_trunc('hour', ts) AS time, user_id % 5 AS place, event_type = 'view' AS old, avg(value) AS no2, max(value) AS t FROM events GROUP BY 1, 2, 3)
+SELECT 12.5 + place AS lat, -3.25 AS lon, CAST(CASE WHEN max(old) THEN 1 ELSE 2 END AS INT) AS version, time,
+  R6(coalesce(max(no2) FILTER (old), max(no2) FILTER (NOT old))) AS no2, R6(coalesce(max(t) FILTER (old), max(t) FILTER (NOT old))) AS t FROM v GROUP BY time, place""")
 def cached_series(spark, sf_dir):
-    """Cached series of two versions whose coordinates and version are in the file names."""
-    ev = table(spark, sf_dir, "events")
+    """Cached series of five places in two versions, whose coordinates and version are in the file names and whose columns differ in name and order."""
+    ev = table(spark, sf_dir, "events").withColumn("place", F.col("user_id") % 5)
     folder = scratch_path(spark, "cached")
     for version, rows in ((1, ev.where("event_type = 'view'")), (2, ev.where("event_type <> 'view'"))):
-        hourly = rows.groupBy(t.hour_floor(F.col("ts")).alias("time")).agg(F.avg("value").alias("no2"))
-        writers.frame(hourly, f"{folder}/loc_12_500000_m3_250000_v{version}.csv", "csv")
-    return round_columns(readers.cached_series(spark, folder), ["no2"])
+        hourly = rows.groupBy("place", t.hour_floor(F.col("ts")).alias("time")).agg(F.avg("value").alias("no2"), F.max("value").alias("t"))
+        hourly = hourly.select("place", "time", "no2", F.col("t").alias("t10m")) if version == 1 else hourly.select("place", "time", "t", "no2")
+        for place in range(5):
+            writers.frame(hourly.where(F.col("place") == place).drop("place"), f"{folder}/loc_{12 + place}_500000_m3_250000_v{version}.csv", "csv")
+    return round_columns(readers.cached_series(spark, folder), ["no2", "t"])
 
 
 @query("""SELECT CASE WHEN event_type = 'view' THEN 'Old_Town' ELSE 'Harbour' END AS site, date_trunc('hour', ts) AS time, value, 1.5 AS lat, 2.5 AS lon FROM events""")
@@ -211,9 +213,10 @@ def observation_cache(spark, sf_dir):
     """Observation caches whose site is the file name before the species."""
     ev = table(spark, sf_dir, "events")
     folder = scratch_path(spark, "obs-cache")
-    for site, rows in (("Old_Town", ev.where("event_type = 'view'")), ("Harbour", ev.where("event_type <> 'view'"))):
-        writers.frame(rows.select(F.col("ts").alias("time"), F.col("value").alias("concentration"), F.lit(1.5).alias("latitude"),
-                                  F.lit(2.5).alias("Longitude")), f"{folder}/{site}_no2.csv", "csv")
+    old = ev.where("event_type = 'view'").select(F.col("ts").alias("time"), F.col("value").alias("concentration"), F.lit(1.5).alias("latitude"), F.lit(2.5).alias("Longitude"))
+    new = ev.where("event_type <> 'view'").select(F.col("ts").alias("time"), F.lit(1.5).alias("lat"), F.lit(2.5).alias("lon"), "value")
+    for site, rows in (("Old_Town", old), ("Harbour", new)):
+        writers.frame(rows, f"{folder}/{site}_no2.csv", "csv")
     return readers.observation_cache(spark, folder, "no2")
 
 

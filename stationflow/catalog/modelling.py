@@ -64,7 +64,12 @@ def kfold_validation(spark, sf_dir):
     return models.fold_scores(out, SITE, "fold", "value", "prediction")
 
 
-@query()
+def _share(seed: int, key: str) -> str:
+    return f"('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0"
+
+
+@query(f"""SELECT part, fold, count(*) AS n FROM (SELECT CASE WHEN {_share(7, 'event_id')} < 0.3 THEN 'test' ELSE 'train' END AS part,
+  CAST(floor({_share(42, 'event_id')} * 3) AS INT) AS fold FROM events) GROUP BY 1, 2""")
 def hash_split(spark, sf_dir):
     """Row counts of a 70/30 split and of three shuffled folds."""
     ev = table(spark, sf_dir, "events").select("event_id")
@@ -72,7 +77,9 @@ def hash_split(spark, sf_dir):
     return both.groupBy("part", "fold").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"""WITH h AS (SELECT user_id AS site, {_share(42, 'event_id')} AS h FROM events),
+g AS (SELECT *, min(h) OVER (PARTITION BY site) AS low, least(500.0 / count(*) OVER (), 1.0) AS share FROM h)
+SELECT site, count(*) AS n_all, count(*) FILTER (h < share OR h = low) AS n_kept FROM g GROUP BY 1""")
 def proportional_sample(spark, sf_dir):
     """Sampling operator of the pooled trainer: rows kept per site."""
     ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("site"), "event_id")

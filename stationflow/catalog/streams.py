@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import nowcast_state
 from ..session import scratch_path
 from ..streaming import feeds
 from .data import HOURLY_TYPE_SQL, SPINE_SQL, hourly_by_type, nowcast_sql, r6, round_columns, table
@@ -43,26 +44,37 @@ def stream_rolling(spark, sf_dir):
     return round_columns(feeds.latest_windows(spark, path, ["site"]), ["value"])
 
 
-@query("""SELECT user_id AS sensor, date_trunc('hour', ts) AS ts, count(*) > 0 AS present FROM events GROUP BY 1, 2""")
+@query("""SELECT user_id AS sensor, ts, R6(min(value)) AS value FROM events GROUP BY 1, 2""")
 def stream_ingest(spark, sf_dir):
-    """Sensor ingest without repeats of a sensor and hour."""
-    src = _stream(spark, sf_dir).select(F.col("user_id").alias("sensor"), F.date_trunc("HOUR", "ts").alias("ts"), "value")
-    path = scratch_path(spark, "ingest")
-    _finish(feeds.append_readings(src, path, scratch_path(spark, "checkpoint"), "sensor", "ts"), spark)
-    out = feeds.read_readings(spark, path, "sensor", "ts")
-    return out.select("sensor", "ts", F.lit(True).alias("present"))
+    """Sensor ingest over three triggers: the newest rows first, late ones after, and repeats with other values, which lose."""
+    rows = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("sensor"), "ts").agg(F.min("value").alias("value"))
+    first = F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    second = F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    repeats = rows.where(first).withColumn("value", F.col("value") + 1000)
+    landed, path, checkpoint = (scratch_path(spark, n) for n in ("landed", "ingest", "checkpoint"))
+    for part in (rows.where(first), rows.where(~first & second), rows.where(~second).unionByName(repeats)):
+        part.write.mode("append").parquet(landed)
+        src = feeds.file_stream(spark, landed, "sensor BIGINT, ts TIMESTAMP_NTZ, value DOUBLE")
+        _finish(feeds.append_readings(src, path, checkpoint, "ts"), spark)
+    return round_columns(feeds.read_readings(spark, path, "sensor", "ts").select("sensor", "ts", "value"), ["value"])
 
 
 @query(f"""WITH {HOURLY_TYPE_SQL}, {SPINE_SQL}
 SELECT site, ts, R6(nowcast) AS nowcast FROM {nowcast_sql('g', 'value')} WHERE value IS NOT NULL""")
 def stream_nowcast(spark, sf_dir):
-    """NowCast with twelve hours of state per site over a stream of hourly means."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    hourly = scratch_path(spark, "hourly-input")
-    hourly_by_type(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(hourly)
-    src = feeds.file_stream(spark, hourly, "site STRING, ts TIMESTAMP, value DOUBLE")
-    path = scratch_path(spark, "nowcast")
-    _finish(feeds.append_to_table(feeds.streaming_nowcast(src), path, scratch_path(spark, "checkpoint")), spark)
-    out = spark.read.schema("site STRING, ts TIMESTAMP, value DOUBLE, nowcast DOUBLE").parquet(path)
+    """NowCast with bounded state per site over a stream of hourly means whose triggers come in the wrong order."""
+    key, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(key)
+    rows = hourly_by_type(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    landed, path, checkpoint = (scratch_path(spark, n) for n in ("hourly-input", "nowcast", "checkpoint"))
+    third = F.pmod(F.floor(F.unix_timestamp("ts") / F.lit(86400 * 4)), F.lit(3))
+    spark.conf.set(key, store)
+    try:
+        for part in (2, 0, 1):
+            rows.where(third == part).write.mode("append").parquet(landed)
+            src = feeds.file_stream(spark, landed, "site STRING, ts TIMESTAMP, value DOUBLE")
+            _finish(feeds.append_to_table(feeds.streaming_nowcast(src), path, checkpoint), spark)
+    finally:
+        spark.conf.set(key, before)
+    out = feeds.latest_rows(spark, path, nowcast_state.OUTPUT, ["site", "ts"])
     return out.select("site", F.col("ts").cast("timestamp_ntz").alias("ts"), r6("nowcast").alias("nowcast"))

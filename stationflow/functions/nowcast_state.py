@@ -12,52 +12,69 @@ from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 OUTPUT = "site STRING, ts TIMESTAMP, value DOUBLE, nowcast DOUBLE"
-STATE = "times ARRAY<TIMESTAMP>, vals ARRAY<DOUBLE>"
+STATE = "start BIGINT, begun BOOLEAN, vals ARRAY<DOUBLE>"
 HOURS = 12
-HOUR = pd.Timedelta(hours=1)
+#: Hours of a site kept as state: late ones are taken up as long as their whole window is among them.
+KEPT = 60 * 24
+HOUR_NS = 3_600_000_000_000
 
 
-def weighted_mean(values: list[float]) -> float | None:
-    """NowCast of values in time order; a missing one gives none, all zero gives 0."""
-    window = np.asarray(values, dtype="float64")
-    if np.isnan(window).any():
-        return None
-    top = window.max()
-    if top == 0:
-        return 0.0
-    weights = max(0.5, 1 - (top - window.min()) / top) ** np.arange(len(window) - 1, -1, -1)
-    return float((weights * window).sum() / weights.sum())
+def weighted_means(values: np.ndarray, first: int) -> np.ndarray:
+    """NowCast at every place from ``first`` on, over up to ``HOURS`` values; NaN where one is missing, 0 where all are 0."""
+    padded = np.concatenate([np.full(HOURS - 1, np.nan), values])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, HOURS)[first:]
+    # places before the series' first hour are no missing values
+    real = np.arange(HOURS) >= HOURS - 1 - np.arange(first, first + len(windows))[:, None]
+    missing = (np.isnan(windows) & real).any(axis=1)
+    top = np.where(real, np.nan_to_num(windows), -np.inf).max(axis=1)
+    low = np.where(real, np.nan_to_num(windows), np.inf).min(axis=1)
+    share = np.maximum(0.5, 1 - (top - low) / np.where(top == 0, 1, top))
+    weights = np.where(real, share[:, None] ** np.arange(HOURS - 1, -1, -1), 0)
+    means = (weights * np.nan_to_num(windows)).sum(axis=1) / weights.sum(axis=1)
+    return np.where(missing, np.nan, np.where(top == 0, 0.0, means))
 
 
 class NowCastProcessor(StatefulProcessor):
-    """Keeps the last twelve hourly values of a site; an absent hour counts as a missing value."""
+    """Keeps the last hours of a site as a gapless row of values; an absent hour counts as a missing value.
+
+    Of one hour that comes twice, the first value stays. Hours older than the state are passed over.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._buffer = handle.getValueState("hours", STATE)
+        self._state = handle.getValueState("hours", STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        times, values = [], []
-        if self._buffer.exists():
-            state = self._buffer.get()
-            times = [pd.Timestamp(x).tz_localize(None) for x in state[0]]
-            values = [float("nan") if v is None else float(v) for v in state[1]]
-        # one row per hour: a trigger brings a site at most the hours that are new
-        new = pd.concat(list(rows), ignore_index=True).sort_values("ts")
-        out = []
-        for ts, value in zip(new["ts"], new["value"]):
-            ts = pd.Timestamp(ts).tz_localize(None)
-            if times and ts <= times[-1]:
-                continue
-            absent = min(int((ts - times[-1]) / HOUR) - 1, HOURS) if times else 0
-            times += [ts - HOUR * k for k in range(absent, 0, -1)]
-            values += [float("nan")] * absent
-            times.append(ts)
-            values.append(float("nan") if pd.isna(value) else float(value))
-            times, values = times[-HOURS:], values[-HOURS:]
-            out.append((key[0], ts, values[-1], weighted_mean(values)))
-        if times:
-            self._buffer.update(([x.to_pydatetime() for x in times], values))
-        yield pd.DataFrame(out, columns=["site", "ts", "value", "nowcast"])
+        new = pd.concat(list(rows), ignore_index=True).dropna(subset=["ts"])
+        hours = pd.to_datetime(new["ts"]).dt.tz_localize(None).astype("datetime64[ns]").astype("int64").to_numpy() // HOUR_NS
+        start, begun, old = None, False, np.zeros(0)
+        if self._state.exists():
+            start, begun, old = self._state.get()
+            old = np.array([np.nan if v is None else v for v in old], dtype="float64")
+        # hours whose window would reach beyond the state cannot be settled any more
+        usable = hours >= (start + HOURS - 1 if begun else np.iinfo("int64").min)
+        hours, values = hours[usable], pd.to_numeric(new["value"]).to_numpy(dtype="float64")[usable]
+        if len(hours):
+            low = int(hours.min()) if start is None else min(start, int(hours.min()))
+            high = int(hours.max()) if start is None else max(start + len(old) - 1, int(hours.max()))
+            line = np.full(high - low + 1, np.nan)
+            if start is not None:
+                line[start - low:start - low + len(old)] = old
+            order = np.argsort(-np.arange(len(hours)), kind="stable")  # the first of several is written last
+            fresh = np.full(len(line), np.nan)
+            fresh[hours[order] - low] = values[order]
+            line = np.where(np.isnan(line), fresh, line)
+            touched = np.zeros(len(line) + HOURS, dtype=bool)
+            for k in range(HOURS):
+                touched[hours - low + k] = True
+            # an earlier first hour gives later windows more values
+            if start is not None and low < start:
+                touched[start - low:start - low + HOURS] = True
+            at = np.flatnonzero(touched[:len(line)] & ~np.isnan(line))
+            means = weighted_means(line, 0)[at]
+            yield pd.DataFrame({"site": key[0], "ts": pd.to_datetime((at + low) * HOUR_NS), "value": line[at],
+                                "nowcast": [None if np.isnan(m) else float(m) for m in means]})
+            drop = max(0, len(line) - KEPT)
+            self._state.update((low + drop, bool(begun or drop), [None if np.isnan(v) else float(v) for v in line[drop:]]))
 
     def close(self) -> None:
         pass

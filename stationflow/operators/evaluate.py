@@ -10,6 +10,14 @@ from .. import fixed_values as fv
 from . import blocks, ranks
 
 
+ONE = "_series"
+
+
+def one_series(df: DataFrame) -> DataFrame:
+    """Rows without a key as one series."""
+    return df.withColumn(ONE, F.lit("all"))
+
+
 def _d(c: str) -> Column:
     return F.col(c).cast("double")
 
@@ -75,8 +83,10 @@ def residual_autocorrelation(df: DataFrame, keys: Sequence[str], ts: str, actual
 
 
 def evaluate(df: DataFrame, keys: Sequence[str], ts: str, actual: str, predicted: str) -> DataFrame:
-    """Thirteen statistics per key as rows ``(keys..., Statistic, Value)``."""
+    """Thirteen statistics per key as rows ``(keys..., Statistic, Value)``; without keys, of the one series there is."""
     keys = list(keys)
+    if not keys:
+        return evaluate(one_series(df), [ONE], ts, actual, predicted).drop(ONE)
     both = df.select(*keys, ts, _d(actual).alias(actual), _d(predicted).alias(predicted)).where(
         f"{actual} IS NOT NULL AND {predicted} IS NOT NULL AND NOT isnan({actual}) AND NOT isnan({predicted})")
     a, p = F.col(actual), F.col(predicted)
@@ -100,6 +110,8 @@ def evaluate(df: DataFrame, keys: Sequence[str], ts: str, actual: str, predicted
 def recent_rows(df: DataFrame, site: Sequence[str], ts: str, now: Column, days: int = 90,
                 minimum: int = 50) -> DataFrame:
     """Rows of the last ``days`` where a site has more than ``minimum`` of them, else all its rows."""
+    if not site:
+        return recent_rows(one_series(df), [ONE], ts, now, days, minimum).drop(ONE)
     recent = F.col(ts) >= now - F.make_dt_interval(F.lit(days))
     counts = df.groupBy(*site).agg(F.count_if(recent).alias("_n"))
     return df.join(counts, list(site)).where((F.col("_n") <= minimum) | recent).drop("_n")

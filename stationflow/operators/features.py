@@ -48,7 +48,7 @@ def species_column(columns: Sequence[str], species: str, prefixes: Sequence[str]
 
 
 def proxies(columns: Sequence[str]) -> dict[str, Column]:
-    """Mixing-depth and lapse proxies, as far as their inputs exist."""
+    """Mixing-depth and lapse proxies, as far as their inputs exist. ``columns`` are numeric columns that are neither key nor time."""
     out = {}
     depth = first_containing(columns, ["pbl", "pbh", "kpbl"])
     if depth:
@@ -67,7 +67,8 @@ def atmospheric_features(df: DataFrame, site: Sequence[str], ts: str, species: s
     A feature without any value in a site becomes 0 there.
     """
     before = list(df.columns)
-    out = df.withColumns({**cyclic(F.col(ts)), **proxies(before)})
+    inputs = [c for c in feature_columns(df, [*site, ts])]
+    out = df.withColumns({**cyclic(F.col(ts)), **proxies(inputs)})
     column = species_column(before, species)
     if column:
         out, pos = indexed(out, site, ts, by)
@@ -89,8 +90,10 @@ def fill_with_medians(df: DataFrame, columns: Sequence[str], default: float = 0.
     """Replace NULL by the exact median of the column over all rows, else by ``default``."""
     med = ranks.column_medians(df, columns)
     wide = med.agg(*[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(c) for c in columns])
-    return df.withColumns({
-        c: F.coalesce(F.col(c).cast("double"), wide.select(c).scalar(), F.lit(default)) for c in columns})
+    # one scalar subquery with all medians; one for each column would compute them all each time
+    out = df.withColumn("_medians", wide.select(F.struct(*columns)).scalar())
+    return out.withColumns({
+        c: F.coalesce(F.col(c).cast("double"), F.col("_medians")[c], F.lit(default)) for c in columns}).drop("_medians")
 
 
 def fill_series_with_medians(df: DataFrame, site: Sequence[str], columns: Sequence[str],

@@ -10,8 +10,9 @@ from . import blocks
 
 
 def _hash_share(keys: Sequence[str], seed: int) -> Column:
-    """Number in [0, 1) that depends on the key columns alone, so reruns split alike."""
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000)) / F.lit(1e6)
+    """Number in [0, 1) that depends on the text of the key columns alone, so reruns, and other engines, split alike."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
 def train_test(df: DataFrame, keys: Sequence[str], test_share: float = 0.3, seed: int = 7,

@@ -79,17 +79,15 @@ def train_pooled(pool: DataFrame, log: DataFrame, mode: str, species: str, min_s
     return PooledModel(model, names, mode, per_site, scores, log)
 
 
-def train_from_pool(pool: DataFrame, target: str = "value", site: str = "_site", ts: str = "time", max_rows: int | None = 500_000,
+def train_from_pool(pool: DataFrame, target: str = "value", site: str = "_site", ts: str = "time", max_rows: int | None = None,
                     n_splits: int = 3, base: Sequence[str] = tuple(fv.POOLED_FEATURES), seed: int = 42,
                     **trees) -> tuple[PipelineModel, DataFrame, list[str]]:
-    """Trainer on a saved pool: optional row cap by proportional sampling, lags, imputation, five-sigma
-    filter, hold-out split, k folds, final fit. Returns model, scores and features.
+    """Trainer on a saved pool: lags, imputation, five-sigma filter, hold-out split, k folds, final fit. Returns model, scores and features.
 
-    The cap is a user option (None trains on all rows).
+    ``max_rows`` bounds the rows that a fit learns from, by proportional sampling of the training part; lags, medians, filter
+    and scores always come from all rows. None learns from all of them.
     """
     rows = pool.where(F.col(target).isNotNull() & F.col(ts).isNotNull())
-    if max_rows:
-        rows = folds.site_quota(rows, site, [site, ts], max_rows, seed)
     rows = rows.withColumns(feat.cyclic(F.col(ts), 365.0)).drop("weekday", "is_weekend")
     rows = blocks.row_index(rows, [site], [ts], "_pos")
 
@@ -104,15 +102,16 @@ def train_from_pool(pool: DataFrame, target: str = "value", site: str = "_site",
     rows = folds.train_test(rows, [site, ts], 0.15, seed)
     rows = cut_lineage(folds.shuffled_folds(rows, [site, ts], n_splits, seed), "pooled-training")
     train = rows.where("part = 'train'")
+    learn = cut_lineage(folds.site_quota(train, site, [site, ts], max_rows, seed), "pooled-learning") if max_rows else train
 
     per_fold = None
     for k in range(n_splits):  # a fixed small number of fits, each distributed
-        fold_model = models.fit_trees(train.where(F.col("fold") != k), names, target, seed=seed, **trees)
+        fold_model = models.fit_trees(learn.where(F.col("fold") != k), names, target, seed=seed, **trees)
         part = models.predict_trees(fold_model, train.where(F.col("fold") == k)).select(target, "prediction", "fold")
         per_fold = part if per_fold is None else per_fold.unionByName(part)
     cv = evaluate.scores(per_fold, ["fold"], target, "prediction").agg(
         F.avg("r2").alias("cv_r2"), F.avg("rmse").alias("cv_rmse"), F.avg("mae").alias("cv_mae"))
-    model = models.fit_trees(train, names, target, seed=seed, **trees)
+    model = models.fit_trees(learn, names, target, seed=seed, **trees)
     parts = evaluate.scores(models.predict_trees(model, rows), ["part"], target, "prediction")
     scores = parts.withColumns({c: cv.select(c).scalar() for c in cv.columns})
     return model, scores, names

@@ -2,21 +2,50 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import fixed_values as fv, schemas
 from ..functions import names, times as t, units
 from ..operators import clean, outliers, setops
 
 FILE = "_metadata.file_path"
+START = "_metadata.file_block_start"
 
 
 def _path() -> Column:
     return names.url_decode_path(F.col(FILE))
 
 
+def csv_by_header(spark: SparkSession, path: str) -> list[DataFrame]:
+    """CSV files as one table of text columns per distinct header.
+
+    Spark applies one file's header to all files by position. Here every file's first line is found first (one
+    combining pass over the lines), and the files of each header are read together. Only headers and file names reach the driver, as
+    in any file listing. Files without a line are left out.
+    """
+    lines = spark.read.text(path).select("value", _path().alias("file"), F.col(START).alias("start"), F.monotonically_increasing_id().alias("line"))
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("start", "line")).alias("header"))
+    out = []
+    for row in first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        names_of = [c.strip() for c in next(csv.reader([row["header"].removeprefix("\ufeff")]))]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names_of])
+        files = [re.sub(r"([*?\[\]{}\\])", r"\\\1", f) for f in row["files"]]
+        out.append(spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(files))
+    return out
+
+
+def _stacked(parts: list[DataFrame], spark: SparkSession, empty: str) -> DataFrame:
+    """Tables of different columns in one; ``empty`` is the schema where there is none."""
+    if not parts:
+        return spark.createDataFrame([], empty)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def observation_csv(spark: SparkSession, path: str, time_col: str, time_format: str, value_col: str,
                     species: str, unit: str | None = None, lat_col: str | None = None, lon_col: str | None = None,
                     lat: float | None = None, lon: float | None = None, value_name: str = "value",
@@ -26,10 +55,12 @@ def observation_csv(spark: SparkSession, path: str, time_col: str, time_format:
     Keeps non-negative values, converts mass units to ppb (except for pm25). ``k_sigma`` turns on the
     k-sigma and z-score filters per location and, after them, the time range.
     """
-    raw = spark.read.option("header", True).csv(path)
+    wanted = [c for c in (time_col, value_col, lat_col, lon_col) if c]
+    parts = [clean.ensure_columns(p, wanted, "string").select(*[F.col(f"`{c}`") for c in wanted], _path().alias("_file")) for p in csv_by_header(spark, path)]
+    raw = _stacked(parts, spark, ", ".join(f"`{c}` STRING" for c in [*wanted, "_file"]))
     value = F.col(value_col).try_cast("double")
     target = "ugm3" if species == "pm25" else "ppbv"
-    location = F.element_at(F.split(names.file_name(_path()), "_"), 1)
+    location = F.element_at(F.split(names.file_name(F.col("_file")), "_"), 1)
     out = raw.where((value >= 0) & ~F.isnan(value)).select(
         F.try_to_timestamp(F.col(time_col), F.lit(time_format)).cast(t.NTZ).alias("time"),
         units.convert(value, species, unit, target).alias(value_name),
@@ -125,8 +156,9 @@ def station_geojson(spark: SparkSession, path: str, multi_line: bool = True) ->
 
 def station_wide_csv(spark: SparkSession, path: str) -> DataFrame:
     """Station forecasts as a wide CSV (one column per slot), to rows."""
-    raw = spark.read.option("header", True).csv(path)
-    return slots_to_rows(raw, [c for c in ("Station", "Site_Name") if c in raw.columns])
+    raw = _stacked(csv_by_header(spark, path), spark, "UTC_DATE STRING")
+    slots = [c.format(label) for _, label in fv.FORECAST_SLOTS for c in (fv.SLOT_CONC_COLUMN, fv.SLOT_INDEX_COLUMN)]
+    return slots_to_rows(clean.ensure_columns(raw, slots, "string"), [c for c in ("Station", "Site_Name") if c in raw.columns])
 
 
 def site_registry(spark: SparkSession, path: str, code: str | None = None, multi_line: bool = True) -> DataFrame:
@@ -180,34 +212,40 @@ SERIES_FILE = r"loc_(m?[0-9]+_[0-9]+)_(m?[0-9]+_[0-9]+)_v([0-9]+)\.csv"
 
 
 def cached_series(spark: SparkSession, folder: str, time_col: str = "time") -> DataFrame:
-    """Cached model series, coordinates and version taken from each file name; version 1 wins an hour."""
-    raw = spark.read.option("header", True).csv(f"{folder}/loc_*_v*.csv")
-    skip = {time_col, "lat", "lon", "version"}
-    values = [F.col(c).try_cast("double").alias(c) for c in raw.columns if c not in skip]
+    """Cached model series, coordinates and version taken from each file name; version 1 wins an hour.
 
+    The versions' own column names become the common ones, file by file.
+    """
     def part(n: int) -> Column:
         return F.regexp_extract(_path(), SERIES_FILE, n)
-    out = raw.select(
-        names.coordinate_from_key(part(1)).alias("lat"), names.coordinate_from_key(part(2)).alias("lon"),
-        part(3).cast("int").alias("version"),
-        t.hour_floor(F.col(time_col).try_cast(t.NTZ)).alias("time"), *values)
+
+    tables = []
+    for raw in csv_by_header(spark, f"{folder}/loc_*_v*.csv"):
+        values = [F.col(f"`{c}`").try_cast("double").alias(c) for c in raw.columns if c not in {time_col, "lat", "lon", "version"}]
+        tables.append(clean.harmonise_names(raw.select(
+            names.coordinate_from_key(part(1)).alias("lat"), names.coordinate_from_key(part(2)).alias("lon"),
+            part(3).cast("int").alias("version"), t.hour_floor(F.col(time_col).try_cast(t.NTZ)).alias("time"), *values)))
+    out = _stacked(tables, spark, "lat DOUBLE, lon DOUBLE, version INT, time TIMESTAMP_NTZ")
     return setops.keep_first(out, ["lat", "lon", "time"], ["version"])
 
 
 def observation_cache(spark: SparkSession, folder: str, species: str) -> DataFrame:
     """Observation cache files ``<site>_<species>.csv`` with the site taken from the file name."""
-    suffix = f"_{species.lower()}.csv"
-    raw = spark.read.option("header", True).csv(f"{folder}/*{suffix}")
     site = F.regexp_extract(_path(), rf"([^/]+)_{species.lower()}\.csv", 1)
-    value = first_column(raw.columns, ["value", species, species.lower(), "concentration", "val", "obs"])
-    lat = first_column(raw.columns, ["lat", "latitude", "Latitude"])
-    lon = first_column(raw.columns, ["lon", "longitude", "Longitude"])
 
     def number(c: str | None) -> Column:
         return F.col(c).try_cast("double") if c else F.lit(None).cast("double")
-    return raw.select(site.alias("site"), t.hour_floor(F.col("time").try_cast(t.NTZ)).alias("time"),
-                      F.nanvl(number(value), F.lit(None).cast("double")).alias("value"),
-                      number(lat).alias("lat"), number(lon).alias("lon"))
+
+    def one_header(raw: DataFrame) -> DataFrame:
+        value = first_column(raw.columns, ["value", species, species.lower(), "concentration", "val", "obs"])
+        lat = first_column(raw.columns, ["lat", "latitude", "Latitude"])
+        lon = first_column(raw.columns, ["lon", "longitude", "Longitude"])
+        return raw.select(site.alias("site"), t.hour_floor(F.col("time").try_cast(t.NTZ)).alias("time"),
+                          F.nanvl(number(value), F.lit(None).cast("double")).alias("value"),
+                          number(lat).alias("lat"), number(lon).alias("lon"))
+
+    return _stacked([one_header(raw) for raw in csv_by_header(spark, f"{folder}/*_{species.lower()}.csv")], spark,
+                    "site STRING, time TIMESTAMP_NTZ, value DOUBLE, lat DOUBLE, lon DOUBLE")
 
 
 def first_column(columns: Sequence[str], candidates: Sequence[str]) -> str | None:

@@ -27,21 +27,15 @@ def event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def new_readings(stream: DataFrame, sensor: str, ts: str, delay: str = "2 days") -> DataFrame:
-    """Readings of a sensor feed without repeats of the same sensor and time within the delay."""
-    return event_time(stream, ts, delay).dropDuplicatesWithinWatermark([sensor, ts])
-
-
-def append_readings(stream: DataFrame, path: str, checkpoint: str, sensor: str, ts: str, delay: str = "2 days"):
+def append_readings(stream: DataFrame, path: str, checkpoint: str, ts: str):
     """Run an ingest: each batch replaces its own folder, so a repeated batch changes nothing.
 
-    Late rows arrive in a later batch folder; :func:`read_readings` settles any remaining repeats.
+    Every row is kept, however late; :func:`read_readings` settles repeats of a sensor and time.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         day = batch.withColumns({ts: F.col(ts).cast(t.NTZ), "day": F.to_date(ts), "batch": F.lit(batch_id)})
         day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "day").parquet(path)
-    return new_readings(stream, sensor, ts, delay).writeStream.foreachBatch(write).option(
-        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_readings(spark: SparkSession, path: str, sensor: str, ts: str) -> DataFrame:
@@ -78,9 +72,10 @@ def latest_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
 # ---- NowCast with state --------------------------------------------------------------------
 
 def streaming_nowcast(hourly: DataFrame) -> DataFrame:
-    """NowCast over a stream of hourly rows ``site, ts, value`` whose hours arrive in order.
+    """NowCast over a stream of hourly rows ``site, ts, value`` that may come in any order.
 
-    Needs the RocksDB state store. A site keeps twelve values of state, whatever its history.
+    Needs the RocksDB state store. A site keeps ``nowcast_state.KEPT`` hours of state, whatever its history. A late hour within
+    them sends out anew all hours whose window holds it; :func:`latest_rows` reads the last version of each.
     """
     return hourly.groupBy("site").transformWithStateInPandas(
         statefulProcessor=nowcast_state.NowCastProcessor(), outputStructType=nowcast_state.OUTPUT, outputMode="Append",
@@ -88,6 +83,14 @@ def streaming_nowcast(hourly: DataFrame) -> DataFrame:
 
 
 def append_to_table(result: DataFrame, path: str, checkpoint: str):
-    """Run an append stream to its end into Parquet."""
-    return result.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint).trigger(
-        availableNow=True).start(path)
+    """Run an append stream to its end into Parquet; every batch has its own folder."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+    return result.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_rows(spark: SparkSession, path: str, schema: str, keys: list[str]) -> DataFrame:
+    """The last written version of every row of such a table."""
+    df = spark.read.schema(schema + ", batch INT").parquet(path)
+    rest = [c for c in df.columns if c not in (*keys, "batch")]
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
