@@ -1,6 +1,6 @@
 """Benchmark decontamination: rare n-gram seeds, then local alignment.
 
-The n-grams of the test items are counted over all documents. In every stretch of an item its rarest n-grams become seeds, so each
+The n-grams of the test items are counted over all documents. In every stretch of an item its rare n-grams become seeds, so each
 part of an item can be found however common it is. A document that has a seed is aligned, around the seed, with the
 item by Smith-Waterman over words; the score is the alignment's share of a perfect one.
 Test items go through in blocks of bounded size, one pass over the documents for each block.
@@ -25,10 +25,10 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 
 @dataclass(frozen=True)
 class Settings:
-    """Words of a seed, words of an item's stretch and seeds kept in each, least score, words and characters of a block of items."""
+    """Words of a seed, words of an item's stretch and spread of the seeds' frequencies in it, least score, words and characters of a block of items."""
     seed: int = 3
     stretch: int = 12
-    seeds: int = 2
+    spread: int = 20
     least: float = 0.6
     block_items: int = 20_000
     block_chars: int = 8_000_000
@@ -75,12 +75,18 @@ class Block:
         return out
 
     def choose(self, counts: dict[int, int], settings: Settings) -> None:
-        """Keep the rarest n-grams of every stretch as seeds."""
+        """Keep the rare n-grams of every stretch as seeds: those at most ``spread`` times as frequent as its rarest one.
+
+        N-grams that no document has cannot find anything. Frequency only matters within a stretch, so an item that stands in
+        very many documents keeps its seeds, and an edited copy keeps those that the edits left whole.
+        """
         where, chosen = self.all_codes(), set()
         for _, words in self.items:
             codes = self.codes(np.array(words), self.width(words)).tolist()
             for a in range(0, len(codes), settings.stretch):
-                chosen.update(sorted(codes[a:a + settings.stretch], key=lambda c: (counts.get(c, 0), c))[:settings.seeds])
+                seen = {c: counts[c] for c in codes[a:a + settings.stretch] if c in counts}
+                least = min(seen.values(), default=0)
+                chosen.update(c for c, n in seen.items() if n <= settings.spread * least)
         self.seeds = {c: where[c] for c in sorted(chosen)}
 
     def ids(self, text: str | None) -> np.ndarray:
