@@ -125,8 +125,11 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def aligned(block: Block, text: str | None, wanted: np.ndarray) -> list[tuple[int, float, int]]:
-    """(item, score, last word) of the best alignment with every item that has a seed in the text."""
+def aligned(block: Block, text: str | None, wanted: np.ndarray, least: float) -> list[tuple[int, float, int]]:
+    """(item, score, last word) of the best alignment with every item that has a seed in the text, if it scores ``least`` or more.
+
+    Where fewer words of a stretch are words of the item than that takes, no alignment can reach it and none is computed.
+    """
     ids = block.ids(text)
     if not len(wanted) or not ids.any():
         return []
@@ -144,11 +147,14 @@ def aligned(block: Block, text: str | None, wanted: np.ndarray) -> list[tuple[in
             lo, hi = max(0, o - reach // 2, done - reach), min(len(ids), o + reach + reach // 2)
             if hi <= done:
                 continue
+            done = hi
+            if np.isin(ids[lo:hi], item).sum() < least * len(words):
+                continue
             score, at = smith_waterman(item, ids[lo:hi])
             if score > best:
                 best, end = score, lo + at
-            done = hi
-        out.append((item_id, best / (MATCH * len(words)), end))
+        if best >= least * MATCH * len(words):
+            out.append((item_id, best / (MATCH * len(words)), end))
     return out
 
 
@@ -196,7 +202,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
         wanted = np.array(sorted(block.seeds), dtype=np.int64)
 
         def align(rows, block=block, wanted=wanted):
-            hits = [(i, *hit) for i, text in enumerate(rows["text"]) for hit in aligned(block, text, wanted) if hit[1] >= settings.least]
+            hits = [(i, *hit) for i, text in enumerate(rows["text"]) for hit in aligned(block, text, wanted, settings.least)]
             out = {"item_id": [h[1] for h in hits], "score": [h[2] for h in hits], "last_word": [h[3] for h in hits]}
             return out | {c: [rows[c][h[0]] for h in hits] for c in ("doc_id", *extra)}
 
@@ -224,7 +230,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Se
         wanted = np.array(sorted(block.seeds), dtype=np.int64)
 
         def clean(rows, block=block, wanted=wanted):
-            keep = [i for i, text in enumerate(rows["text"]) if all(score < settings.least for _, score, _ in aligned(block, text, wanted))]
+            keep = [i for i, text in enumerate(rows["text"]) if not aligned(block, text, wanted, settings.least)]
             return {c: [rows[c][i] for i in keep] for c in columns}
 
         out = per_batch(out, clean, schema)
