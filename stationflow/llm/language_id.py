@@ -55,6 +55,10 @@ class Model:
     def index(self) -> KeyIndex:
         return KeyIndex(self.codes, np.arange(len(self.codes)))
 
+    @cached_property
+    def padded(self) -> np.ndarray:
+        return np.vstack([self.weights, np.zeros((1, self.weights.shape[1]))])
+
     def present(self, text: str) -> np.ndarray:
         """Numbers of the known n-grams a text has."""
         flags = np.zeros(len(self.codes) + 1, dtype=bool)
@@ -68,8 +72,9 @@ class Model:
         if some:
             sets = [self.present(texts[i]) for i in some]
             sizes = np.array([len(s) for s in sets])
-            flat = np.concatenate([*sets, [0]])
-            sums = np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes, axis=0)
+            # one row of zeros behind the last text, so that a text without known n-grams has a place to sum from
+            flat = np.concatenate([*sets, [len(self.codes)]])
+            sums = np.add.reduceat(self.padded[flat], np.cumsum(sizes) - sizes, axis=0)
             values = np.where(sizes[:, None] > 0, sums, 0) / np.sqrt(np.maximum(sizes, 1))[:, None]
             best = values.argmax(axis=1)
             for i, k, v in zip(some, best.tolist(), values.max(axis=1).tolist()):
