@@ -71,15 +71,16 @@ def assign(docs: DataFrame, shards: int = 40, base: int = 40, text: str = "text"
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row; law ``key``.
 
     The id and the number of shards decide; a null id is a key like any other. ``size`` is the text's UTF-8 bytes plus 16, a null text counts as
-    empty. Slots number the rows of a shard from 0, in the order of a hash of the id, then id, size and checksum.
-    Equal rows are counted before the shuffle and written out again at the end, so one row with very many copies is no hot spot.
+    empty. Slots number the rows of a shard from 0, in the order of a hash of id, size and checksum, so that the rows of one id spread over the
+    blocks that number them. Equal rows are counted before the shuffle and written out again at the end, so neither an id with very many
+    texts nor a row with very many copies is a hot spot.
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), (F.octet_length(body) + 16).cast("bigint").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"))
     rows = slim.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("m"))
     rows = rows.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     placed = with_shard(with_shard(rows, "key", Tree.of(shards, base), "shard"), "key", Tree.of(shards + 1, base), "grown_shard")
-    placed = placed.withColumn("h", hashed(F.col("key"), F.lit("slot")))
+    placed = placed.withColumn("h", hashed(F.concat_ws(":", "key", "size", "text_crc32"), F.lit("slot")))
     n_blocks = max(1, math.ceil(docs.count() / (shards * BLOCK_ROWS) * 2))
     placed = placed.withColumn("block", F.floor(F.col("h") / RANGE * n_blocks).cast("int"))
     offsets = slot_offsets(placed.groupBy("shard", "block").agg(F.sum("m").alias("m")))

@@ -81,7 +81,7 @@ crc AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8),
 d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS key, coalesce(text, '') AS t FROM documents),
 e AS (SELECT doc_id, key, strlen(t) + 16 AS size, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::BIGINT)),
   lambda a, b: xor(a >> 8, tab[xor(a & 255, b) + 1])), 4294967295) AS text_crc32 FROM d, crc),
-f AS (SELECT *, ('0x' || substr(md5(key || ':slot'), 1, 13))::BIGINT AS h, {_REGIONS}, {_RACKS}, {_SHARDS}, {_draw('x40', 1)} AS rx FROM e),
+f AS (SELECT *, ('0x' || substr(md5(key || ':' || size || ':' || text_crc32 || ':slot'), 1, 13))::BIGINT AS h, {_REGIONS}, {_RACKS}, {_SHARDS}, {_draw('x40', 1)} AS rx FROM e),
 g AS (SELECT doc_id, size, text_crc32, h, {_SHARD} AS shard, rx < least(r0, r1, r2, r3, r4) AS moves FROM f)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
   CASE WHEN moves THEN 40 ELSE shard END AS grown_shard FROM g"""

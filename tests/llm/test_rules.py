@@ -102,3 +102,11 @@ def test_slots_are_gapless_with_copies_and_odd_rows(spark, docs, monkeypatch):
         if r["doc_id"] == 7 and r["size"] == 20:
             assert r["text_crc32"] == zlib.crc32(b"copy")
     assert shards.assign(docs([])).count() == 0
+
+
+def test_an_id_with_many_texts_is_numbered_in_many_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(shards, "BLOCK_ROWS", 4)
+    rows = shards.assign(docs([(1, "x" * i) for i in range(400)]), shards=4, base=4).collect()
+    assert len({r["shard"] for r in rows}) == 1 and sorted(r["slot"] for r in rows) == list(range(400))
+    keys = spark.createDataFrame([(r["size"], r["text_crc32"]) for r in rows], "size bigint, crc bigint").select(F.concat_ws(":", F.lit("1"), "size", "crc").alias("k"))
+    assert keys.select(F.floor(shards.hashed(F.col("k"), F.lit("slot")) / shards.RANGE * 50)).distinct().count() == 50
