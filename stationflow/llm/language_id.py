@@ -24,12 +24,24 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class FitSettings:
-    """Bounds of the fit: rows and landmarks of a language, characters of a text taken into the fit."""
+    """Bounds of the fit: rows and landmarks of a language and of all languages together, characters of a text taken into the fit."""
     rows: int = 150
     landmarks: int = 30
+    all_rows: int = 9000
+    all_landmarks: int = 900
     max_chars: int = 20_000
     ridge: float = 1e-2
 
+    def rows_of(self, languages: int) -> int:
+        return max(1, min(self.rows, self.all_rows // languages))
+
+    def landmarks_of(self, languages: int) -> int:
+        return max(1, min(self.landmarks, self.all_landmarks // languages))
+
+
+#: Texts whose n-grams are held as a dense matrix at a time.
+CHUNK = 256
+
 
 def grams(text: str) -> np.ndarray:
     """Codes of all n-grams of the lower-cased text; 21 bits a character, so codes are exact."""
@@ -65,6 +77,14 @@ class Model:
         flags[self.index.find(grams(text), -1)] = True
         return np.flatnonzero(flags[:-1])
 
+    def presences(self, texts: list[str]) -> np.ndarray:
+        """A row for each text: its known n-grams, scaled to length one."""
+        out = np.zeros((len(texts), len(self.codes)), dtype=np.float32)
+        for row, text in enumerate(texts):
+            some = self.present(text)
+            out[row, some] = 1 / np.sqrt(max(len(some), 1))
+        return out
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text; without a letter, or without anything learnt, ``und`` and 0."""
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -87,14 +107,11 @@ def fit(texts: list[str], languages: list[str], settings: FitSettings = FitSetti
     names = sorted(set(languages))
     if not names:
         return Model([], np.zeros(0, dtype=np.int64), np.zeros((0, 0)))
-    marks = [i for l in names for i in [k for k, x in enumerate(languages) if x == l][:settings.landmarks]]
+    marks = [i for l in names for i in [k for k, x in enumerate(languages) if x == l][:settings.landmarks_of(len(names))]]
     codes = np.unique(np.concatenate([grams(texts[i]) for i in marks]))
     blank = Model(names, codes, np.zeros((len(codes), len(names))))
-    sets = [blank.present(t) for t in texts]
-    dense = np.zeros((len(texts), len(codes)), dtype=np.float32)
-    for row, s in enumerate(sets):
-        dense[row, s] = 1 / np.sqrt(max(len(s), 1))
-    kernel = (dense @ dense[marks].T).astype(np.float64)
+    base = blank.presences([texts[i] for i in marks])
+    kernel = np.vstack([blank.presences(texts[at:at + CHUNK]) @ base.T for at in range(0, len(texts), CHUNK)]).astype(np.float64)
     values, vectors = np.linalg.eigh(kernel[marks])
     keep = values > 1e-8 * values.max()
     half = vectors[:, keep] / np.sqrt(values[keep])
@@ -103,7 +120,9 @@ def fit(texts: list[str], languages: list[str], settings: FitSettings = FitSetti
     # each language weighs the same, however many rows it has
     weight = (1 / np.array([languages.count(l) for l in names]))[[names.index(l) for l in languages]][:, None]
     w = np.linalg.solve((phi * weight).T @ phi + settings.ridge / len(names) * np.eye(phi.shape[1]), (phi * weight).T @ target)
-    return Model(names, codes, dense[marks].T.astype(np.float64) @ (half @ w))
+    parts = half @ w
+    weights = sum(base[at:at + CHUNK].T.astype(np.float64) @ parts[at:at + CHUNK] for at in range(0, len(marks), CHUNK))
+    return Model(names, codes, weights)
 
 
 def train(docs: DataFrame, settings: FitSettings = FitSettings()) -> Model:
@@ -117,14 +136,15 @@ def train(docs: DataFrame, settings: FitSettings = FitSettings()) -> Model:
     if not counts:
         return fit([], [], settings)
     # a row is taken when its hash is below its language's share; twice the rows asked for, the surplus is cut below
-    share = F.element_at(F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, min(1.0, 2 * settings.rows / n))]), F.col("lang"))
+    most = settings.rows_of(len(counts))
+    share = F.element_at(F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, min(1.0, 2 * most / n))]), F.col("lang"))
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     rows = (usable.withColumn("h", hashed).where(F.col("h") < share * float(1 << 40))
-            .orderBy("h", "doc_id", "text").limit(3 * settings.rows * len(counts)).collect())
+            .orderBy("h", "doc_id", "text").limit(3 * most * len(counts)).collect())
     taken: dict[str, int] = {}
     picked, seen = [], set()
     for r in rows:
-        if taken.get(r["lang"], 0) < settings.rows and r["text"] not in seen:
+        if taken.get(r["lang"], 0) < most and r["text"] not in seen:
             seen.add(r["text"])
             taken[r["lang"]] = taken.get(r["lang"], 0) + 1
             picked.append(r)
