@@ -53,7 +53,7 @@ sf AS (SELECT site, ts, last_value(pm25_conc_cnn IGNORE NULLS) OVER w AS pm25_co
 
 @query(f"""WITH {PAIRS_SQL}, {_SLOT_STATIONS},
 mg AS (SELECT coalesce(sf.site, p.site) AS site, coalesce(sf.ts, p.ts) AS ts, pm25_conc_cnn, pm25_aqi, value AS pm25_rh35, model AS no2
-  FROM sf FULL JOIN (SELECT * FROM pairs WHERE hour(ts) <> 5) p ON sf.site = p.site AND sf.ts = p.ts),
+  FROM sf FULL JOIN (SELECT site, ts, CASE WHEN hour(ts) <> 5 THEN value END AS value, CASE WHEN hour(ts) <> 5 THEN model END AS model FROM pairs) p ON sf.site = p.site AND sf.ts = p.ts),
 kept AS (SELECT *, CASE WHEN pm25_conc_cnn IS NULL THEN 'model' ELSE 'station' END AS pm25source FROM mg
   WHERE pm25_rh35 IS NOT NULL OR no2 IS NOT NULL OR pm25_conc_cnn IS NOT NULL),
 i AS (SELECT *, {index_sql('nowcast', 'PM2.5')} AS pm, {index_sql('roll', 'NO2')} AS na FROM
@@ -65,7 +65,8 @@ def station_forecast(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     st = ev.select(F.col("event_type").alias("site"), "ts", F.col("value").alias("pm25_conc_cnn"),
                    F.when(F.col("value") > 50, (F.col("event_id") % 300).cast("double")).alias("pm25_aqi"))
-    mod = hourly_pairs(spark, sf_dir).where(F.hour("ts") != 5).withColumnsRenamed({"value": "pm25_rh35", "model": "no2"})
+    known = F.hour("ts") != 5
+    mod = hourly_pairs(spark, sf_dir).select("site", "ts", F.when(known, F.col("value")).alias("pm25_rh35"), F.when(known, F.col("model")).alias("no2"))
     out = forecasts.station_forecast(st, mod, SITE, "ts", ("station", "model"))
     return out.select("site", "ts", r6("pm25_conc_cnn").alias("pm25_conc_cnn"), "pm25_aqi", "pm25source",
                       r6("PM25_NowCast_Concentration").alias("nowcast"), "PM25_NowCast_AQI", "NO2_AQI", "overall_aqi")
@@ -147,7 +148,7 @@ def observation_windows(spark, sf_dir):
 
 
 @query(f"""WITH {HOURLY_TYPE_SQL}, {PAIRS_SQL},
-v AS (SELECT site, ts, value AS ref FROM h WHERE hour(ts) BETWEEN 6 AND 18),
+v AS (SELECT site, ts, CASE WHEN hour(ts) BETWEEN 6 AND 18 THEN value END AS ref FROM h),
 p AS (SELECT site, ts, model, value FROM pairs WHERE value > 20),
 m AS (SELECT coalesce(p.site, v.site) AS site, coalesce(p.ts, v.ts) AS ts, model, value, ref FROM p FULL JOIN v ON p.site = v.site AND p.ts = v.ts),
 d AS (SELECT site, date_trunc('day', ts)::TIMESTAMP AS ts, avg(model) AS model, avg(value) AS value, avg(ref) AS ref FROM m GROUP BY 1, 2),
@@ -156,6 +157,6 @@ SELECT d.site, first + to_days(CAST(date_diff('day', first, ts) // 5 * 5 AS INT)
 FROM d JOIN b ON b.site = d.site GROUP BY 1, 2""")
 def location_report(spark, sf_dir):
     merged = hourly_pairs(spark, sf_dir).withColumn("value", F.when(F.col("value") > 20, F.col("value")))
-    ref = hourly_by_type(spark, sf_dir).where(F.hour("ts").between(6, 18)).withColumnRenamed("value", "ref")
+    ref = hourly_by_type(spark, sf_dir).select("site", "ts", F.when(F.hour("ts").between(6, 18), F.col("value")).alias("ref"))
     out = site_plans.location_report(merged, ref, SITE, "ts", ["model", "value"], ["ref"])
     return round_columns(out, ["model", "value", "ref"])

@@ -258,7 +258,7 @@ def intervals_with_model(spark, sf_dir):
 
 
 @query(f"""WITH {HOURLY_TYPE_SQL}, {PAIRS_SQL},
-v AS (SELECT site, ts, value AS ref FROM h WHERE hour(ts) BETWEEN 6 AND 18),
+v AS (SELECT site, ts, CASE WHEN hour(ts) BETWEEN 6 AND 18 THEN value END AS ref FROM h),
 m AS (SELECT coalesce(p.site, v.site) AS site, coalesce(p.ts, v.ts) AS ts, model, ref FROM pairs p FULL JOIN v ON p.site = v.site AND p.ts = v.ts),
 d AS (SELECT site, date_trunc('day', ts)::TIMESTAMP AS ts, avg(model) AS model, avg(ref) AS ref FROM m GROUP BY 1, 2),
 b AS (SELECT site, min(ts) AS first FROM d GROUP BY 1)
@@ -268,5 +268,5 @@ def validation_comparison(spark, sf_dir):
     """Model against an independent daytime sensor, daily and then five-day means."""
     from ..operators.evaluate import compare_with_validation
     main = hourly_pairs(spark, sf_dir).select("site", "ts", "model")
-    ref = hourly_by_type(spark, sf_dir).where(F.hour("ts").between(6, 18)).withColumnRenamed("value", "ref")
+    ref = hourly_by_type(spark, sf_dir).select("site", "ts", F.when(F.hour("ts").between(6, 18), F.col("value")).alias("ref"))
     return round_columns(compare_with_validation(main, ref, SITE, "ts", ["model"], ["ref"]), ["model", "ref"])

@@ -77,16 +77,16 @@ def grid_daily_mean(spark, sf_dir):
 
 
 @query(f"""WITH {SITES_SQL}, f AS (SELECT l_suppkey AS site, count(*) AS n, count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS n_a,
-  count(CASE WHEN l_returnflag = 'A' AND l_quantity > 25 THEN 1 END) AS n_big FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-06-01' GROUP BY 1)
-SELECT sites.site, CASE WHEN n IS NULL THEN 'no_obs' WHEN n_a = 0 THEN 'all_nan' WHEN n_big < 80 THEN 'too_few_rows'
+  count(CASE WHEN l_returnflag = 'A' AND l_quantity > 25 THEN 1 END) AS n_big FROM lineitem GROUP BY 1)
+SELECT sites.site, CASE WHEN n IS NULL THEN 'no_obs' WHEN n_a = 0 THEN 'all_nan' WHEN n_big < 100 THEN 'too_few_rows'
   WHEN balance < 0 THEN 'no_coords' ELSE 'ok' END AS status, coalesce(n_big, 0) AS n_rows
 FROM sites LEFT JOIN f ON f.site = sites.site""")
 def run_log(spark, sf_dir):
     flag, big = F.col("l_returnflag") == "A", F.col("l_quantity") > 25
-    facts = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < "1999-06-01").groupBy(
+    facts = table(spark, sf_dir, "lineitem").groupBy(
         F.col("l_suppkey").alias("site")).agg(
         F.count("*").alias("n"), F.count_if(flag).alias("n_a"), F.count_if(flag & big).alias("n_big"))
-    rules = [("no_obs", F.col("n").isNull()), ("all_nan", F.col("n_a") == 0), ("too_few_rows", F.col("n_big") < 80),
+    rules = [("no_obs", F.col("n").isNull()), ("all_nan", F.col("n_a") == 0), ("too_few_rows", F.col("n_big") < 100),
              ("no_coords", F.col("balance") < 0)]
     return aggregates.run_log(sites(spark, sf_dir), facts, SITE, rules, "n_big")
 

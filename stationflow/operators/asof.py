@@ -12,12 +12,13 @@ from .setops import keep_first
 
 
 def nearest_in_time(targets: DataFrame, series: DataFrame, keys: Sequence[str], target_ts: str,
-                    ts: str, position: str | None = None, prefer: str = "position") -> DataFrame:
+                    ts: str, position: str | None = None, prefer: str = "position", seconds: int = 3600) -> DataFrame:
     """For each target the row of ``series`` closest in time, with an exact match first.
 
     Equal distances: the row that comes first in ``position`` (``prefer="position"``), or the
     earlier time (``prefer="earlier"``). Both sides are stacked on one time axis and every
-    target takes its neighbours from there, so the cost grows with rows, not with pairs.
+    target takes its neighbours from there, so the cost grows with rows, not with pairs. A raw
+    series is ordered in blocks of ``seconds``; a key's blocks, one summary row each, are what one task orders as a whole.
     Targets of a key without any series row are dropped.
     """
     payload = [c for c in series.columns if c not in keys]
@@ -27,7 +28,7 @@ def nearest_in_time(targets: DataFrame, series: DataFrame, keys: Sequence[str],
     stacked = rows.select(*keys, F.col(ts).alias("_t"), F.struct(*payload).alias("_row"))
     asked = targets.select(*keys, F.col(target_ts).alias("_t"), F.struct(*t_cols).alias("_ask"))
     axis = stacked.join(asked, [*keys, "_t"], "full")
-    near = blocks.with_neighbours(axis, keys, "_t", ["_row"])
+    near = blocks.with_neighbours(axis, keys, "_t", ["_row"], seconds)
     near = near.where(F.col("_ask").isNotNull())
     before, after = F.col("_prev__row"), F.col("_next__row")
     back = epoch_micros(F.col("_t")) - epoch_micros(before["t"])

@@ -2,8 +2,9 @@
 
 Equal values are counted first (map-side combined), so heavily repeated values shrink to one
 row. The distinct values of a group are then cut into value blocks that are ordered
-independently; only block totals are ordered per group. Quantiles sort just the blocks that
-hold a wanted position.
+independently; only block totals are ordered per group. A block with many distinct values is cut
+again, evenly between its own least and largest value, so blocks stay small where values lie within a narrow range. Quantiles
+sort just the blocks that hold a wanted position.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BLOCKS_PER_E_FOLD = 256
+#: Distinct values of a block on average, where values are spread evenly within their first block.
+BLOCK_VALUES = 4096
 
 
 def value_block(v: Column, per_e_fold: int = BLOCKS_PER_E_FOLD) -> Column:
@@ -32,7 +35,7 @@ def _counted(df: DataFrame, keys: list[str], value: str, weight: str | None) ->
     base = df.select(*keys, F.col(value).cast("double").alias("_v"), rows.alias("_w")).where(
         "_v IS NOT NULL AND NOT isnan(_v)")
     counts = base.groupBy(*keys, "_v").agg(F.sum("_w").alias("n_equal"))
-    counts = counts.withColumn("_blk", value_block(F.col("_v")))
+    counts = _cut(counts.withColumn("_blk", value_block(F.col("_v"))), keys)
     totals = counts.groupBy(*keys, "_blk").agg(F.sum("n_equal").alias("_n"))
     upto = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(
@@ -43,6 +46,16 @@ def _counted(df: DataFrame, keys: list[str], value: str, weight: str | None) ->
     return counts, offsets
 
 
+def _cut(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """``_blk`` as (first block, piece): a first block of n distinct values has about n / BLOCK_VALUES pieces."""
+    sizes = counts.groupBy(*keys, "_blk").agg(
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.ceil(F.count(F.lit(1)) / BLOCK_VALUES).alias("_k")).where("_k > 1")
+    # subtracting, dividing and multiplying never turn the order of two doubles round, so pieces follow the values
+    piece = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_k")), F.col("_k") - 1)
+    return counts.join(sizes, [*keys, "_blk"], "left").withColumn(
+        "_blk", F.struct("_blk", F.coalesce(piece, F.lit(0)).alias("piece"))).drop("_lo", "_hi", "_k")
+
+
 def _ranked(counts: DataFrame, offsets: DataFrame, keys: list[str], value: str) -> DataFrame:
     inside = Window.partitionBy(*keys, "_blk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     out = counts.join(offsets, [*keys, "_blk"]).withColumn(

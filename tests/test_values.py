@@ -183,3 +183,26 @@ def test_flatten_and_drop_empty(spark):
     flat = clean.flatten_paths(df)
     assert flat.columns == ["a_b_c", "a_b_d", "n"]
     assert clean.drop_empty_features(flat, ["n"]).columns == ["a_b_c", "a_b_d"]
+
+
+def test_values_close_together_are_ranked_in_many_blocks(spark):
+    df = spark.range(60_000).select((F.lit(100_000) + F.pmod(F.col("id") * 7919, F.lit(60_000)) / 30).alias("v"), F.lit("a").alias("k"))
+    counts, _ = ranks._counted(df, ["k"], "v", None)
+    assert counts.groupBy("_blk").count().agg(F.max("count")).first()[0] <= 2 * ranks.BLOCK_VALUES
+    got = ranks.value_counts(df, ["k"], "v").orderBy("v").select("n_upto", "n_all").collect()
+    assert [r["n_upto"] for r in got] == list(range(1, 60_001)) and got[0]["n_all"] == 60_000
+
+
+def test_raw_series_of_one_site_is_ordered_hour_by_hour(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.lit("a").alias("site"), F.timestamp_seconds(F.col("id") * 37).cast("timestamp_ntz").alias("ts"), F.col("id").alias("pos"))
+    seen, real = [], asof.blocks.with_neighbours
+
+    def watched(df, keys, ts, values, seconds):
+        seen.append(df.groupBy(F.floor(F.unix_timestamp(F.col(ts).cast("timestamp")) / seconds)).count().agg(F.max("count")).first()[0])
+        return real(df, keys, ts, values, seconds)
+
+    monkeypatch.setattr(asof.blocks, "with_neighbours", watched)
+    targets = spark.range(200).select(F.lit("a").alias("site"), F.timestamp_seconds(F.col("id") * 3700 + 20).cast("timestamp_ntz").alias("target"), "id")
+    got = {r["id"]: r["pos"] for r in asof.nearest_in_time(targets, rows, ["site"], "target", "ts", "pos").collect()}
+    assert got == {i: min(range(20_000), key=lambda p: (abs(p * 37 - i * 3700 - 20), p)) for i in range(200)}
+    assert max(seen) <= 100
