@@ -238,7 +238,25 @@ def merge_documents(spark, sf_dir):
         F.min("event_id").alias("value"))
     orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.count("*").alias("value"))
     right = docs(few.unionByName(orders.withColumn("name", F.lit("orders"))))
-    return joins.merge_documents(left, right, "key", "doc")
+    return joins.merge_documents(left, right, "key", "doc").drop("kind")
+
+
+@query(r"""WITH e AS (SELECT * FROM events),
+l AS (SELECT event_id, unnest([{'p': 'a.b.c.d.e.f.g.h.x', 'v': CAST(event_id AS VARCHAR)}, {'p': 'o.x', 'v': event_type}, {'p': 'p\.q', 'v': '1'}, {'p': 'p.q', 'v': '2'},
+  {'p': 's', 'v': '{"looks":"like"}'}, {'p': 'n', 'v': '5'}], recursive := true) FROM e),
+r AS (SELECT event_id, unnest([{'p': 'a.b.c.d.e.f.g.h.y', 'v': event_type}, {'p': 'p.q', 'v': '3'}, {'p': 'n', 'v': '{}'}], recursive := true) FROM e WHERE event_id % 2 = 0)
+SELECT coalesce(l.event_id, r.event_id) AS key, coalesce(l.p, r.p) AS path, coalesce(r.v, l.v) AS value FROM l FULL JOIN r ON l.event_id = r.event_id AND l.p = r.p""")
+def merge_nested_documents(spark, sf_dir):
+    """Overlay with nine levels, empty objects, names with dots and strings that look like JSON; every other document has a right side."""
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("key"), "event_type")
+
+    def deep(name, value):
+        return F.concat(F.lit('"a":{"b":{"c":{"d":{"e":{"f":{"g":{"h":{"' + name + '":'), value, F.lit("}}}}}}}}"))
+    kind = F.concat(F.lit('"'), "event_type", F.lit('"'))
+    left = F.concat(F.lit("{"), deep("x", F.col("key")), F.lit(',"o":{"x":'), kind, F.lit(r'},"p.q":1,"p":{"q":2},"s":"{\"looks\":\"like\"}","n":5}'))
+    right = F.concat(F.lit("{"), deep("y", kind), F.lit(',"o":{},"p":{"q":3},"n":{}}'))
+    out = joins.merge_documents(ev.select("key", left.alias("doc")), ev.where("key % 2 = 0").select("key", right.alias("doc")), "key", "doc")
+    return out.drop("kind")
 
 
 @query(f"""WITH {PAIRS_SQL},

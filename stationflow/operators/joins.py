@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions import documents
 from .align import resample_mean
 
 
@@ -101,57 +102,50 @@ def hours_of_sites(sites: DataFrame, start: Column, hours: int) -> DataFrame:
         "target", start + F.make_dt_interval(F.lit(0), F.col("offset")))
 
 
-def overlay(left: DataFrame, right: DataFrame, key: Sequence[str] = ("key", "path"), value: str = "value") -> DataFrame:
-    """Right entries replace or extend left entries."""
-    merged = left.withColumnRenamed(value, "_l").join(
-        right.withColumn("_has", F.lit(True)).withColumnRenamed(value, "_r"), list(key), "full")
-    return merged.select(*key, F.when(F.col("_has"), F.col("_r")).otherwise(F.col("_l")).alias(value))
+def json_paths(df: DataFrame, key: str, doc: str) -> DataFrame:
+    """JSON documents as rows ``(key, steps, kind, value)``, one per leaf, however deep.
 
+    ``steps`` are the names on the way, ``kind`` tells a string from the number or object it may look like. Empty
+    objects are leaves of kind ``object``; arrays stay JSON text.
+    """
+    take_apart = F.pandas_udf(documents.leaves_of, documents.LEAVES)
+    return df.select(key, F.explode(take_apart(F.col(doc).cast("string"))).alias("_l")).select(key, "_l.steps", "_l.kind", "_l.value")
 
-def json_paths(df: DataFrame, key: str, doc: str, depth: int = 6) -> DataFrame:
-    """JSON objects as rows ``(key, path, value)``, one per leaf, up to ``depth`` levels.
 
-    Arrays and anything deeper stay JSON text in ``value``.
-    """
-    as_map = T.MapType(T.StringType(), T.StringType())
-    level = df.select(key, F.lit("").alias("path"), F.col(doc).alias("value"))
-    for _ in range(depth):
-        is_object = F.coalesce(F.ltrim("value").startswith("{") & (F.ltrim("value") != "{}"), F.lit(False))
-        children = F.when(is_object, F.from_json("value", as_map))
-        own = F.create_map(F.lit(""), F.col("value"))
-        level = level.select(
-            key, "path", F.explode(F.coalesce(children, own)).alias("_k", "value")
-        ).select(
-            key,
-            F.when(F.col("_k") == "", F.col("path"))
-            .when(F.col("path") == "", F.col("_k"))
-            .otherwise(F.concat_ws(".", "path", "_k")).alias("path"),
-            "value")
-    return level
-
-
-def merge_documents(left: DataFrame, right: DataFrame, key: str, doc: str, depth: int = 6) -> DataFrame:
-    """Recursive overlay of two sets of JSON documents, as leaf rows ``(key, path, value)``.
-
-    Where one side has an object and the other a plain value at the same path, the right side
-    decides, as in a recursive dictionary merge.
+def path_text(steps: Column) -> Column:
+    """Steps joined by dots; dots and backslashes within a step get a backslash, so different steps never look alike."""
+    return F.array_join(F.transform(steps, lambda s: F.regexp_replace(s, r"([.\\])", r"\\$1")), ".")
+
+
+def merge_documents(left: DataFrame, right: DataFrame, key: str, doc: str) -> DataFrame:
+    """Recursive overlay of two sets of JSON documents, as leaf rows ``(key, path, kind, value)``.
+
+    Objects on both sides are merged; anywhere else the right side decides. An empty object on the right
+    therefore replaces a plain value, but nothing of an object. Documents without a key keep their own leaves.
     """
-    l, r = json_paths(left, key, doc, depth), json_paths(right, key, doc, depth)
-    # leaves of the left below or above a path the right side redefines are replaced
-    parents = r.select(key, "path", F.explode(_ancestors("path")).alias("_up")).select(
-        key, F.col("_up").alias("path")).distinct()
-    kept = l.join(parents, [key, "path"], "left_anti")
-    below = kept.withColumn("_up", F.explode(F.concat(_ancestors("path"), F.array("path"))))
-    hidden = below.join(r.select(key, F.col("path").alias("_up")), [key, "_up"], "left_semi").select(
-        key, "path").distinct()
-    return kept.join(hidden, [key, "path"], "left_anti").unionByName(r)
-
-
-def _ancestors(path: str) -> Column:
-    parts = F.split(path, r"\.")
-    cuts = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(
-        F.array().cast("array<int>"))
-    return F.transform(cuts, lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."))
+    l, r = json_paths(left, key, doc), json_paths(right, key, doc)
+    at = [key, "steps"]
+    plain = r.where("kind <> 'object'")
+    # right objects stand at all places above right leaves; what the left has exactly there is replaced
+    taken = r.select(*at).union(_above(r, key)).distinct()
+    kept = l.join(taken, at, "left_anti")
+    hidden = kept.select(key, "steps", F.explode(_upper("steps")).alias("_up")).join(
+        plain.select(key, F.col("steps").alias("_up")), [key, "_up"], "left_semi").select(*at).distinct()
+    kept = kept.join(hidden, at, "left_anti")
+    filled = _above(l, key).distinct()
+    added = plain.unionByName(r.where("kind = 'object'").join(filled, at, "left_anti"))
+    return kept.unionByName(added).select(key, path_text(F.col("steps")).alias("path"), "kind", "value")
+
+
+def _above(rows: DataFrame, key: str) -> DataFrame:
+    return rows.select(key, F.explode(_upper("steps")).alias("steps"))
+
+
+def _upper(steps: str) -> Column:
+    """All proper beginnings of a list of steps, the empty one included."""
+    n = F.size(steps)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.slice(steps, F.lit(1), k))).otherwise(
+        F.array().cast("array<array<string>>"))
 
 
 def intervals_with_model(intervals: DataFrame, predictions: DataFrame, model: DataFrame,

@@ -131,6 +131,23 @@ def test_document_overlay(spark):
     assert got == {"a.x": "1", "a.y": "9", "a.z": "4", "b.k": "5", "d": "7"}
 
 
+def test_overlay_rules(spark):
+    def merged(left, right):
+        a, b = (spark.createDataFrame([(1, d)], "key INT, doc STRING") for d in (left, right))
+        return {r.path: (r.kind, r.value) for r in joins.merge_documents(a, b, "key", "doc").collect()}
+
+    deep = '{"a":' * 40 + '{"%s":1}' + "}" * 40
+    assert set(merged(deep % "x", deep % "y")) == {"a." * 40 + "x", "a." * 40 + "y"}
+    assert merged('{"a":{"x":1}}', '{"a":{}}') == {"a.x": ("number", "1")}
+    assert merged('{"a":{}}', '{"a":{"x":1.50}}') == {"a.x": ("number", "1.50")}
+    assert merged('{"a":{}}', '{"a":{}}') == {"a": ("object", "{}")}
+    assert merged('{"a":5}', '{"a":{}}') == {"a": ("object", "{}")}
+    assert merged('{"a":{"x":1}}', '{"a":null}') == {"a": ("null", None)}
+    assert merged('{"a.b":1,"a":{"b":2}}', '{"a":{"b":3}}') == {"a\\.b": ("number", "1"), "a.b": ("number", "3")}
+    assert merged('{"a":"{\\"x\\":1}","":4}', None) == {"a": ("string", '{"x":1}'), "": ("number", "4")}
+    assert merged(None, None) == {"": ("object", "{}")} and merged("not json", '{"a":[1,{"b":"c"}]}') == {"a": ("array", '[1,{"b":"c"}]')}
+
+
 def test_thresholds(spark):
     df = spark.createDataFrame([(0.0,), (0.5,), (1.0,), (3.2,), (99.0,), (None,)], "value DOUBLE")
     got = [r.nsites for r in joins.sites_by_threshold(df, "value", 4).orderBy("threshold").collect()]
