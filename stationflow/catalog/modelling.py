@@ -14,6 +14,14 @@ SITE = ["site"]
 FEW_TREES = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.3}
 
 
+def _share(seed: int, key: str) -> str:
+    return f"('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0"
+
+
+#: Key text of an hourly row, as folds and parts hash it.
+_ROW = "site || '|' || CAST(ts AS VARCHAR)"
+
+
 def _model_and_obs(spark, sf_dir):
     pairs = hourly_pairs(spark, sf_dir)
     model = pairs.select("site", "ts", F.col("model").alias("no2"), (F.col("model") / 2 + F.hour("ts")).alias("zpbl"))
@@ -57,15 +65,17 @@ def expanding_validation(spark, sf_dir):
     return round_columns(models.fold_scores(out, SITE, "fold", "value", "prediction"), ["cv_rmse", "cv_r2", "cv_mae"], 4)
 
 
-@query()
+@query(f"""WITH {PAIRS_SQL}, f AS (SELECT *, CAST(floor({_share(42, _ROW)} * 3) AS INT) AS fold FROM pairs),
+t AS (SELECT a.site, a.fold, regr_slope(b.value, b.model) / (1 + 1e-6) AS slope, regr_avgy(b.value, b.model) AS my, regr_avgx(b.value, b.model) AS mx
+  FROM (SELECT DISTINCT site, fold FROM f) a JOIN f b ON b.site = a.site AND b.fold <> a.fold GROUP BY 1, 2),
+p AS (SELECT f.site, f.fold, value, my + slope * (model - mx) AS p FROM f JOIN t ON t.site = f.site AND t.fold = f.fold),
+s AS (SELECT site, fold, sqrt(avg(pow(value - p, 2))) AS rmse, 1 - avg(pow(value - p, 2)) / var_pop(value) AS r2, avg(abs(value - p)) AS mae FROM p GROUP BY 1, 2)
+SELECT site, R4(avg(rmse)) AS cv_rmse, R4(avg(r2)) AS cv_r2, R4(avg(mae)) AS cv_mae, count(*) AS n_folds FROM s GROUP BY 1""")
 def kfold_validation(spark, sf_dir):
+    """Shuffled three-fold validation of the site regressions."""
     folded = folds.shuffled_folds(hourly_pairs(spark, sf_dir), ["site", "ts"], 3)
     out = models.cross_validate(folded, SITE, "fold", ["model"], "value", "kfold")
-    return models.fold_scores(out, SITE, "fold", "value", "prediction")
-
-
-def _share(seed: int, key: str) -> str:
-    return f"('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0"
+    return round_columns(models.fold_scores(out, SITE, "fold", "value", "prediction"), ["cv_rmse", "cv_r2", "cv_mae"], 4)
 
 
 @query(f"""SELECT part, fold, count(*) AS n FROM (SELECT CASE WHEN {_share(7, 'event_id')} < 0.3 THEN 'test' ELSE 'train' END AS part,
@@ -150,15 +160,23 @@ def feature_importance(spark, sf_dir):
     return models.importances(models.fit_trees(pairs, ["model", "hour", "weekday"], "value", **FEW_TREES), spark)
 
 
-@query()
+@query(f"""WITH {PAIRS_SQL}, c AS (SELECT *, count(*) OVER (PARTITION BY site) AS n FROM pairs WHERE value IS NOT NULL AND model IS NOT NULL),
+t AS (SELECT site, regr_slope(value - model, model) / (1 + 1e-3) AS slope, regr_avgy(value - model, model) AS my, regr_avgx(value - model, model) AS mx
+  FROM c WHERE n >= 50 AND {_share(7, _ROW)} >= 0.2 GROUP BY 1),
+r AS (SELECT site, avg(value) AS obs, avg(my + slope * (coalesce(model, 0) - mx) + model) AS pred FROM pairs JOIN t USING (site) GROUP BY 1)
+SELECT site, R4(obs) AS obs, R4(pred) AS pred, R4(obs / nullif(pred, 0)) AS ratio, R4((obs / nullif(pred, 0) - 1) * 100) AS "relChange" FROM r""")
 def site_list_training(spark, sf_dir):
     """All sites trained at once on the increment over the model, with their ratios."""
     merged = hourly_pairs(spark, sf_dir).withColumnRenamed("model", "no2")
     trained = site_plans.train_sites(merged, SITE, "ts", min_rows=50, increment=True)
-    return site_plans.predicted_ratios(trained, merged, SITE, "ts")
+    return round_columns(site_plans.predicted_ratios(trained, merged, SITE, "ts"), ["obs", "pred", "ratio", "relChange"], 4)
 
 
-@query()
+@query(f"""WITH {PAIRS_SQL}, c AS (SELECT *, {_share(7, _ROW)} < 0.3 AS test FROM pairs WHERE value IS NOT NULL AND model IS NOT NULL),
+t AS (SELECT site, regr_slope(value, model) / (1 + 1e-3) AS slope, regr_avgy(value, model) AS my, regr_avgx(value, model) AS mx FROM c WHERE NOT test GROUP BY 1),
+p AS (SELECT c.*, my + slope * (model - mx) AS mid FROM c JOIN t USING (site)),
+q AS (SELECT site, quantile_cont(value - mid, 0.15) AS lo, quantile_cont(value - mid, 0.85) AS hi FROM p WHERE NOT test GROUP BY 1)
+SELECT site, ts, R4(value) AS value, R4(mid + lo) AS lower, R4(mid) AS mid, R4(mid + hi) AS upper FROM p JOIN q USING (site) WHERE test""")
 def interval_report(spark, sf_dir):
     """Held-out rows with lower, mid and upper prediction."""
-    return site_plans.interval_report(hourly_pairs(spark, sf_dir), SITE, "ts", ["model"])
+    return round_columns(site_plans.interval_report(hourly_pairs(spark, sf_dir), SITE, "ts", ["model"]), ["value", "lower", "mid", "upper"], 4)
