@@ -1,15 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
-The n-grams of the test items are counted over all documents. In every stretch of an item its rare n-grams become seeds, so each
-part of an item can be found however common it is. A document that has a seed is aligned, around the seed, with the
-item by Smith-Waterman over words; the score is the alignment's share of a perfect one.
-Test items go through in blocks of bounded size, one pass over the documents for each block.
+Every n-gram of a test item is a seed, however common it is. A document that has a seed of an item and enough of the item's words
+is aligned with it, around the seed, by Smith-Waterman over words; the score is the alignment's share of a perfect one.
+What is found in a document depends on its own text and the item only. Test items go through in blocks of bounded size, one
+pass over the documents for each block.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -25,10 +25,8 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 
 @dataclass(frozen=True)
 class Settings:
-    """Words of a seed, words of an item's stretch and spread of the seeds' frequencies in it, least score, words and characters of a block of items."""
+    """Words of a seed, least score, items and characters of a block of items."""
     seed: int = 3
-    stretch: int = 12
-    spread: int = 20
     least: float = 0.6
     block_items: int = 20_000
     block_chars: int = 8_000_000
@@ -38,19 +36,41 @@ def words_of(text: str | None) -> list[str]:
     return WORDS.findall((text or "").lower())
 
 
+def spans(first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the entries of ``rows`` in a list that is cut at ``first``, and how many each row has."""
+    n = first[rows + 1] - first[rows]
+    return np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
+
+
 @dataclass
 class Block:
-    """Test items of one block with their words as numbers and their n-grams as codes."""
-    items: list[tuple[int, list[int]]]
+    """Test items of one block with their words as numbers and their n-grams as codes.
+
+    ``seeds`` are the distinct codes in order; ``owner`` lists their items, cut at ``seed_first``. ``words`` and ``times`` list
+    the distinct words of the items and how often each stands in its item, cut at ``word_first``.
+    """
+    items: list[tuple[int, np.ndarray]]
     vocab: dict[str, int]
     n: int
-    seeds: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
+
+    def __post_init__(self):
+        codes = [np.unique(self.codes(w, self.width(w))) for _, w in self.items]
+        flat, owner = np.concatenate([np.zeros(0, dtype=np.int64), *codes]), np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]
+        self.seeds, first = np.unique(flat[order], return_index=True)
+        self.seed_first = np.append(first, len(flat))
+        bags = [np.unique(w, return_counts=True) for _, w in self.items]
+        self.words = np.concatenate([np.zeros(0, dtype=np.int64), *(w for w, _ in bags)])
+        self.times = np.concatenate([np.zeros(0, dtype=np.int64), *(n for _, n in bags)])
+        self.word_first = np.cumsum([0, *(len(w) for w, _ in bags)])
+        self.lengths = np.array([len(w) for _, w in self.items], dtype=np.int64)
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]], n: int) -> Block:
         vocab: dict[str, int] = {}
-        items = [(i, [vocab.setdefault(w, len(vocab) + 1) for w in words_of(t)]) for i, t in rows]
-        return cls([x for x in items if x[1]], vocab, n)
+        items = [(i, np.array([vocab.setdefault(w, len(vocab) + 1) for w in words_of(t)], dtype=np.int64)) for i, t in rows]
+        return cls([x for x in items if len(x[1])], vocab, n)
 
     def width(self, words) -> int:
         """Words of a seed; an item shorter than that is its own seed."""
@@ -66,46 +86,48 @@ class Block:
             code, known = code * base + part, known & (part > 0)
         return np.where(known, code * 4 + n, 0)
 
-    def all_codes(self) -> dict[int, list[tuple[int, int]]]:
-        """Of every n-gram, the items and places that have it."""
-        out: dict[int, list[tuple[int, int]]] = {}
-        for k, (_, words) in enumerate(self.items):
-            for at, c in enumerate(self.codes(np.array(words), self.width(words)).tolist()):
-                out.setdefault(c, []).append((k, at))
-        return out
-
-    def choose(self, counts: dict[int, int], settings: Settings) -> None:
-        """Keep the rare n-grams of every stretch as seeds: those at most ``spread`` times as frequent as its rarest one.
-
-        N-grams that no document has cannot find anything. Frequency only matters within a stretch, so an item that stands in
-        very many documents keeps its seeds, and an edited copy keeps those that the edits left whole.
-        """
-        where, chosen = self.all_codes(), set()
-        for _, words in self.items:
-            codes = self.codes(np.array(words), self.width(words)).tolist()
-            for a in range(0, len(codes), settings.stretch):
-                seen = {c: counts[c] for c in codes[a:a + settings.stretch] if c in counts}
-                least = min(seen.values(), default=0)
-                chosen.update(c for c, n in seen.items() if n <= settings.spread * least)
-        self.seeds = {c: where[c] for c in sorted(chosen)}
-
     def ids(self, text: str | None) -> np.ndarray:
         words = words_of(text)
         return np.fromiter(map(self.vocab.get, words, repeat(0)), dtype=np.int64, count=len(words))
 
     def widths(self) -> list[int]:
-        return sorted({self.width(w) for _, w in self.items})
+        return np.unique(np.minimum(self.lengths, self.n)).tolist()
 
-    def hits(self, ids: np.ndarray, wanted: np.ndarray) -> list[tuple[int, int]]:
-        """(place, code) of the wanted n-grams in a text."""
-        out = []
+    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of the seeds in a text."""
+        places, numbers = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for n in self.widths():
             codes = self.codes(ids, n)
             some = np.flatnonzero(codes)
             codes = codes[some]
-            hit = wanted[np.minimum(np.searchsorted(wanted, codes), len(wanted) - 1)] == codes
-            out += list(zip(some[hit].tolist(), codes[hit].tolist()))
-        return out
+            number = np.minimum(np.searchsorted(self.seeds, codes), len(self.seeds) - 1)
+            hit = self.seeds[number] == codes
+            places.append(some[hit])
+            numbers.append(number[hit])
+        return np.concatenate(places), np.concatenate(numbers)
+
+    def possible(self, ids: np.ndarray, seeds: np.ndarray, least: float) -> np.ndarray:
+        """Items that have one of the seeds and ``least`` of whose words, each as often as it stands in both, are in the text.
+
+        A match gives what one word of a perfect alignment gives and nothing else gives more than 0, so no other item can reach ``least``.
+        """
+        items = np.unique(self.owner[spans(self.seed_first, np.unique(seeds))[0]])
+        if not len(items):
+            return items
+        in_text, n = np.unique(ids, return_counts=True)
+        at, sizes = spans(self.word_first, items)
+        found = np.minimum(np.searchsorted(in_text, self.words[at]), len(in_text) - 1)
+        both = np.where(in_text[found] == self.words[at], np.minimum(n[found], self.times[at]), 0)
+        return items[np.add.reduceat(both, np.cumsum(sizes) - sizes) >= least * self.lengths[items] - 1e-9]
+
+    def offsets(self, k: int, places: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Where item ``k`` would begin in a text, by each of its seeds there."""
+        words = self.items[k][1]
+        own, inverse = np.unique(self.codes(words, self.width(words)), return_inverse=True)
+        own = np.searchsorted(self.seeds, own)
+        where = {s: places[numbers == s] for s in np.intersect1d(own, numbers).tolist()}
+        found = [np.unique(where[s] - at) for at, s in enumerate(own[inverse].tolist()) if s in where]
+        return np.unique(np.concatenate(found))
 
 
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -125,36 +147,33 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def aligned(block: Block, text: str | None, wanted: np.ndarray, least: float) -> list[tuple[int, float, int]]:
+def aligned(block: Block, text: str | None, least: float) -> list[tuple[int, float, int]]:
     """(item, score, last word) of the best alignment with every item that has a seed in the text, if it scores ``least`` or more.
 
     Where fewer words of a stretch are words of the item than that takes, no alignment can reach it and none is computed.
     """
     ids = block.ids(text)
-    if not len(wanted) or not ids.any():
+    if not len(block.seeds) or not ids.any():
         return []
-    near: dict[int, list[int]] = {}
-    for place, code in block.hits(ids, wanted):
-        for k, at in block.seeds[code]:
-            near.setdefault(k, []).append(place - at)
+    places, numbers = block.hits(ids)
     out = []
-    for k, offsets in near.items():
-        item_id, words = block.items[k]
-        item, reach = np.array(words), len(words)
+    for k in block.possible(ids, numbers, least).tolist():
+        item_id, item = block.items[k]
+        reach = len(item)
         best, end, done = 0, 0, -1
-        for o in sorted(set(offsets)):
+        for o in block.offsets(k, places, numbers).tolist():
             # stretches that earlier offsets have covered are not aligned again
             lo, hi = max(0, o - reach // 2, done - reach), min(len(ids), o + reach + reach // 2)
             if hi <= done:
                 continue
             done = hi
-            if np.isin(ids[lo:hi], item).sum() < least * len(words):
+            if np.isin(ids[lo:hi], item).sum() < least * len(item):
                 continue
             score, at = smith_waterman(item, ids[lo:hi])
             if score > best:
                 best, end = score, lo + at
-        if best >= least * MATCH * len(words):
-            out.append((item_id, best / (MATCH * len(words)), end))
+        if best >= least * MATCH * len(item):
+            out.append((item_id, best / (MATCH * len(item)), end))
     return out
 
 
@@ -171,24 +190,6 @@ def blocks(benchmark: DataFrame, settings: Settings):
         yield Block.of(rows, settings.seed)
 
 
-def count_codes(docs: DataFrame, block: Block) -> dict[int, int]:
-    """In how many documents each n-gram of the block's items occurs; counts are summed in the tasks first."""
-    known = np.array(sorted(block.all_codes()), dtype=np.int64)
-
-    def count(rows):
-        total = np.zeros(len(known), dtype=np.int64)
-        for text in rows["text"]:
-            codes = {c for _, c in block.hits(block.ids(text), known)}
-            total[np.searchsorted(known, np.array(sorted(codes), dtype=np.int64))] += 1
-        some = np.flatnonzero(total)
-        return {"code": known[some].tolist(), "n": total[some].tolist()}
-
-    if not len(known):
-        return {}
-    per_task = per_batch(docs.select("text"), count, "code bigint, n bigint", rows=100_000)
-    return {r["code"]: r["n"] for r in per_task.groupBy("code").agg(F.sum("n").alias("n")).collect()}
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), extra: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, item_id, score, last_word, *extra) of every document and item that align with at least ``settings.least``.
 
@@ -198,11 +199,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     schema = f"doc_id {kinds['doc_id']}, item_id bigint, score double, last_word bigint" + "".join(f", `{c}` {kinds[c]}" for c in extra)
     found = None
     for block in blocks(benchmark, settings):
-        block.choose(count_codes(docs, block), settings)
-        wanted = np.array(sorted(block.seeds), dtype=np.int64)
-
-        def align(rows, block=block, wanted=wanted):
-            hits = [(i, *hit) for i, text in enumerate(rows["text"]) for hit in aligned(block, text, wanted, settings.least)]
+        def align(rows, block=block):
+            hits = [(i, *hit) for i, text in enumerate(rows["text"]) for hit in aligned(block, text, settings.least)]
             out = {"item_id": [h[1] for h in hits], "score": [h[2] for h in hits], "last_word": [h[3] for h in hits]}
             return out | {c: [rows[c][h[0]] for h in hits] for c in ("doc_id", *extra)}
 
@@ -226,11 +224,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Se
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
     out = docs
     for block in blocks(benchmark, settings):
-        block.choose(count_codes(docs, block), settings)
-        wanted = np.array(sorted(block.seeds), dtype=np.int64)
-
-        def clean(rows, block=block, wanted=wanted):
-            keep = [i for i, text in enumerate(rows["text"]) if not aligned(block, text, wanted, settings.least)]
+        def clean(rows, block=block):
+            keep = [i for i, text in enumerate(rows["text"]) if not aligned(block, text, settings.least)]
             return {c: [rows[c][i] for i in keep] for c in columns}
 
         out = per_batch(out, clean, schema)

@@ -131,6 +131,19 @@ def test_exact_and_edited_leaks_are_found_and_others_left(spark, docs):
     assert decontaminate.leaks(docs([]), benchmark).count() == 0 and decontaminate.leaks(docs(rows), benchmark.limit(0)).count() == 0
 
 
+def test_many_equally_edited_leaks_are_found_beside_an_exact_one(spark, docs):
+    rng = random.Random(8)
+    item, outside = [f"w{k}" for k in range(38)], lambda n: [f"o{rng.randint(0, 10**6)}" for _ in range(n)]
+    edited = ["changed" if k in (6, 18, 30) else w for k, w in enumerate(item)]
+    rows = [(k, " ".join(outside(40) + (item if k == 0 else edited) + outside(40))) for k in range(301)]
+    # common trigrams of the item alone are no leak
+    rows += [(1000 + k, " ".join(outside(40) + item[:3] + outside(40) + item[20:23])) for k in range(30)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    found = {r["doc_id"]: r["score"] for r in decontaminate.leaks(docs(rows), benchmark).collect()}
+    assert found == {0: 1.0} | {k: (2 * 35 - 3) / 76 for k in range(1, 301)}
+    assert {r["doc_id"] for r in decontaminate.without_leaks(docs(rows), benchmark).collect()} == set(range(1000, 1030))
+
+
 ODD_ROWS_LIKE = [(1000 + i, *r[1:]) for i, r in enumerate(ODD_ROWS)]
 
 
