@@ -11,7 +11,6 @@ from .data import PAIRS_SQL, hourly_pairs, json_k, r6, round_columns, table
 from .registry import query
 
 SITE = ["site"]
-FEW_TREES = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.3}
 
 
 def _share(seed: int, key: str) -> str:
@@ -113,7 +112,7 @@ def pooled_trees(spark, sf_dir):
     model, obs = _model_and_obs(spark, sf_dir)
     who = obs.select("site").distinct().withColumns({"lat": F.lit(1.0), "lon": F.lit(2.0)})
     pool, log, mode = pooled.training_pool(who, obs, model, "site", "ts", "no2")
-    trained = pooled.train_pooled(pool, log, mode, "no2", **FEW_TREES)
+    trained = pooled.train_pooled(pool, log, mode, "no2")
     return log.join(trained.site_scores.withColumnRenamed("_site", "site").drop("n"), "site", "left")
 
 
@@ -121,7 +120,7 @@ def pooled_trees(spark, sf_dir):
 def pooled_from_file(spark, sf_dir):
     """Trainer on a saved pool: sampling option, lags, imputation, filter, folds, final fit."""
     pairs = hourly_pairs(spark, sf_dir).select(F.col("site").alias("_site"), F.col("ts").alias("time"), "value", F.col("model").alias("no2"))
-    _, scores, _ = pooled.train_from_pool(pairs, max_rows=None, n_splits=2, **FEW_TREES)
+    _, scores, _ = pooled.train_from_pool(pairs)
     return scores
 
 
@@ -131,7 +130,7 @@ def champion_selection(spark, sf_dir):
     model, obs = _model_and_obs(spark, sf_dir)
     train, _ = forecasts.training_rows(model, obs, SITE, "ts", "no2")
     names = feat.feature_columns(train, ["site", "ts", "value", "bias_ratio"])
-    trees = models.fit_trees(train, names, "value", **FEW_TREES)
+    trees = models.fit_trees(train, names, "value")
     out = forecasts.champion_forecast(model, obs, SITE, "ts", "no2", trees)
     return out.rows.select("site", "ts", "localised", "model_source", "value")
 
@@ -141,23 +140,23 @@ def two_stage_forecast(spark, sf_dir):
     """Base trees on the old version, residual trees on the new one."""
     model, obs = _model_and_obs(spark, sf_dir)
     now = F.lit("2024-03-20 00:00:00").cast("timestamp_ntz")
-    rows, _ = forecasts.two_stage_forecast(model, model, obs, SITE, "ts", "no2", now, threshold=0.0, **FEW_TREES)
+    rows, _ = forecasts.two_stage_forecast(model, model, obs, SITE, "ts", "no2", now)
     return rows.select("site", "ts", "no2", "localised", "value")
 
 
 @query()
 def parameter_search(spark, sf_dir):
-    """Cross-validated random search over tree parameters."""
+    """Cross-validated random search over tree parameters: the two-version trainer's depths, tree numbers and steps."""
     pairs = hourly_pairs(spark, sf_dir).withColumn("hour", F.hour("ts"))
-    space = {"maxDepth": [2, 3], "maxIter": [2, 3], "stepSize": [0.1, 0.3]}
-    search = models.random_search(pairs, ["model", "hour"], "value", space, draws=2, n_folds=2)
+    space = {"maxDepth": [3, 5, 7], "maxIter": [100, 300, 500], "stepSize": [0.01, 0.05, 0.1]}
+    search = models.random_search(pairs, ["model", "hour"], "value", space)
     return models.search_table(pairs, search)
 
 
 @query()
 def feature_importance(spark, sf_dir):
     pairs = hourly_pairs(spark, sf_dir).withColumns({"hour": F.hour("ts"), "weekday": F.weekday("ts")})
-    return models.importances(models.fit_trees(pairs, ["model", "hour", "weekday"], "value", **FEW_TREES), spark)
+    return models.importances(models.fit_trees(pairs, ["model", "hour", "weekday"], "value"), spark)
 
 
 @query(f"""WITH {PAIRS_SQL}, c AS (SELECT *, count(*) OVER (PARTITION BY site) AS n FROM pairs WHERE value IS NOT NULL AND model IS NOT NULL),

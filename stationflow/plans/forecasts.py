@@ -131,8 +131,8 @@ def two_stage_forecast(old: DataFrame, new: DataFrame, obs: DataFrame, site: Seq
     """Base model on the old version's period, tuned on the last 60 days; predictions and recent scores.
 
     Old version up to 60 days ago, new version from then on; observations are interpolated in
-    time while merging; features are picked by correlation; the final observation gaps are filled up to
-    ``fill_limit`` hours.
+    time while merging; features are picked by correlation, and all are kept where none passes; the final observation
+    gaps are filled up to ``fill_limit`` hours.
     """
     from ..operators.setops import hand_over
     from .series import merge_series
@@ -143,6 +143,7 @@ def two_stage_forecast(old: DataFrame, new: DataFrame, obs: DataFrame, site: Seq
     train = cut_lineage(outliers.drop_most_isolated(train, site, "value", contamination), "two-stage")
     candidates = feat.feature_columns(train, [*fv.NEVER_FEATURES, *site, ts])
     picked = [r["feature"] for r in aggregates.pick_features(train, "value", candidates, threshold=threshold).collect()]
+    picked = picked or candidates
     fitted = models.fit_two_stage(clean.finite_target(train, "value"), picked, "value", ts, border, **trees)
 
     split = folds.train_test(evaluate.recent_rows(train, site, ts, now), [*site, ts])
