@@ -8,6 +8,7 @@ pass over the documents for each block.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 from itertools import repeat
@@ -25,9 +26,10 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 
 @dataclass(frozen=True)
 class Settings:
-    """Words of a seed, least score, items and characters of a block of items."""
+    """Words of a seed, least score, aligned words that are enough of any item, items and characters of a block of items."""
     seed: int = 3
     least: float = 0.6
+    run: int = 50
     block_items: int = 20_000
     block_chars: int = 8_000_000
 
@@ -106,10 +108,14 @@ class Block:
             numbers.append(number[hit])
         return np.concatenate(places), np.concatenate(numbers)
 
-    def possible(self, ids: np.ndarray, seeds: np.ndarray, least: float) -> np.ndarray:
-        """Items that have one of the seeds and ``least`` of whose words, each as often as it stands in both, are in the text.
+    def needed(self, k, settings: Settings):
+        """Words whose matches an alignment with item ``k`` has to be worth."""
+        return np.minimum(settings.least * self.lengths[k], settings.run)
 
-        A match gives what one word of a perfect alignment gives and nothing else gives more than 0, so no other item can reach ``least``.
+    def possible(self, ids: np.ndarray, seeds: np.ndarray, settings: Settings) -> np.ndarray:
+        """Items that have one of the seeds and ``needed`` of whose words, each as often as it stands in both, are in the text.
+
+        A match gives what one word of a perfect alignment gives and nothing else gives more than 0, so no other item can score enough.
         """
         items = np.unique(self.owner[spans(self.seed_first, np.unique(seeds))[0]])
         if not len(items):
@@ -118,7 +124,7 @@ class Block:
         at, sizes = spans(self.word_first, items)
         found = np.minimum(np.searchsorted(in_text, self.words[at]), len(in_text) - 1)
         both = np.where(in_text[found] == self.words[at], np.minimum(n[found], self.times[at]), 0)
-        return items[np.add.reduceat(both, np.cumsum(sizes) - sizes) >= least * self.lengths[items] - 1e-9]
+        return items[np.add.reduceat(both, np.cumsum(sizes) - sizes) >= self.needed(items, settings) - 1e-9]
 
     def offsets(self, k: int, places: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Where item ``k`` would begin in a text, by each of its seeds there."""
@@ -147,32 +153,49 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def aligned(block: Block, text: str | None, least: float) -> list[tuple[int, float, int]]:
-    """(item, score, last word) of the best alignment with every item that has a seed in the text, if it scores ``least`` or more.
+def stretches(offsets: np.ndarray, length: int, reach: int, size: int) -> list[tuple[int, int]]:
+    """Windows from ``reach`` before each offset to ``reach`` after the item's end, those that overlap joined to one."""
+    out: list[tuple[int, int]] = []
+    for o in offsets.tolist():
+        lo, hi = max(0, o - reach), min(size, o + length + reach)
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def crowded(ids: np.ndarray, item: np.ndarray, width: int, needed: float) -> bool:
+    """Whether ``needed`` of some ``width`` words in a row are words of the item."""
+    total = np.append(0, np.cumsum(np.isin(ids, item)))
+    width = min(width, len(ids))
+    return (total[width:] - total[:len(total) - width]).max() >= needed - 1e-9
 
-    Where fewer words of a stretch are words of the item than that takes, no alignment can reach it and none is computed.
+
+def aligned(block: Block, text: str | None, settings: Settings) -> list[tuple[int, float, int]]:
+    """(item, score, last word) of the best alignment with every item that has a seed in the text, if it scores enough.
+
+    That is ``least`` of the whole item, or for longer items ``run`` words' worth. The score stays a share of the whole item.
+    An alignment that does has at most ``reach`` words more than the item, so the stretches hold every one that passes through a seed.
+    Where fewer words of a stretch are words of the item than it takes, no alignment can reach it and none is computed.
     """
     ids = block.ids(text)
     if not len(block.seeds) or not ids.any():
         return []
     places, numbers = block.hits(ids)
     out = []
-    for k in block.possible(ids, numbers, least).tolist():
+    for k in block.possible(ids, numbers, settings).tolist():
         item_id, item = block.items[k]
-        reach = len(item)
-        best, end, done = 0, 0, -1
-        for o in block.offsets(k, places, numbers).tolist():
-            # stretches that earlier offsets have covered are not aligned again
-            lo, hi = max(0, o - reach // 2, done - reach), min(len(ids), o + reach + reach // 2)
-            if hi <= done:
-                continue
-            done = hi
-            if np.isin(ids[lo:hi], item).sum() < least * len(item):
+        needed = float(block.needed(k, settings))
+        reach = math.ceil(MATCH * (len(item) - needed))
+        best, end = 0, 0
+        for lo, hi in stretches(block.offsets(k, places, numbers), len(item), reach, len(ids)):
+            if not crowded(ids[lo:hi], item, len(item) + reach, needed):
                 continue
             score, at = smith_waterman(item, ids[lo:hi])
             if score > best:
                 best, end = score, lo + at
-        if best >= least * MATCH * len(item):
+        if best >= MATCH * needed - 1e-9:
             out.append((item_id, best / (MATCH * len(item)), end))
     return out
 
@@ -191,7 +214,7 @@ def blocks(benchmark: DataFrame, settings: Settings):
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), extra: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, item_id, score, last_word, *extra) of every document and item that align with at least ``settings.least``.
+    """(doc_id, item_id, score, last_word, *extra) of every document and item that align with ``settings.least`` of the item or ``settings.run`` words of it.
 
     Null and empty texts and items without a word give nothing. Repeated documents each give their rows; repeated items too.
     """
@@ -200,7 +223,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     found = None
     for block in blocks(benchmark, settings):
         def align(rows, block=block):
-            hits = [(i, *hit) for i, text in enumerate(rows["text"]) for hit in aligned(block, text, settings.least)]
+            hits = [(i, *hit) for i, text in enumerate(rows["text"]) for hit in aligned(block, text, settings)]
             out = {"item_id": [h[1] for h in hits], "score": [h[2] for h in hits], "last_word": [h[3] for h in hits]}
             return out | {c: [rows[c][h[0]] for h in hits] for c in ("doc_id", *extra)}
 
@@ -225,7 +248,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Se
     out = docs
     for block in blocks(benchmark, settings):
         def clean(rows, block=block):
-            keep = [i for i, text in enumerate(rows["text"]) if not aligned(block, text, settings.least)]
+            keep = [i for i, text in enumerate(rows["text"]) if not aligned(block, text, settings)]
             return {c: [rows[c][i] for i in keep] for c in columns}
 
         out = per_batch(out, clean, schema)

@@ -144,6 +144,29 @@ def test_many_equally_edited_leaks_are_found_beside_an_exact_one(spark, docs):
     assert {r["doc_id"] for r in decontaminate.without_leaks(docs(rows), benchmark).collect()} == set(range(1000, 1030))
 
 
+def test_long_runs_and_long_insertions_are_found(spark, docs):
+    item, long = [f"w{k}" for k in range(40)], [f"v{k}" for k in range(500)]
+    other = lambda n: [f"o{k}" for k in range(n)]
+    rows = [(1, item[:20] + other(28) + item[20:]), (2, item[:20] + other(36) + item[20:]), (3, other(30) + long[100:350] + other(9)),
+            (4, long[200:260]), (5, other(30) + long[100:149] + other(9)), (6, item[:22])]
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long))], "item_id bigint, text string")
+    found = decontaminate.leaks(docs([(k, " ".join(w)) for k, w in rows]), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == {(1, 1): 0.65, (3, 2): 0.5, (4, 2): 0.12}
+
+
+def test_leaks_equal_the_alignment_of_whole_texts():
+    rng, settings = random.Random(5), decontaminate.Settings()
+    for _ in range(150):
+        item = [rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 20))]
+        text = [w for w in item for w in ([w] if rng.random() < .8 else [w, *rng.choices("abcxyz", k=rng.randint(1, 6))] if rng.random() < .6 else [])]
+        text = rng.choices("abcdefgh", k=rng.randint(0, 30)) + text + rng.choices("abcdefgh", k=rng.randint(0, 30))
+        block = decontaminate.Block.of([(1, " ".join(item))], settings.seed)
+        score = plain_alignment(item, text) / (2 * len(item))
+        shared = {tuple(item[k:k + 3]) for k in range(len(item) - 2)} & {tuple(text[k:k + 3]) for k in range(len(text) - 2)}
+        got = decontaminate.aligned(block, " ".join(text), settings)
+        assert [x[1] for x in got] == [score] * (score >= 0.6 - 1e-9 and bool(shared))
+
+
 ODD_ROWS_LIKE = [(1000 + i, *r[1:]) for i, r in enumerate(ODD_ROWS)]
 
 
