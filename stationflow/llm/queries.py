@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, language_id, license_scan, quality_rules, shards, simhash, toxicity, url_reputation
+from . import (bpe, decontaminate, html_extract, language_id, license_scan, mixing, phrases, prefix_trie, quality_rules, shards, simhash, toxicity,
+               url_reputation)
 from .common import fold_of, table
 from .sql import SQL  # noqa: F401
 
@@ -63,6 +64,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.per_document(found).select("doc_id", "item_ids", F.round("score", 6).alias("score"), "n_items")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("entered", "left")
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {fn.__name__: fn for fn in (
     op1_quality_rules, op2_url_filters, op3_language_id, op4_html_extraction, op5_simhash_near_dedup, op6_toxicity, op7_bpe, op8_license_scan,
-    op9_sharding, op10_benchmark_decontamination)}
+    op9_sharding, op10_benchmark_decontamination, op11_phrase_collocations, op12_prefix_trie, op13_source_mixing)}
