@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ from ..session import cut_lineage, scratch_path
 
 LEAST = 30
 MOST_WORDS = 4
-SHARDS = 4
+SHARDS = 2
 TOP = 2000
 #: Slots of each of the three tables: about one per CHARS_A_SLOT characters, at most 2^MOST_BITS.
 MOST_BITS, CHARS_A_SLOT = 24, 32
@@ -53,7 +54,7 @@ def slots(x: np.ndarray, bits: int) -> np.ndarray:
     return ((x * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def word_hash(lang: str, word: bytes) -> int:
+def word_hash(lang: str, word: str) -> int:
     return xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(lang))
 
 
@@ -61,12 +62,12 @@ class Words(dict):
     """Codes of words; code 0 stands for the end of a piece and for words that can be part of nothing that is counted now."""
 
     def __init__(self, lang: str, table: np.ndarray, bits: int, all_words: bool):
-        super().__init__({b".": 0})
+        super().__init__({".": 0})
         self.seed, self.table, self.bits, self.all_words = xxhash.xxh64_intdigest(lang), table, bits, all_words
-        self.words, self.hashes, self.reached = [b""], [0], [NEVER]
+        self.words, self.hashes, self.reached = [""], [0], [NEVER]
         self.arrays = None
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: str) -> int:
         h = xxhash.xxh64_intdigest(word, self.seed)
         x = (h * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
         x ^= x >> 29
@@ -87,9 +88,9 @@ class Words(dict):
         return self.arrays
 
 
-def chunks(text: bytes) -> Iterator[tuple[list[bytes], int]]:
+def chunks(text: bytes) -> Iterator[tuple[pa.Array, int]]:
     """Words of a text and how many of them the chunk before had already; an end of a piece is the word ``.``."""
-    at, kept = 0, []
+    at, kept = 0, b""
     while at < len(text):
         end = at + CHUNK
         if end >= len(text):
@@ -102,9 +103,11 @@ def chunks(text: bytes) -> Iterator[tuple[list[bytes], int]]:
             if cut < at:  # a word that is longer than a chunk
                 cut = min((p for p in (text.find(b" ", end), text.find(b".", end)) if p >= 0), default=len(text)) - 1
             end = cut + 1
-        words = kept + text[at:end].replace(b".", b" . ").split()
-        yield words, len(kept)
-        kept, at = [] if whole else words[-(MOST_WORDS - 1):], end
+        body = b" ".join([kept, text[at:end].replace(b".", b" . ")]).strip(b" ")
+        had = len(kept.split())
+        if body:
+            yield pa.compute.ascii_split_whitespace(pa.array([body], pa.binary()).cast(pa.string())).flatten(), had
+        kept, at = b"" if whole else b" ".join(body.rsplit(maxsplit=MOST_WORDS - 1)[-(MOST_WORDS - 1):]), end
 
 
 class Counter:
@@ -121,20 +124,26 @@ class Counter:
         self.gathered = {n: [] for n in range(2, MOST_WORDS + 1)}
         self.held = {n: 0 for n in range(2, MOST_WORDS + 1)}
 
-    def add(self, words: list[bytes], had: int) -> Iterator[pa.Table]:
-        ids = np.fromiter(map(self.words.__getitem__, words), dtype=np.int64, count=len(words))
+    def codes(self, different: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.words.__getitem__, different), dtype=np.int64, count=len(different))
+
+    def add(self, words: pa.Array, had: int) -> Iterator[pa.Table]:
+        coded = words.dictionary_encode()
+        places, different = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes = self.codes(different)
         if len(self.words) > MOST_HELD and self.begun:  # start anew with this chunk
             yield from self.tables_out()
             self.renew()
-            ids = np.fromiter(map(self.words.__getitem__, words), dtype=np.int64, count=len(words))
+            codes = self.codes(different)
         self.begun = True
+        ids = codes[places]
         hashes, reached = self.words.numbers()
         if self.scan < self.shards:
             new = np.bincount(ids[had:], minlength=len(hashes))
             new[: len(self.singles)] += self.singles
+            self.total += len(ids) - had - int(new[0])
             new[0] = 0
             self.singles = new
-            self.total += len(words) - had - words[had:].count(b".")
         level, x = reached[ids], mixed(np.uint64(0), hashes[ids])
         for n in range(2, MOST_WORDS + 1):
             if len(level) < 2 or self.scan < n - 1:
@@ -177,7 +186,7 @@ class Counter:
         self.gathered[n], self.held[n] = [], 0
         codes = [(high >> 21 * (n - 2 - k)) & CODE for k in range(n - 1)] + [low]
         used, places = np.unique(np.concatenate(codes), return_inverse=True)
-        words = pa.array([self.words.words[i] for i in used.tolist()], pa.binary()).cast(pa.string())
+        words = pa.array([self.words.words[i] for i in used.tolist()], pa.string())
         texts = [words.take(pa.array(p)) for p in np.split(places, n)]
         return self.table(n, pa.compute.binary_join_element_wise(*texts, " "), start, c)
 
@@ -193,7 +202,7 @@ class Counter:
             self.total = 0
         seen = np.flatnonzero(self.singles)
         if len(seen):
-            yield self.table(1, pa.array([self.words.words[i] for i in seen.tolist()], pa.binary()).cast(pa.string()), np.zeros(len(seen)), self.singles[seen])
+            yield self.table(1, pa.array([self.words.words[i] for i in seen.tolist()], pa.string()), np.zeros(len(seen)), self.singles[seen])
         for n in self.gathered:
             self.merge(n)
             if self.gathered[n]:
@@ -248,7 +257,7 @@ def slot_numbers(bits: int):
                     if h is None:
                         if len(known) > MOST_HELD:
                             known.clear()
-                        h = known[(lang, word)] = word_hash(lang, word.encode())
+                        h = known[(lang, word)] = word_hash(lang, word)
                     x = ((x ^ h) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
                     x ^= x >> 29
                 out.append(((x * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF) >> (64 - bits))
