@@ -8,6 +8,7 @@ with a failing pair are merged one by one.
 
 from __future__ import annotations
 
+import heapq
 import functools
 import json
 import re
@@ -114,16 +115,22 @@ class WordBPE:
     def merged(self, ids: list[int] | None) -> list[int]:
         """Exact merging: the lowest rank first, leftmost among equals."""
         ids, rank = list(ids or ()), self.rank_of_pair.get
-        ranks = [rank(p, NEVER) for p in zip(ids, ids[1:])]
-        while ranks and (low := min(ranks)) < NEVER:
-            i = ranks.index(low)
-            ids[i:i + 2] = [self.made[low]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = rank((ids[i - 1], ids[i]), NEVER)
-            if i < len(ranks):
-                ranks[i] = rank((ids[i], ids[i + 1]), NEVER)
-        return ids
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        # entries of pairs that have changed since are passed over when they come up
+        waiting = [(r, i) for i, p in enumerate(zip(ids, ids[1:])) if (r := rank(p, NEVER)) < NEVER]
+        heapq.heapify(waiting)
+        while waiting:
+            low, i = heapq.heappop(waiting)
+            j = after[i]
+            if ids[i] is None or j == len(ids) or rank((ids[i], ids[j]), NEVER) != low:
+                continue
+            ids[i], ids[j], after[i] = self.made[low], None, after[j]
+            if after[i] < len(ids):
+                before[after[i]] = i
+            for left in (before[i], i):
+                if left >= 0 and after[left] < len(ids) and (r := rank((ids[left], ids[after[left]]), NEVER)) < NEVER:
+                    heapq.heappush(waiting, (r, left))
+        return [x for x in ids if x is not None]
 
     def propose(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Longest token first, from the left, for all words at once; the last token of a word carries the word end.

@@ -168,14 +168,15 @@ def train(pages: DataFrame | None = None, documents: DataFrame | None = None, se
         spark = pages.sparkSession
         number = F.regexp_extract("url", r"/(\d{1,18})", 1)
         slim = pages.select("page_id", F.when(number != "", number.cast("bigint")).alias("doc_id")).where("doc_id IS NOT NULL AND page_id IS NOT NULL")
-        chosen = [(r["page_id"], r["doc_id"]) for r in hashed_sample(slim, ["page_id", "doc_id"], settings.pages).collect()]
+        chosen = [(r["page_id"], r["doc_id"]) for r in hashed_sample(slim.distinct(), ["page_id", "doc_id"], settings.pages).collect()]
         if chosen:
-            # at most settings.pages rows on either side
-            some = F.broadcast(spark.createDataFrame(chosen, "page_id bigint, doc_id bigint"))
+            # at most settings.pages rows on either side, and one row of each id whatever its repeats
+            some = F.broadcast(spark.createDataFrame(chosen, f"page_id {dict(pages.dtypes)['page_id']}, doc_id bigint"))
             texts = {r["doc_id"]: r["text"] for r in documents.select("doc_id", "text").join(some.select("doc_id").distinct(), "doc_id", "left_semi")
-                     .where(F.length("text") <= settings.max_chars).dropDuplicates(["doc_id"]).collect()}
-            found = (pages.select("page_id", "html").join(some, "page_id").where(F.length("html") <= settings.max_chars)
-                     .select("page_id", "doc_id", "html").dropDuplicates(["page_id"]).orderBy("page_id").collect())
+                     .where(F.length("text") <= settings.max_chars).groupBy("doc_id").agg(F.min("text").alias("text")).collect()}
+            first = F.min(F.struct("doc_id", "html")).alias("first")
+            found = pages.select("page_id", "html").join(some, "page_id").where(F.length("html") <= settings.max_chars).groupBy("page_id").agg(first)
+            found = found.select("page_id", "first.doc_id", "first.html").orderBy("page_id").collect()
             for r in found:
                 if r["doc_id"] in texts:
                     blocks, labels = labelled_by_text(r["html"], texts[r["doc_id"]])

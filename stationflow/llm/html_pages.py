@@ -12,11 +12,13 @@ ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden|aria-label)(?
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # Element names of HTML by their part in the layout.
-RAW = frozenset("script style textarea title noscript template iframe object svg math xmp noembed noframes select option button".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt ruby s samp small span strike strong
-    sub sup time tt u var wbr img br""".split())
+    sub sup time tt u var wbr img br math mi mn mo mrow ms mspace mtext mfrac msqrt mroot msub msup msubsup""".split())
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
+#: Where a raw element ends; letters outside A-Z are not folded, so places stay those of the page.
+RAW_END = {name: re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.I | re.A) for name in RAW}
 #: Elements that an implied end tag does not reach beyond.
 WALLS = frozenset("article aside body div footer form header main nav section table ul ol dl blockquote figure".split())
 
@@ -43,13 +45,13 @@ def attribute_words(raw: str) -> tuple[str, ...]:
 
 
 def blocks_of(page: str | None) -> list[Block]:
-    """Leaf blocks in page order. Raw elements (scripts, styles, form fields ...) and comments give none; missing end tags are
-    implied as browsers do, and stray ones are passed over. A line break counts as white space."""
+    """Leaf blocks in page order. Raw elements (scripts, styles, titles ...) and comments give none, and reach to the page's end where they are not
+    closed, as in browsers. All other elements are ancestors, however they are closed: missing end tags are implied, a slash closes, and
+    stray end tags are passed over. A line break counts as white space."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, in_link, at, page = 0, 0, 0, page or ""
-    lower = None
 
     def flush():
         nonlocal linked
@@ -82,14 +84,11 @@ def blocks_of(page: str | None) -> list[Block]:
                         break
             continue
         if name in RAW:
-            lower = page.lower() if lower is None else lower
-            end = lower.find("</" + name, at)
-            at = len(page) if end < 0 else end
+            end = RAW_END[name].search(page, at)
+            close = page.find(">", end.start()) if end else -1
+            at = len(page) if close < 0 else close + 1
             if name not in INLINE:
                 flush()
-            if end >= 0:
-                close = page.find(">", end)
-                at = len(page) if close < 0 else close + 1
             continue
         if name == "br":
             parts.append(" ")
@@ -118,6 +117,7 @@ NOISE_BEFORE = ["<nav><ul>{l}</ul></nav>", '<div class="menu">{l}</div>', '<ul i
                 '<div class="advert banner">{s}</div>', '<div class="ads">{p1}</div>', '<div class="cookie-notice"><p>{p1}</p></div>', '<div class="notice">{s}</div>',
                 '<div class="alert" role="alert">{p1}</div>', '<form class="search"><label>{s}</label><p>{s}</p></form>', '<aside><p>{p1}</p></aside>', '<div class="sidebar">{p}</div>',
                 '<div id="sidebar"><ul>{l}</ul></div>', '<div role="navigation">{l}</div>', '<div class="sponsored promo">{p1}</div>', '<div class="cookie-banner">{s}</div>',
+                '<noscript><p>{p1}</p></noscript>', '<div class="toolbar"><button>{s}</button></div>', '<select><option>{s}</option><option>{s}</option></select>',
                 '<div role="banner">{s}</div>', '<div style="display:none"><p>{p1}</p></div>', '<div class="consent popup">{p1}</div>']
 NOISE_AFTER = ["<footer>{s}</footer>", "<footer><p>{p1}</p></footer>", '<div class="footer">{s}</div>', '<div id="footer"><p>{s}</p></div>', '<div class="related"><ul>{l}</ul></div>',
                '<div class="share social">{l}</div>', '<section class="comments"><h3>{s}</h3><div class="comment"><p>{p1}</p></div><div class="comment"><p>{p1}</p></div></section>',
@@ -126,7 +126,8 @@ NOISE_AFTER = ["<footer>{s}</footer>", "<footer><p>{p1}</p></footer>", '<div cla
                "<form><p>{s}</p><p>{p1}</p></form>", '<div class="widget">{p1}</div>', '<aside class="related"><h3>{s}</h3><p>{p1}</p></aside>', '<div class="pagination">{l}</div>',
                '<div role="contentinfo">{s}</div>', '<div role="complementary"><p>{p1}</p></div>', '<div class="copyright">{s}</div>', '<div class="responses replies"><p>{p1}</p></div>']
 NOISE_INSIDE = ['<div class="ad">{s}</div>', "<aside><p>{p1}</p></aside>", '<div class="advertisement">{p1}</div>', '<div class="share">{l}</div>', '<div class="related">{l}</div>',
-                '<form><p>{s}</p></form>', '<div class="newsletter">{p1}</div>', "<footer><p>{s}</p></footer>", "<nav>{l}</nav>", '<div class="notice">{p1}</div>']
+                '<form><p>{s}</p></form>', '<div class="newsletter">{p1}</div>', "<footer><p>{s}</p></footer>", "<nav>{l}</nav>", '<div class="notice">{p1}</div>', "<button>{s}</button>",
+                "<select><option>{s}</option><option>{s}</option></select>"]
 PARAGRAPH = ["<p>{t}</p>"] * 6 + ["<h2>{t}</h2>", "<ul><li>{t}</li><li>{t}</li></ul>", "<blockquote><p>{t}</p></blockquote>", "<p><b>{t}<br>", "<div>{t}</div>", "<pre>{t}</pre>",
                                  "<table><tr><td>{t}</td><td>{t}</td></tr></table>", "<p>{t} <a href='#'>{t}</a> {t}</p>", "<h1>{t}</h1>", "<p><a href='#'>{t}</a></p>"]
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -258,3 +259,37 @@ def test_page_rows(spark):
     rows = html_extract.main_texts(pages, html_extract.train(pages, spark.createDataFrame([(5, "long")], "doc_id bigint, text string"))).collect()
     assert len(rows) == 4 and [r["text"] for r in rows if r["page_id"] == 2] == ["Main text of the page stands here."]
     assert [r["n_chars"] for r in rows if r["page_id"] == 1] == [0, 0] and re.match("long", [r for r in rows if r["page_id"] is None][0]["text"] or "long")
+
+
+def test_no_text_is_lost_round_raw_and_unclosed_elements():
+    def texts(body):
+        return [b.text for b in blocks_of(f"<body>{body}</body>")]
+    for n in (1, 15, 30, 300):
+        assert texts("<p>" + "İ" * n + "</p><SCRIPT>x = '</p>'</ScripT ><p>A</p><p>B</p>") == ["İ" * n, "A", "B"]
+    assert texts("<p>one</p><svg width='1'/><p>two</p>") == ["one", "two"]
+    assert texts("<p>one</p><svg><path d='M0'/></svg><p>two</p>") == ["one", "two"]
+    assert texts("<div><button>press</div><p>two</p><p>three</p>") == ["press", "two", "three"]
+    assert texts("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p><object><p>shown</p></object>") == ["let x=2 be", "shown"]
+    assert texts("<p>one</p><styles>two</styles><style>p{}</styleX></style><p>three</p>") == ["one", "two", "three"]
+    assert texts("<p>one</p><script>never closed <p>two</p>") == ["one"]
+
+
+def test_extractor_does_not_depend_on_the_order_of_repeated_ids(spark):
+    pages = [(i % 4, f"http://a/{i % 3}", f"<nav>home {i}</nav><p>{'text of the page number ' + str(i)} </p>") for i in range(12)]
+    documents = [(i % 3, f"text of the page number {i}") for i in range(12)]
+    models = [html_extract.train(spark.createDataFrame(p, "page_id bigint, url string, html string"), spark.createDataFrame(d, "doc_id bigint, text string"),
+                                 html_extract.FitSettings(made=20, rounds=5)) for p, d in ((pages, documents), (pages[::-1], documents[::-1]))]
+    page = "<nav>menu</nav><article><p>some words here.</p></article>"
+    assert models[0].main_text(page) == models[1].main_text(page)
+    named = spark.createDataFrame([("x", "http://a/1", "<p>one</p>")], "page_id string, url string, html string")
+    assert html_extract.main_texts(named, html_extract.train(named, spark.createDataFrame([(1, "one")], "doc_id bigint, text string"))).first()["page_id"] == "x"
+
+
+def test_very_long_words_are_merged_in_time(model):
+    rng, library = random.Random(4), Tokenizer.from_file(PATH)
+    for letters in ("acgt", "ab", "x", "é1"):
+        word = "".join(rng.choices(letters, k=200_000))
+        began = time.monotonic()
+        [words] = model.encode([word])
+        assert time.monotonic() - began < 30
+        assert [i for packed, _ in words for i in memoryview(packed).cast("i")] == library.encode(word, add_special_tokens=False).ids
