@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import features as feat, folds, models
+from ..operators import evaluate, features as feat, folds, models, tuning
 from ..plans import forecasts, pooled, sites as site_plans
 from ..session import cut_lineage
 from .data import PAIRS_SQL, hourly_pairs, json_k, r6, round_columns, table
@@ -43,9 +43,8 @@ SELECT site, R4(1 - avg(pow(value - (icpt + slope * model), 2)) / var_pop(value)
   R4(avg(abs(value - (icpt + slope * model)))) AS mae, count(*) AS n FROM pairs JOIN t ON held = site GROUP BY 1""")
 def leave_one_site_out(spark, sf_dir):
     """Scores of every site under the model trained on all other sites."""
-    from ..operators.evaluate import scores
     out = models.cross_validate(hourly_pairs(spark, sf_dir), [], "site", ["model"], "value", "leave_out", ridge=0.0)
-    s = scores(out, SITE, "value", "prediction").drop("mse")
+    s = evaluate.scores(out, SITE, "value", "prediction").drop("mse")
     return round_columns(s, ["r2", "rmse", "mae"], 4)
 
 
@@ -135,22 +134,73 @@ def champion_selection(spark, sf_dir):
     return out.rows.select("site", "ts", "localised", "model_source", "value")
 
 
+def _versions(spark, sf_dir):
+    """Two versions of the model that differ in their values, the observations, and the time at which the new one is 60 days old."""
+    model, obs = _model_and_obs(spark, sf_dir)
+    new = model.withColumn("no2", F.col("no2") / 2 + F.hour("ts"))
+    return model, new, obs, F.lit("2024-03-20 00:00:00").cast("timestamp_ntz")
+
+
 @query()
 def two_stage_forecast(spark, sf_dir):
-    """Base trees on the old version, residual trees on the new one."""
-    model, obs = _model_and_obs(spark, sf_dir)
-    now = F.lit("2024-03-20 00:00:00").cast("timestamp_ntz")
-    rows, _ = forecasts.two_stage_forecast(model, model, obs, SITE, "ts", "no2", now)
+    """Base model of every site on the old version, moved to the new one."""
+    old, new, obs, now = _versions(spark, sf_dir)
+    rows, _ = forecasts.two_stage_forecast(old, new, obs, SITE, "ts", "no2", now, keep_all=True)
     return rows.select("site", "ts", "no2", "localised", "value")
 
 
+@query(f"""WITH {PAIRS_SQL}, c AS (SELECT site, ts, value, ts >= TIMESTAMP '2024-01-20' AS new, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN model / 2 + hour(ts) ELSE model END AS x,
+  {_share(7, _ROW)} < 0.3 AS test FROM pairs WHERE value IS NOT NULL AND model IS NOT NULL),
+n AS (SELECT site, count(*) FILTER (NOT new) AS n_old, count(*) FILTER (new) AS n_new FROM c WHERE NOT test GROUP BY 1),
+w AS (SELECT c.*, n_old, n_new, n_new >= 50 AS tuned, CASE WHEN n_old < 100 OR NOT new THEN CASE WHEN n_new >= 50 THEN 0.1 ELSE 1.0 END ELSE 0.0 END + CASE WHEN new AND n_new >= 50 THEN 1.0 ELSE 0.0 END AS w
+  FROM c JOIN n USING (site)),
+m AS (SELECT site, sum(w) AS sw, sum(w * x) / sum(w) AS mx, sum(w * value) / sum(w) AS my FROM w WHERE NOT test GROUP BY 1),
+t AS (SELECT w.site, sum(w * (x - mx) * (value - my)) / sum(w * (x - mx) * (x - mx)) / (1 + 1e-3) AS slope FROM w JOIN m USING (site) WHERE NOT test GROUP BY 1)
+SELECT site, n_old, n_new, tuned, R4(sqrt(avg(pow(value - (my + slope * (x - mx)), 2)))) AS rmse, R4(avg(abs(value - (my + slope * (x - mx))))) AS mae, count(*) AS n
+FROM w JOIN m USING (site) JOIN t USING (site) WHERE test GROUP BY 1, 2, 3, 4""")
+def version_transfer(spark, sf_dir):
+    """Held-out scores per site of the model moved from the old version's period to the new one's."""
+    pairs = hourly_pairs(spark, sf_dir).dropna()
+    border = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    rows = pairs.withColumn("no2", F.when(F.col("ts") >= border, F.col("model") / 2 + F.hour("ts")).otherwise(F.col("model"))).drop("model")
+    split = cut_lineage(folds.train_test(rows, ["site", "ts"], 0.3), "transfer-split")
+    fitted = cut_lineage(models.transfer_sites(split.where("part = 'train'"), SITE, "ts", border, ["no2"], "value"), "transfer-models")
+    tested = models.predict_sites(split.where("part = 'test'"), fitted, SITE, ["no2"])
+    scores = evaluate.scores(tested, SITE, "value", "prediction").select("site", "rmse", "mae", "n")
+    return round_columns(fitted.select("site", "n_old", "n_new", "tuned").join(scores, "site"), ["rmse", "mae"], 4)
+
+
+@query(f"""WITH s AS (SELECT user_id AS site, count(*) AS n FROM events GROUP BY 1),
+p AS (SELECT *, rank() OVER (ORDER BY n DESC) - 1 + CAST(floor({_share(42, 'site')} * count(*) OVER (PARTITION BY n)) AS BIGINT) AS place FROM s)
+SELECT site, n, CAST(CASE WHEN place % 10 < 5 THEN place % 10 ELSE 9 - place % 10 END AS INT) AS fold FROM p""")
+def grouped_site_folds(spark, sf_dir):
+    """Sites packed into five folds by their rows; every site is in one fold."""
+    ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("site"))
+    return folds.grouped_folds(ev, "site", 5).groupBy("site", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: The two-version trainer's depths, tree numbers and steps.
+SEARCH_SPACE = {"maxDepth": [3, 5, 7], "maxIter": [100, 300, 500], "stepSize": [0.01, 0.05, 0.1]}
+
+
+def _search(spark, sf_dir):
+    pairs = hourly_pairs(spark, sf_dir).withColumn("hour", F.hour("ts"))
+    return tuning.halving_search(pairs, "site", ["site", "ts"], ["model", "hour"], "value", SEARCH_SPACE)
+
+
 @query()
 def parameter_search(spark, sf_dir):
-    """Cross-validated random search over tree parameters: the two-version trainer's depths, tree numbers and steps."""
-    pairs = hourly_pairs(spark, sf_dir).withColumn("hour", F.hour("ts"))
-    space = {"maxDepth": [3, 5, 7], "maxIter": [100, 300, 500], "stepSize": [0.01, 0.05, 0.1]}
-    search = models.random_search(pairs, ["model", "hour"], "value", space)
-    return models.search_table(pairs, search)
+    """Cross-validated random search over the tree parameters of every site: ten of 27 combinations, three folds, up to 500 trees."""
+    return _search(spark, sf_dir)
+
+
+@query(f"""WITH {PAIRS_SQL} SELECT site, count(*) AS n_rows, 10 AS n_drawn, 1 AS n_best, true AS best_is_least FROM pairs WHERE value IS NOT NULL AND model IS NOT NULL GROUP BY 1""")
+def parameter_choice(spark, sf_dir):
+    """Per site: rows searched, combinations compared, and that one of those compared on all rows has the least error."""
+    found = cut_lineage(_search(spark, sf_dir), "search")
+    whole = F.when(F.col("share") == 1, F.col("mse"))
+    return found.groupBy("site").agg(F.max("n_rows").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_drawn"), F.count_if(F.col("best")).cast("int").alias("n_best"),
+                                     (F.min(whole) == F.max(F.when(F.col("best"), F.col("mse")))).alias("best_is_least"))
 
 
 @query()
@@ -179,3 +229,15 @@ SELECT site, ts, R4(value) AS value, R4(mid + lo) AS lower, R4(mid) AS mid, R4(m
 def interval_report(spark, sf_dir):
     """Held-out rows with lower, mid and upper prediction."""
     return round_columns(site_plans.interval_report(hourly_pairs(spark, sf_dir), SITE, "ts", ["model"]), ["value", "lower", "mid", "upper"], 4)
+
+
+@query(f"""WITH {PAIRS_SQL}, c AS (SELECT *, {_share(7, _ROW)} < 0.3 AS test FROM pairs WHERE value IS NOT NULL AND model IS NOT NULL)
+SELECT site, count(*) AS n, true AS ordered, true AS near FROM c WHERE test GROUP BY 1""")
+def quantile_intervals(spark, sf_dir):
+    """Held-out rows between the 15 and 85 per cent regressions of their site: how many there are, never crossing, and covered as they should be."""
+    out = site_plans.quantile_report(hourly_pairs(spark, sf_dir), SITE, "ts", ["model"])
+    inside = (F.col("value") >= F.col("lower")) & (F.col("value") <= F.col("upper"))
+    # four standard deviations of a share of n rows
+    slack = 4 * F.sqrt(0.7 * 0.3 / F.count(F.lit(1))) + 0.05
+    return out.groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.expr("bool_and(lower <= mid AND mid <= upper)").alias("ordered"),
+                                   (F.abs(F.avg(inside.cast("int")) - 0.7) <= slack).alias("near"))

@@ -16,14 +16,16 @@ from pyspark import cloudpickle
 PRODUCTS_AT_ONCE = 2_000_000
 
 
-def sum_products(batch: pd.DataFrame, keys: list[str], names: list[str]) -> pd.DataFrame:
-    """One row per key of a batch: its keys and the flattened product matrix of its complete rows."""
+def sum_products(batch: pd.DataFrame, keys: list[str], names: list[str], weight: str | None = None) -> pd.DataFrame:
+    """One row per key of a batch: its keys and the flattened product matrix of its complete rows, each times its weight if there is one."""
     batch = batch[batch[names].notna().all(axis=1)]
     if batch.empty:
         return batch[keys].assign(part=pd.Series([], dtype=object))
     code = batch.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
     order = np.argsort(code, kind="stable")
     x = np.column_stack([np.ones(len(batch)), batch[names].to_numpy(dtype="float64")])[order]
+    if weight:
+        x *= np.sqrt(batch[weight].to_numpy(dtype="float64"))[order][:, None]
     starts = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0])
     products = np.einsum("ni,nj->nij", x, x).reshape(len(x), -1)
     out = batch[keys].iloc[order[starts]].reset_index(drop=True)
@@ -54,14 +56,14 @@ def solve_ridge(flat: np.ndarray, n_features: int, ridge: float) -> np.ndarray:
     return np.concatenate([intercept[:, None], beta], axis=1)
 
 
-def batch_reducer(keys: list[str], names: list[str]) -> Callable:
+def batch_reducer(keys: list[str], names: list[str], weight: str | None = None) -> Callable:
     """Function for ``mapInPandas`` that reduces every batch to one matrix per key."""
     step = max(1, PRODUCTS_AT_ONCE // (len(names) + 1) ** 2)
 
     def reduce_batches(batches):
         for batch in batches:
             for start in range(0, len(batch), step):
-                yield sum_products(batch.iloc[start:start + step], keys, names)
+                yield sum_products(batch.iloc[start:start + step], keys, names, weight)
     return reduce_batches
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from . import blocks
+from . import blocks, ranks
 
 
 def _hash_share(keys: Sequence[str], seed: int) -> Column:
@@ -28,6 +28,19 @@ def shuffled_folds(df: DataFrame, keys: Sequence[str], n: Column | int = 3, seed
     return df.withColumn(name, F.floor(_hash_share(keys, seed) * n).cast("int"))
 
 
+def grouped_folds(df: DataFrame, site: str, n: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
+    """Add a fold 0..n-1 that all rows of a site share: sites are dealt out by rows, largest first, to and fro over the folds.
+
+    Sites of equal size stand in the order of a hash. Only (site, rows) is ranked, so no site is held anywhere as a whole.
+    """
+    sizes = df.groupBy(site).agg(F.count(F.lit(1)).alias("_n"))
+    order = ranks.value_counts(sizes, [], "_n").select(F.col("_n").cast("bigint").alias("_n"), "n_equal", (F.col("n_all") - F.col("n_upto")).alias("_larger"))
+    place = F.col("_larger") + F.floor(_hash_share([site], seed) * F.col("n_equal"))
+    turn = (place % (2 * n)).cast("int")
+    dealt = sizes.join(order, "_n").select(site, F.when(turn < n, turn).otherwise(2 * n - 1 - turn).alias(name))
+    return df.join(dealt, site)
+
+
 def fold_count(rows: Column, per_fold: int, most: int) -> Column:
     """min(most, max(2, rows / per_fold))."""
     return F.least(F.lit(most), F.greatest(F.lit(2), F.floor(rows / per_fold))).cast("int")

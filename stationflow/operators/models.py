@@ -12,28 +12,27 @@ Two families, both fitted by distributed jobs:
 
 from __future__ import annotations
 
-import itertools
-import random
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import linear
-from ..session import shared_folder
-from . import evaluate, features as feat, folds, ranks
+from ..session import cut_lineage, shared_folder
+from . import evaluate, ranks
 
 # ---- ridge regression from sums ------------------------------------------------------------
 
 
-def product_sums(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str) -> DataFrame:
-    """Sums of all products of (1, features, target) per key, as one array ``sums``.
+def product_sums(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str, weight: Column | None = None) -> DataFrame:
+    """Sums of all products of (1, features, target) per key, as one array ``sums``; with ``weight`` every row counts that much.
 
     Each Arrow batch is reduced to one matrix per key before anything is shuffled, so a large
     site sends a few matrices instead of its rows. Rows with a missing feature or target do not take part.
@@ -41,18 +40,19 @@ def product_sums(df: DataFrame, keys: Sequence[str], features: Sequence[str], ta
     keys = list(keys)
     names = [f"_x{i}" for i in range(len(features) + 1)]
     rows = df.select(
-        *keys, *[F.col(c).cast("double").alias(n) for c, n in zip([*features, target], names)])
-    reduce_batches = linear.batch_reducer(keys, names)
+        *keys, *[F.col(c).cast("double").alias(n) for c, n in zip([*features, target], names)],
+        *([weight.cast("double").alias("_w")] if weight is not None else []))
+    reduce_batches = linear.batch_reducer(keys, names, None if weight is None else "_w")
     kinds = ", ".join(f"`{k}` {t}" for k, t in rows.select(*keys).dtypes)
     partial = rows.mapInPandas(reduce_batches, f"{kinds}, part ARRAY<DOUBLE>")
     total = Summarizer.sum(array_to_vector("part"))
     return partial.groupBy(*keys).agg(vector_to_array(total).alias("sums"))
 
 
-def _coefficients(sums: DataFrame, keys: Sequence[str], n_features: int, ridge: float) -> DataFrame:
+def _coefficients(sums: DataFrame, keys: Sequence[str], n_features: int, ridge: float, least: float = 0.5) -> DataFrame:
     solve = F.pandas_udf(linear.ridge_solver(n_features, ridge), "array<double>")
     n = F.get("sums", F.lit(0))
-    return sums.where(n > 0.5).select(*keys, F.round(n).cast("bigint").alias("n_train"), solve("sums").alias("coef"))
+    return sums.where(n > least).select(*keys, F.round(n).cast("bigint").alias("n_train"), solve("sums").alias("coef"))
 
 
 def fit_sites(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str,
@@ -114,26 +114,36 @@ def fold_scores(predicted: DataFrame, keys: Sequence[str], fold: str, actual: st
 
 # ---- pooled trees --------------------------------------------------------------------------
 
-SITE_TREES = {"maxIter": 500, "maxDepth": 5, "stepSize": 0.03, "subsamplingRate": 0.8}
 POOLED_TREES = {"maxIter": 300, "maxDepth": 8, "stepSize": 0.02, "subsamplingRate": 0.8}
 
 
+#: Rows of a partition that trees learn from: every level of a tree is a job, so small tables go into few tasks.
+TREE_ROWS = 200_000
+
+
 def tree_pipeline(features: Sequence[str], target: str, prediction: str = "prediction", seed: int = 42, **params) -> Pipeline:
     """Assembler plus gradient-boosted trees. Rows with a missing feature are skipped in training."""
-    trees = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol=prediction, seed=seed,
-                         minInstancesPerNode=20, featureSubsetStrategy="0.8", cacheNodeIds=True, **params)
+    trees = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol=prediction, seed=seed, minInstancesPerNode=20,
+                         featureSubsetStrategy="0.8", checkpointInterval=20, **params)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip"), trees])
 
 
 def fit_trees(df: DataFrame, features: Sequence[str], target: str, prediction: str = "prediction", seed: int = 42,
               **params) -> PipelineModel:
-    """Fit pooled trees. Node statistics are checkpointed in the shared folder as trees grow."""
+    """Fit pooled trees on partitions sized to the rows. Errors are checkpointed in the shared folder as trees are added."""
     df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     cols = list(dict.fromkeys([*features, target]))
     data = df.select(*[F.col(c).cast("double") for c in cols]).na.drop()
+    data = data.coalesce(max(1, math.ceil(data.count() / TREE_ROWS)))
     return tree_pipeline(features, target, prediction, seed, **(params or POOLED_TREES)).fit(data)
 
 
+def fit_together(spark, fits: Sequence[Callable[[], PipelineModel]], parallelism: int = 4) -> list[PipelineModel]:
+    """Results of independent fits, several at a time: their jobs share the cluster, so short jobs of one fill the gaps of another."""
+    with ThreadPool(min(parallelism, max(1, len(fits)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda fit: fit()), fits)
+
+
 def model_features(model: PipelineModel) -> list[str]:
     return model.stages[0].getInputCols()
 
@@ -149,32 +159,6 @@ def predict_trees(model: PipelineModel, df: DataFrame) -> DataFrame:
     return out.drop("_features", *[f"_f_{c}" for c in wanted])
 
 
-def random_search(df: DataFrame, features: Sequence[str], target: str, space: dict[str, Sequence], draws: int = 10,
-                  n_folds: int = 3, seed: int = 42, parallelism: int = 2) -> CrossValidatorModel:
-    """Cross-validated search over ``draws`` random combinations of ``space`` (lowest MSE wins)."""
-    df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
-    pipe = tree_pipeline(features, target, seed=seed)
-    trees = pipe.getStages()[1]
-    rng = random.Random(seed)
-    names = sorted(space)
-    combos = list(itertools.product(*[space[n] for n in names]))
-    chosen = rng.sample(combos, min(draws, len(combos)))
-    grid = [{trees.getParam(n): v for n, v in zip(names, c)} for c in chosen]
-    cols = [F.col(c).cast("double") for c in dict.fromkeys([*features, target])]
-    data = df.select(*cols).na.drop()
-    data = folds.shuffled_folds(data, data.columns, n_folds, seed)
-    score = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="mse")
-    return CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=score, numFolds=n_folds, foldCol="fold",
-                          parallelism=parallelism, seed=seed).fit(data)
-
-
-def search_table(df: DataFrame, search: CrossValidatorModel) -> DataFrame:
-    """Rows ``(draw, parameters, mse)`` of a finished search, one per drawn combination."""
-    rows = [(i, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda e: e[0].name)), float(s))
-            for i, (m, s) in enumerate(zip(search.getEstimatorParamMaps(), search.avgMetrics))]
-    return df.sparkSession.createDataFrame(rows, "draw INT, parameters STRING, mse DOUBLE")
-
-
 def importances(model: PipelineModel, spark) -> DataFrame:
     """Rows ``(feature, importance)``: the share of the trees' error reduction."""
     weights = model.stages[1].featureImportances.toArray()
@@ -182,33 +166,6 @@ def importances(model: PipelineModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "feature STRING, importance DOUBLE")
 
 
-def fit_two_stage(df: DataFrame, features: Sequence[str], target: str, ts: str, border: Column,
-                  min_first: int = 100, min_second: int = 50, **params) -> tuple[PipelineModel, PipelineModel | None]:
-    """Base model on the old period, then a model of its residuals on the new one at half the step.
-
-    With fewer than ``min_first`` old rows the base model uses all rows; with fewer than ``min_second``
-    new rows there is no second model.
-    """
-    params = params or SITE_TREES
-    n = df.agg(F.count_if(F.col(ts) <= border).alias("old"), F.count_if(F.col(ts) >= border).alias("new")).first()
-    old = df.where(F.col(ts) <= border) if n["old"] >= min_first else df
-    base = fit_trees(old, features, target, **params)
-    if n["new"] < min_second:
-        return base, None
-    rest = predict_trees(base, df.where(F.col(ts) >= border)).withColumn("_residual", F.col(target) - F.col("prediction"))
-    tuned = fit_trees(rest.drop("prediction"), features, "_residual", prediction="correction",
-                      **{**params, "stepSize": params.get("stepSize", 0.1) * 0.5})
-    return base, tuned
-
-
-def predict_two_stage(models: tuple[PipelineModel, PipelineModel | None], df: DataFrame) -> DataFrame:
-    base, tuned = models
-    out = predict_trees(base, df)
-    if tuned is None:
-        return out
-    return predict_trees(tuned, out).withColumn("prediction", F.col("prediction") + F.col("correction")).drop("correction")
-
-
 # ---- selection and intervals ---------------------------------------------------------------
 
 def champion(df: DataFrame, metrics: DataFrame, site: Sequence[str], local: str, pooled: str, score: str = "cv_r2",
@@ -233,6 +190,62 @@ def residual_intervals(df: DataFrame, site: Sequence[str], actual: str, predicti
         "upper": F.col(prediction) + F.col("_hi")}).drop("_lo", "_md", "_hi")
 
 
+def transfer_sites(df: DataFrame, site: Sequence[str], ts: str, border: Column, features: Sequence[str], target: str, trust: float = 0.1,
+                   min_first: int = 100, min_second: int = 50, ridge: float = 1e-3) -> DataFrame:
+    """One ridge per site that learnt the rows before ``border`` and is moved to those from ``border`` on: (site, n_old, n_new, tuned, n_train, coef).
+
+    The old period's product matrix, times ``trust``, is the prior precision of the new period's coefficients, so they shrink towards the
+    old ones most where the old rows say most. Both periods' matrices come from one pass. A site with fewer than ``min_first`` old rows has all
+    its rows as base; with fewer than ``min_second`` new rows the base model stays as it is. Both gates count the site's own complete rows.
+    """
+    site = list(site)
+    parts = product_sums(df.withColumn("_new", F.col(ts) >= border), [*site, "_new"], features, target)
+    size = (len(features) + 2) ** 2
+    none = F.array_repeat(F.lit(0.0), size)
+    sides = parts.groupBy(*site).agg(F.max(F.when(~F.col("_new"), F.col("sums"))).alias("_o"), F.max(F.when(F.col("_new"), F.col("sums"))).alias("_n"))
+    sides = sides.withColumns({"_o": F.coalesce("_o", none), "_n": F.coalesce("_n", none)})
+    n_old, n_new = (F.round(F.get(c, F.lit(0))).cast("bigint") for c in ("_o", "_n"))
+    sides = sides.withColumns({"n_old": n_old, "n_new": n_new, "tuned": n_new >= min_second})
+    base = F.when(F.col("n_old") >= min_first, F.col("_o")).otherwise(F.zip_with("_o", "_n", lambda a, b: a + b))
+    sides = sides.withColumn("_base", base)
+    both = F.zip_with("_base", "_n", lambda a, b: a * F.lit(trust) + b)
+    sums = sides.withColumn("sums", F.when(F.col("tuned"), both).otherwise(F.col("_base")))
+    keep = [*site, "n_old", "n_new", "tuned"]
+    return _coefficients(sums.select(*keep, "sums"), keep, len(features), ridge, least=0.0)
+
+
+def pinball_sites(df: DataFrame, site: Sequence[str], features: Sequence[str], target: str, taus: Sequence[float], passes: int = 25,
+                  ridge: float = 1e-6, near: float = 1e-3) -> DataFrame:
+    """(site, tau, coef): one linear quantile regression per site and quantile, by reweighted sums.
+
+    Each pass weights a row by tau or 1 - tau over its distance from the last pass's quantile (at least ``near`` of the site's spread) and
+    solves the weighted normal equations, which lowers the pinball loss from pass to pass. All quantiles of all sites share a pass.
+    Rows with a missing value do not take part.
+    """
+    site = list(site)
+    cols = [F.col(c).cast("double").alias(c) for c in dict.fromkeys([*features, target])]
+    rows = cut_lineage(df.select(*site, *cols).na.drop(), "pinball-rows")
+    spread = rows.groupBy(*site).agg(F.greatest(F.stddev_pop(target), F.lit(1e-12)).alias("_s"))
+    levels = F.explode(F.array(*[F.lit(float(t)) for t in taus])).alias("tau")
+    state = fit_sites(rows, site, features, target, ridge).join(spread, site).select(*site, "_s", "coef", levels)
+    for _ in range(passes):
+        state = cut_lineage(state.select(*site, "tau", "_s", "coef"), "pinball-state")
+        off = F.col(target) - linear_prediction(features)
+        weight = F.when(off >= 0, F.col("tau")).otherwise(1 - F.col("tau")) * F.col("_s") * near / F.greatest(F.abs(off), F.col("_s") * near)
+        sums = product_sums(rows.join(state, site), [*site, "tau"], features, target, weight)
+        state = _coefficients(sums, [*site, "tau"], len(features), ridge, least=0.0).drop("n_train").join(state.drop("coef"), [*site, "tau"])
+    return cut_lineage(state.select(*site, "tau", "coef"), "pinball")
+
+
+def quantile_predictions(df: DataFrame, models: DataFrame, site: Sequence[str], features: Sequence[str], names: dict[str, float]) -> DataFrame:
+    """One column per quantile, in the order of ``names``; a row's predictions are sorted, so they never cross."""
+    site, found = list(site), [f"_q{i}" for i in range(len(names))]
+    wide = models.groupBy(*site).agg(*[F.max(F.when(F.col("tau") == t, F.col("coef"))).alias(q) for q, t in zip(found, names.values())])
+    out = df.join(wide, site, "left")
+    ordered = F.array_sort(F.array(*[linear_prediction(features, q) for q in found]))
+    return out.withColumn("_all", ordered).withColumns({n: F.get("_all", F.lit(i)) for i, n in enumerate(names)}).drop("_all", *found)
+
+
 # ---- persistence ---------------------------------------------------------------------------
 
 def save_trees(model: PipelineModel, path: str) -> None:

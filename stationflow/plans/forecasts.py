@@ -127,30 +127,33 @@ def champion_forecast(model: DataFrame, obs: DataFrame, site: Sequence[str], ts:
 
 def two_stage_forecast(old: DataFrame, new: DataFrame, obs: DataFrame, site: Sequence[str], ts: str, species: str,
                        now: Column, contamination: float = 0.05, resample: int = 3600, fill_limit: int = 12,
-                       threshold: float = 0.1, **trees) -> tuple[DataFrame, DataFrame]:
-    """Base model on the old version's period, tuned on the last 60 days; predictions and recent scores.
+                       threshold: float = 0.1, keep_all: bool = False, trust: float = 0.1, test_share: float = 0.3) -> tuple[DataFrame, DataFrame]:
+    """Base model of every site on the old version's period, moved to the last 60 days; predictions and scores of held-out rows.
 
-    Old version up to 60 days ago, new version from then on; observations are interpolated in
-    time while merging; features are picked by correlation, and all are kept where none passes; the final observation
-    gaps are filled up to ``fill_limit`` hours.
+    Old version up to 60 days ago, new version from then on; observations are interpolated in time while merging. A hash of the row's key holds out
+    ``test_share`` of the rows before anything is learnt: outlier filter, feature pick by correlation, gates and fit (:func:`models.transfer_sites`) see
+    the other rows only. Without a feature above ``threshold`` there is no model, unless ``keep_all`` asks for all features then. The final
+    observation gaps are filled up to ``fill_limit`` hours.
     """
     from ..operators.setops import hand_over
     from .series import merge_series
     border = now - F.make_dt_interval(F.lit(60))
     model = hand_over(clean.harmonise_names(old), clean.harmonise_names(new), [*site, ts], ts, border)
     merged = merge_series(model, obs.select(*site, ts, "value"), site, ts)
-    train = merged.where(F.col("value").isNotNull())
-    train = cut_lineage(outliers.drop_most_isolated(train, site, "value", contamination), "two-stage")
+    known = clean.finite_target(merged.where(F.col("value").isNotNull()), "value")
+    split = cut_lineage(folds.train_test(known, [*site, ts], test_share), "two-stage")
+    train = cut_lineage(outliers.drop_most_isolated(split.where("part = 'train'").drop("part"), site, "value", contamination), "two-stage-training")
     candidates = feat.feature_columns(train, [*fv.NEVER_FEATURES, *site, ts])
     picked = [r["feature"] for r in aggregates.pick_features(train, "value", candidates, threshold=threshold).collect()]
-    picked = picked or candidates
-    fitted = models.fit_two_stage(clean.finite_target(train, "value"), picked, "value", ts, border, **trees)
-
-    split = folds.train_test(evaluate.recent_rows(train, site, ts, now), [*site, ts])
-    tested = models.predict_two_stage(fitted, split.where("part = 'test'"))
+    if not picked and keep_all:
+        picked = candidates
+    if not picked:
+        raise ValueError(f"no feature has a correlation of {threshold} with the target")
+    fitted = cut_lineage(models.transfer_sites(train, site, ts, border, picked, "value", trust), "two-stage-models")
+    tested = models.predict_sites(split.where("part = 'test'"), fitted, site, picked)
     scores = evaluate.recent_validation(tested, site, ts, now, "value", "prediction")
 
-    out = models.predict_two_stage(fitted, clean.any_present(model, picked)).withColumnRenamed("prediction", "localised")
+    out = models.predict_sites(clean.any_present(model, picked), fitted, site, picked, "localised")
     values = [c for c in clean.numeric_columns(out) if c not in (*site, ts)]
     hourly = obs.select(*site, t.hour_floor(F.col(ts)).alias(ts), "value")
     both = joins.merge_and_resample([out.select(*site, ts, *values), hourly], site, ts, [*values, "value"], resample)

@@ -54,22 +54,26 @@ def training_pool(sites: DataFrame, obs: DataFrame, model: DataFrame, site: str,
     return pool, log.withColumn("n_rows", F.when(F.col("status") == "ok", F.col("n_rows")).otherwise(0)), mode
 
 
-def train_pooled(pool: DataFrame, log: DataFrame, mode: str, species: str, min_site_rows: int = 10, ridge: float = 1e-3,
+def train_pooled(pool: DataFrame, log: DataFrame, mode: str, species: str, min_site_rows: int = 10, n_folds: int = 3,
                  **trees) -> PooledModel:
-    """Pooled trees on all rows; leave-one-site-out scores from site sums.
+    """Pooled trees on all rows, scored per site by trees that never saw the site.
 
-    Leaving every site out once with the trees would refit them per site; the
-    scores come from the linear model of the same features, whose held-out fits need no further pass.
+    Sites are packed into ``n_folds`` folds by rows; the trees of a fold learn from all other folds. The fits run side by side.
     """
     target = "bias_ratio" if mode == "ratio" else "value"
     raw = feat.species_column([c for c in pool.columns if c != "value"], species)
     names = feat.feature_columns(pool, fv.NEVER_FEATURES)
-    rows = clean.finite_target(pool, target)
-    held_out = models.cross_validate(rows, [], "_site", names, target, "leave_out", ridge)
-    held_out = held_out.withColumn("prediction", back_to_value(mode, raw, "prediction"))
-    held_out = cut_lineage(held_out.select("_site", "time", "value", "prediction"), "held-out")
-    per_site = evaluate.scores(held_out, ["_site"], "value", "prediction").where(F.col("n") >= min_site_rows)
-    model = models.fit_trees(rows, names, target, **trees)
+    rows = cut_lineage(folds.grouped_folds(clean.finite_target(pool, target), "_site", n_folds), "grouped-folds")
+    used = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
+    tested = [k for k in used if len(used) > 1]
+    fits = [lambda k=k: models.fit_trees(rows.where(F.col("fold") != k), names, target, **trees) for k in tested]
+    *by_fold, model = models.fit_together(pool.sparkSession, [*fits, lambda: models.fit_trees(rows, names, target, **trees)], n_folds + 1)
+    held_out = rows.select("_site", "fold", "value").withColumn("prediction", F.lit(None).cast("double")).limit(0)
+    for k, fitted in zip(tested, by_fold):
+        part = models.predict_trees(fitted, rows.where(F.col("fold") == k)).withColumn("prediction", back_to_value(mode, raw, "prediction"))
+        held_out = held_out.unionByName(part.select("_site", "fold", "value", "prediction"))
+    held_out = cut_lineage(held_out, "held-out")
+    per_site = evaluate.scores(held_out, ["_site", "fold"], "value", "prediction").where(F.col("n") >= min_site_rows)
     fitted = models.predict_trees(model, rows).withColumn("prediction", back_to_value(mode, raw, "prediction"))
     fitted = cut_lineage(fitted.select("value", "prediction"), "fitted")
     overall = per_site.agg(F.avg("rmse").alias("cv_rmse"), F.avg("r2").alias("cv_r2"), F.avg("mae").alias("cv_mae"),
@@ -104,14 +108,14 @@ def train_from_pool(pool: DataFrame, target: str = "value", site: str = "_site",
     train = rows.where("part = 'train'")
     learn = cut_lineage(folds.site_quota(train, site, [site, ts], max_rows, seed), "pooled-learning") if max_rows else train
 
+    fits = [lambda k=k: models.fit_trees(learn.where(F.col("fold") != k), names, target, seed=seed, **trees) for k in range(n_splits)]
+    *by_fold, model = models.fit_together(pool.sparkSession, [*fits, lambda: models.fit_trees(learn, names, target, seed=seed, **trees)])
     per_fold = None
-    for k in range(n_splits):  # a fixed small number of fits, each distributed
-        fold_model = models.fit_trees(learn.where(F.col("fold") != k), names, target, seed=seed, **trees)
+    for k, fold_model in enumerate(by_fold):
         part = models.predict_trees(fold_model, train.where(F.col("fold") == k)).select(target, "prediction", "fold")
         per_fold = part if per_fold is None else per_fold.unionByName(part)
     cv = evaluate.scores(per_fold, ["fold"], target, "prediction").agg(
         F.avg("r2").alias("cv_r2"), F.avg("rmse").alias("cv_rmse"), F.avg("mae").alias("cv_mae"))
-    model = models.fit_trees(learn, names, target, seed=seed, **trees)
     parts = evaluate.scores(models.predict_trees(model, rows), ["part"], target, "prediction")
     scores = parts.withColumns({c: cv.select(c).scalar() for c in cv.columns})
     return model, scores, names

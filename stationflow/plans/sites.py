@@ -87,3 +87,12 @@ def interval_report(rows: DataFrame, site: Sequence[str], ts: str, features: Seq
     q = ranks.quantiles(residuals, site, "_r", {"_lo": lower, "_hi": upper}).drop("n")
     test = models.predict_sites(parts.where("part = 'test'"), fitted, site, features, "mid").join(q, list(site), "left")
     return test.select(*site, ts, value, (F.col("mid") + F.col("_lo")).alias("lower"), "mid", (F.col("mid") + F.col("_hi")).alias("upper"))
+
+
+def quantile_report(rows: DataFrame, site: Sequence[str], ts: str, features: Sequence[str], value: str = "value",
+                    lower: float = 0.15, upper: float = 0.85, test_share: float = 0.3, passes: int = 25) -> DataFrame:
+    """Held-out rows with lower, mid and upper prediction: three regressions of each site on its other rows, one per quantile."""
+    parts = cut_lineage(folds.train_test(clean.all_present(rows, [*features, value]), [*site, ts], test_share), "quantile-report")
+    names = {"lower": lower, "mid": 0.5, "upper": upper}
+    fitted = models.pinball_sites(parts.where("part = 'train'"), site, features, value, list(names.values()), passes)
+    return models.quantile_predictions(parts.where("part = 'test'"), fitted, site, features, names).select(*site, ts, value, *names)

@@ -29,27 +29,22 @@ def test_sql_belongs_to_queries():
 
 def test_tree_queries_ask_for_full_sizes(spark, monkeypatch):
     """The fits themselves are replaced by small ones here."""
-    from stationflow.operators import models
-    asked, whole, search = [], models.tree_pipeline, models.CrossValidator
+    from stationflow.functions import boosting
+    from stationflow.operators import models, tuning
+    asked, whole = [], models.tree_pipeline
 
     def small(features, target, prediction="prediction", seed=42, **params):
         asked.append(params)
         return whole(features, target, prediction, seed, maxIter=1, maxDepth=2)
 
-    class Drawn(search):
-        def fit(self, data):
-            maps = self.getEstimatorParamMaps()
-            asked.append({"draws": len(maps), "folds": self.getNumFolds(), "trees": max(v for m in maps for p, v in m.items() if p.name == "maxIter")})
-            self.setEstimatorParamMaps([{p: 1 for p in m if p.name == "maxIter"} for m in maps[:1]])
-            return super().fit(data)
-
     monkeypatch.setattr(models, "tree_pipeline", small)
-    monkeypatch.setattr(models, "CrossValidator", Drawn)
     fits = {}
-    for name in ("pooled_trees", "pooled_from_file", "champion_selection", "two_stage_forecast", "parameter_search", "feature_importance"):
+    for name in ("pooled_trees", "pooled_from_file", "champion_selection", "feature_importance"):
         asked.clear()
         assert queries()[name](spark, SF_DIR).count() > 0
         fits[name] = list(asked)
-    one, halved = models.POOLED_TREES, {**models.SITE_TREES, "stepSize": models.SITE_TREES["stepSize"] / 2}
-    assert fits == {"pooled_trees": [one], "pooled_from_file": [one] * 4, "champion_selection": [one], "two_stage_forecast": [models.SITE_TREES, halved],
-                    "parameter_search": [{}, {"draws": 10, "folds": 3, "trees": 500}], "feature_importance": [one]}
+    one = models.POOLED_TREES
+    assert fits == {"pooled_trees": [one] * 4, "pooled_from_file": [one] * 4, "champion_selection": [one], "feature_importance": [one]}
+    from stationflow.catalog.modelling import SEARCH_SPACE
+    drawn = tuning.draw_combinations(SEARCH_SPACE, 10)
+    assert len(drawn) == 10 and max(c["maxIter"] for c in drawn) == 500 and boosting.BINS == 32
