@@ -18,7 +18,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from ..functions.times import epoch_seconds
+from ..functions.times import epoch_micros, epoch_seconds
+from ..session import cut_lineage
 
 BLOCK_ROWS = 4096
 BLOCK_SECONDS = 120 * 86400
@@ -69,14 +70,54 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
     )
 
 
+#: Widths of the cells that equal-count blocks are cut from: hour, second, millisecond and microsecond.
+CELL_MICROS = (3_600_000_000, 1_000_000, 1_000, 1)
+
+
+def _splitters(cells: DataFrame, parent: Sequence[str], cell: str, limit: int) -> DataFrame:
+    """``_start``: the first cell of each one's block. Cells are cumulated in order; a cell above ``limit`` rows is a block of its own."""
+    w = Window.partitionBy(*parent).orderBy(cell)
+    before = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = cells.withColumns({"_step": F.floor(F.coalesce(before, F.lit(0)) / limit), "_heavy": F.col("_n") > limit})
+    begins = F.coalesce(F.lag("_step").over(w) != F.col("_step"), F.lit(True)) | F.col("_heavy") | F.coalesce(F.lag("_heavy").over(w), F.lit(False))
+    marked = marked.withColumn("_begins", begins)
+    first = F.last(F.when(F.col("_begins"), F.col(cell)), ignorenulls=True)
+    return marked.withColumn("_start", first.over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_step", "_begins", "_n")
+
+
+def equal_blocks(df: DataFrame, keys: Sequence[str], ts: str, limit: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``_blk``, an ordered block of at most about 2 * ``limit`` rows of a key, however its rows crowd in time.
+
+    Hours of a key are cumulated to blocks of equal count. An hour above ``limit`` rows is cut again from the counts of its own
+    seconds, a second from its milliseconds, those from their microseconds, so a block holds more only if one microsecond does. ``df`` should be a
+    written table; only counts of cells are ordered, at most one key's hours or one cell's 3,600 parts at a time.
+    """
+    names = [f"_c{i}" for i in range(len(CELL_MICROS))]
+    micros = epoch_micros(F.col(ts))
+    out = df.withColumns({c: F.floor(micros / width).cast("bigint") for c, width in zip(names, CELL_MICROS)})
+    parent, rows, starts = list(keys), out, []
+    for i, cell in enumerate(names):
+        found = _splitters(rows.groupBy(*parent, cell).agg(F.count(F.lit(1)).alias("_n")), parent, cell, limit)
+        found = cut_lineage(found.withColumnRenamed("_start", f"_start{i}"), "splitters")
+        parent = [*parent, cell]
+        out = out.join(found.drop("_heavy"), parent, "left")
+        starts.append(F.coalesce(F.col(f"_start{i}"), F.lit(0)).alias(f"b{i}"))
+        heavy = found.where("_heavy").select(*parent)
+        if cell == names[-1] or heavy.isEmpty():
+            break
+        rows = rows.join(heavy, parent, "left_semi")
+    return out.withColumn("_blk", F.struct(*starts)).drop(*names, *[f"_start{i}" for i in range(len(starts))])
+
+
 def with_neighbours(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str],
-                    seconds: int = BLOCK_SECONDS) -> DataFrame:
+                    seconds: int = BLOCK_SECONDS, limit: int | None = None) -> DataFrame:
     """Add ``_prev_<v>`` and ``_next_<v>``: the closest non-null point at or before / after.
 
     Each is a struct ``(rn, t, v)`` with the row number per key, the time and the value.
-    ``_rn`` is the row number of the current row. Times are unique per key.
+    ``_rn`` is the row number of the current row. Times are unique per key. Blocks cover ``seconds`` each, which bounds
+    them for hourly series; with ``limit`` they hold equal counts of rows instead.
     """
-    df = df.withColumn("_blk", _time_block(ts, seconds))
+    df = equal_blocks(df, keys, ts, limit) if limit else df.withColumn("_blk", _time_block(ts, seconds))
     w = Window.partitionBy(*keys, "_blk").orderBy(ts)
     back = Window.partitionBy(*keys, "_blk").orderBy(F.col(ts).desc())
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationflow.functions import aqi, names, units
-from stationflow.operators import aggregates, asof, clean, evaluate, features, folds, joins, models, nearest, outliers, ranks
+from stationflow.operators import aggregates, asof, blocks, clean, evaluate, features, folds, joins, models, nearest, outliers, ranks
 
 
 @pytest.mark.parametrize("conc,want", [
@@ -210,16 +210,29 @@ def test_values_close_together_are_ranked_in_many_blocks(spark):
     assert [r["n_upto"] for r in got] == list(range(1, 60_001)) and got[0]["n_all"] == 60_000
 
 
-def test_raw_series_of_one_site_is_ordered_hour_by_hour(spark, monkeypatch):
-    rows = spark.range(20_000).select(F.lit("a").alias("site"), F.timestamp_seconds(F.col("id") * 37).cast("timestamp_ntz").alias("ts"), F.col("id").alias("pos"))
-    seen, real = [], asof.blocks.with_neighbours
-
-    def watched(df, keys, ts, values, seconds):
-        seen.append(df.groupBy(F.floor(F.unix_timestamp(F.col(ts).cast("timestamp")) / seconds)).count().agg(F.max("count")).first()[0])
-        return real(df, keys, ts, values, seconds)
-
-    monkeypatch.setattr(asof.blocks, "with_neighbours", watched)
-    targets = spark.range(200).select(F.lit("a").alias("site"), F.timestamp_seconds(F.col("id") * 3700 + 20).cast("timestamp_ntz").alias("target"), "id")
-    got = {r["id"]: r["pos"] for r in asof.nearest_in_time(targets, rows, ["site"], "target", "ts", "pos").collect()}
-    assert got == {i: min(range(20_000), key=lambda p: (abs(p * 37 - i * 3700 - 20), p)) for i in range(200)}
-    assert max(seen) <= 100
+def _crowded(spark, n, micros):
+    """``n`` rows of one site in its first hour, second or millisecond, and one row an hour for other sites."""
+    at = F.timestamp_micros(F.col("id") * micros).cast("timestamp_ntz")
+    crowd = spark.range(n).select(F.lit("a").alias("site"), at.alias("ts"), F.col("id").alias("pos"))
+    rest = spark.range(n // 10).select(F.lit("b").alias("site"), F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("ts"), F.col("id").alias("pos"))
+    return crowd.unionByName(rest)
+
+
+@pytest.mark.parametrize("micros", [37_000_000, 60_000, 70, 1])
+def test_blocks_stay_small_where_rows_crowd(spark, micros):
+    rows, limit = _crowded(spark, 20_000, micros), 500
+    cut = blocks.equal_blocks(rows, ["site"], "ts", limit)
+    sizes = cut.groupBy("site", "_blk").agg(F.count("*").alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi")).collect()
+    assert max(r["n"] for r in sizes) <= 2 * limit and len(sizes) < 4 * 22_000 / limit
+    for site in "ab":  # blocks follow each other in time
+        mine = sorted((r for r in sizes if r["site"] == site), key=lambda r: r["_blk"])
+        assert all(x["hi"] < y["lo"] for x, y in zip(mine, mine[1:]))
+
+
+@pytest.mark.parametrize("micros", [37_000_000, 70])
+def test_nearest_in_a_crowded_series(spark, micros):
+    rows = _crowded(spark, 20_000, micros)
+    targets = spark.range(200).select(F.lit("a").alias("site"), F.timestamp_micros(F.col("id") * 99 * micros + micros // 3).cast("timestamp_ntz").alias("target"), "id")
+    targets = targets.unionByName(targets.where("id = 7")).unionByName(spark.createDataFrame([(None, None, 900), ("none", None, 901)], "site STRING, target TIMESTAMP_NTZ, id BIGINT"))
+    got = asof.nearest_in_time(targets, rows, ["site"], "target", "ts", "pos", limit=300).collect()
+    assert sorted((r["id"], r["pos"]) for r in got) == sorted([(i, i * 99) for i in range(200)] + [(7, 693)])
