@@ -74,6 +74,53 @@ def sensor_pages(spark, sf_dir):
     return readers.sensor_pages(spark, path, grade="reference grade", multi_line=False)
 
 
+_SENSOR_UNIT = "CASE user_id % 3 WHEN 0 THEN 'µg/m³' WHEN 1 THEN 'ppm' ELSE 'ppb' END"
+
+
+@query(f"""SELECT date_trunc('hour', ts) AS time, 'sensor' AS location, R6(avg(CASE user_id % 3 WHEN 0 THEN value / 1.88 WHEN 1 THEN value * 1000 ELSE value END)) AS value
+FROM events WHERE event_type <> 'error' AND user_id % 2 = 0 AND value > 0 GROUP BY 1""")
+def sensor_chain(spark, sf_dir):
+    """API pages read, reduced to valid rows of one species in ppb whatever their unit, and averaged hourly."""
+    ev = table(spark, sf_dir, "events")
+    row = F.struct(
+        F.col("value"), F.when(F.col("event_type") == "error", "low cost").otherwise("reference grade").alias("sensorType"),
+        F.struct(F.when(F.col("user_id") % 2 == 0, "no2").otherwise("o3").alias("name"), F.expr(_SENSOR_UNIT).alias("units")).alias("parameter"),
+        F.struct(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("utc"),
+                          F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("local")).alias("datetimeFrom")).alias("period"))
+    pages = ev.groupBy("user_id", t.hour_floor(F.col("ts")).alias("hour")).agg(F.collect_list(row).alias("results")).select("results")
+    path = scratch_path(spark, "sensor-pages")
+    writers.frame(pages, path, "json")
+    out = series.read_observations(spark, "sensor", path, "no2", resample=3600, grade="reference grade", multi_line=False)
+    return round_columns(out.select("time", "location", "value").where("value IS NOT NULL"), ["value"])
+
+
+@query("""SELECT p_brand AS location_name, list_min(list(p_type)) AS first_source, CAST(count(DISTINCT p_type) AS INT) AS n_sources,
+  CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INT) AS position FROM part GROUP BY 1""")
+def site_index(spark, sf_dir):
+    """One index file with all sites, read back with the place of every entry."""
+    brands = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("location_name")).agg(
+        F.lit("no2").alias("species"), F.array_sort(F.collect_set("p_type")).alias("sources"))
+    path = scratch_path(spark, "site-index")
+    # an index file is one array by its format; it has an entry a site
+    brands.agg(F.to_json(F.array_sort(F.collect_list(F.struct("location_name", "species", "sources")))).alias("value")).write.text(path)
+    out = readers.site_index(spark, path)
+    return out.select("location_name", F.get("sources", F.lit(0)).alias("first_source"), F.size("sources").alias("n_sources"), "position")
+
+
+@query("""SELECT kind, n_nationkey, n_name, n_regionkey FROM nation, (VALUES ('csv'), ('jsonl'), ('parquet')) v(kind)""")
+def files_by_extension(spark, sf_dir):
+    """One table in three formats, each read by the reader its extension asks for."""
+    nation, found = table(spark, sf_dir, "nation"), None
+    for kind in ("csv", "jsonl", "parquet"):
+        path = f"{scratch_path(spark, 'by-extension')}.{kind}"
+        writer = nation.write.option("header", True) if kind == "csv" else nation.write
+        writer.format(kind.removesuffix("l")).save(path)
+        schema = "n_nationkey INT, n_name STRING, n_regionkey INT" if kind != "parquet" else None
+        part = readers.by_extension(spark, path, schema).select(F.lit(kind).alias("kind"), "n_nationkey", "n_name", "n_regionkey")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 _SLOT_SQL = """k AS (SELECT DISTINCT event_type AS s, CAST(date_trunc('day', ts) AS TIMESTAMP) AS d FROM events),
 v AS (SELECT event_type AS s, CAST(date_trunc('day', ts) AS TIMESTAMP) AS d, hour(ts) // 3 AS i, avg(value) AS c, count(*) AS n FROM events GROUP BY 1, 2, 3)"""
 

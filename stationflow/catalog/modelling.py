@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate, features as feat, folds, models, tuning
 from ..plans import forecasts, pooled, sites as site_plans
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from .data import PAIRS_SQL, hourly_pairs, json_k, r6, round_columns, table
 from .registry import query
 
@@ -34,6 +34,19 @@ def site_regression(spark, sf_dir):
     return fit.select("site", "n_train", r6(F.element_at("coef", 1), 4).alias("intercept"), r6(F.element_at("coef", 2), 4).alias("slope"))
 
 
+@query(f"""WITH {PAIRS_SQL} SELECT site, count(*) AS n_train, 'model' AS feature, 'absolute' AS target, R4(regr_intercept(value, model) + regr_slope(value, model) * 10) AS at_ten
+  FROM pairs GROUP BY 1 HAVING count(*) % 2 = 0""")
+def saved_site_models(spark, sf_dir):
+    """Site models saved, those of them that are young enough loaded again and applied. Models of an odd number of rows are given an older day."""
+    fitted = models.fit_sites(hourly_pairs(spark, sf_dir), SITE, ["model"], "value", ridge=0.0)
+    path = scratch_path(spark, "saved-site-models")
+    now = F.lit("2024-03-20 00:00:00").cast("timestamp")
+    models.save_site_models(fitted, ["model"], "absolute", path, now - F.make_dt_interval(F.when(F.col("n_train") % 2 == 0, 7).otherwise(8)))
+    young = models.load_site_models(spark, path, now, max_days=7)
+    out = models.predict_sites(young.select("site", "n_train", "features", "target", F.lit(10.0).alias("model")), young, SITE, ["model"], "at_ten")
+    return out.select("site", "n_train", F.get("features", F.lit(0)).alias("feature"), "target", r6("at_ten", 4).alias("at_ten"))
+
+
 _LOSO = """t AS (SELECT o.site AS held, regr_slope(p.value, p.model) AS slope, regr_intercept(p.value, p.model) AS icpt
   FROM (SELECT DISTINCT site FROM pairs) o JOIN pairs p ON p.site <> o.site GROUP BY 1)"""
 

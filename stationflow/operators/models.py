@@ -256,7 +256,15 @@ def load_trees(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def save_site_models(models: DataFrame, features: Sequence[str], target_mode: str, path: str) -> None:
-    """Coefficients with the feature names and target mode they belong to."""
+def save_site_models(models: DataFrame, features: Sequence[str], target_mode: str, path: str, saved_at: Column | None = None) -> None:
+    """Coefficients with the feature names and target mode they belong to, and when they were saved."""
     names = F.array(*[F.lit(f) for f in features])
-    models.withColumns({"features": names, "target": F.lit(target_mode)}).write.mode("overwrite").parquet(path)
+    at = (F.current_timestamp() if saved_at is None else saved_at).cast("timestamp")
+    models.withColumns({"features": names, "target": F.lit(target_mode), "saved_at": at}).write.mode("overwrite").parquet(path)
+
+
+def load_site_models(spark, path: str, now: Column | None = None, max_days: int | None = None) -> DataFrame:
+    """Saved site models; with ``max_days`` only those not older than that, the others have to be trained anew."""
+    out = spark.read.parquet(path)
+    now = (F.current_timestamp() if now is None else now).cast("timestamp")
+    return out if max_days is None else out.where(F.col("saved_at") >= now - F.make_dt_interval(F.lit(max_days)))

@@ -254,13 +254,18 @@ def first_column(columns: Sequence[str], candidates: Sequence[str]) -> str | Non
 
 
 def by_extension(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Read a file or glob with the reader its extension asks for; unknown ones as bytes."""
+    """Read a file or glob with the reader its extension asks for; unknown ones as bytes.
+
+    A ``json`` file is one document or one array of them; ``jsonl`` and ``ndjson`` have a document a line.
+    """
     ext = path.rstrip("/*").rsplit(".", 1)[-1].lower()
     reader = spark.read.schema(schema) if schema else spark.read
     if ext == "csv":
         return reader.option("header", True).csv(path)
     if ext in ("json", "geojson"):
         return reader.option("multiLine", True).json(path)
+    if ext in ("jsonl", "ndjson"):
+        return reader.json(path)
     if ext == "parquet":
         return reader.parquet(path)
     if ext in ("txt", "log", "md", "yaml", "yml"):
