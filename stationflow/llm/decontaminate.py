@@ -1,38 +1,66 @@
-"""Benchmark decontamination: n-gram seeds, then local alignment.
-
-Every n-gram of a test item is a seed, however common it is. A document that has a seed of an item and enough of the item's words
-is aligned with it, around the seed, by Smith-Waterman over words; the score is the alignment's share of a perfect one.
-What is found in a document depends on its own text and the item only. Test items go through in blocks of bounded size, one
-pass over the documents for each block.
+"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+
+The words and adjacent word pairs of the test items are counted over all documents. Of every piece of an item its rare n-grams become
+seeds: the commonest ones are left out, but never more than every sufficient alignment has to keep, so that each of them holds a seed
+however common the item, the copy or the edit is. Seeds join documents to items: a document that has a seed of an item and enough of
+its words is aligned with it, around the seed, by Smith-Waterman over words; the score is the alignment's share of a perfect one.
+Test items go through in blocks of bounded size, two passes over the documents for each block.
+
+The guarantee. An alignment of m matches and e other columns scores 2m - e. Its matches form at most e + 1 runs, so one that scores s
+holds at least m - (e + 1) >= s - 1 - m >= s - 1 - length adjacent pairs, and at least s / 2 matches. Of a piece with P places one of
+the P - kept + 1 rarest is therefore in the text. Items whose 50 words are enough are cut into pieces that every 50 words in a row
+fit into, and into pieces that lie side by side. Every alignment that scores enough of a whole item, or of such a piece, is found. Only one
+worth 50 words of a longer item that is so thinly spread that no piece has its share may be missed.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import per_batch
+from .common import arrow_schema, per_batch
 
 WORDS = re.compile(r"[^\W_]+")
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Words of a seed.
+WIDTHS = (1, 2)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Words of a seed, least score, aligned words that are enough of any item, items and characters of a block of items."""
-    seed: int = 3
+    """Least score, words below which an item is needed whole, aligned words that are enough of any item, items and characters of a block of items."""
     least: float = 0.6
+    whole: int = 3
     run: int = 50
     block_items: int = 20_000
     block_chars: int = 8_000_000
 
+    def needed(self, length):
+        """Words whose matches an alignment with an item of ``length`` words has to be worth."""
+        return np.minimum(np.maximum(self.least * length, np.minimum(length, self.whole)), self.run)
+
+    def kept(self, length: int, width: int) -> int:
+        """Places of ``width`` adjacent words that every alignment worth ``needed`` words keeps."""
+        score = math.ceil(MATCH * float(self.needed(length)) - 1e-9)
+        return math.ceil(score / MATCH) if width == 1 else score - 1 - length
+
+    def pieces(self, length: int) -> list[tuple[int, int]]:
+        """Parts of an item that get seeds of their own: the whole item, or for longer ones overlapping and adjacent parts."""
+        size = int(self.run / self.least + 1e-9)
+        if length <= size:
+            return [(0, length)]
+        overlapping = [*range(0, length - size, size - self.run + 1), length - size]
+        return sorted({(a, a + size) for a in overlapping} | {(a, min(a + size, length)) for a in range(0, length, size)})
+
 
 def words_of(text: str | None) -> list[str]:
     return WORDS.findall((text or "").lower())
@@ -44,24 +72,27 @@ def spans(first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
 
 
+def look_up(known: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of those codes that are in the ordered list ``known``, and their numbers there."""
+    some = np.flatnonzero(codes) if len(known) else np.zeros(0, dtype=np.int64)
+    number = np.minimum(np.searchsorted(known, codes[some]), len(known) - 1)
+    hit = known[number] == codes[some]
+    return some[hit], number[hit]
+
+
 @dataclass
 class Block:
     """Test items of one block with their words as numbers and their n-grams as codes.
 
-    ``seeds`` are the distinct codes in order; ``owner`` lists their items, cut at ``seed_first``. ``words`` and ``times`` list
-    the distinct words of the items and how often each stands in its item, cut at ``word_first``.
+    ``grams`` are the distinct codes in order. ``words`` and ``times`` list the distinct words of the items and how often each
+    stands in its item, cut at ``word_first``. ``choose`` sets ``seeds``, codes in order, and ``owner``, their items, cut at ``seed_first``.
     """
     items: list[tuple[int, np.ndarray]]
     vocab: dict[str, int]
-    n: int
+    settings: Settings
 
     def __post_init__(self):
-        codes = [np.unique(self.codes(w, self.width(w))) for _, w in self.items]
-        flat, owner = np.concatenate([np.zeros(0, dtype=np.int64), *codes]), np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-        order = np.argsort(flat, kind="stable")
-        self.owner = owner[order]
-        self.seeds, first = np.unique(flat[order], return_index=True)
-        self.seed_first = np.append(first, len(flat))
+        self.grams = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *(self.codes(w, n) for _, w in self.items for n in WIDTHS)]))
         bags = [np.unique(w, return_counts=True) for _, w in self.items]
         self.words = np.concatenate([np.zeros(0, dtype=np.int64), *(w for w, _ in bags)])
         self.times = np.concatenate([np.zeros(0, dtype=np.int64), *(n for _, n in bags)])
@@ -69,14 +100,10 @@ class Block:
         self.lengths = np.array([len(w) for _, w in self.items], dtype=np.int64)
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str]], n: int) -> Block:
+    def of(cls, rows: list[tuple[int, str]], settings: Settings) -> Block:
         vocab: dict[str, int] = {}
         items = [(i, np.array([vocab.setdefault(w, len(vocab) + 1) for w in words_of(t)], dtype=np.int64)) for i, t in rows]
-        return cls([x for x in items if len(x[1])], vocab, n)
-
-    def width(self, words) -> int:
-        """Words of a seed; an item shorter than that is its own seed."""
-        return min(self.n, len(words))
+        return cls([x for x in items if len(x[1])], vocab, settings)
 
     def codes(self, ids: np.ndarray, n: int) -> np.ndarray:
         """Code of the n words from each place on, 0 where one of them is in no item. The number of words is part of it."""
@@ -92,27 +119,42 @@ class Block:
         words = words_of(text)
         return np.fromiter(map(self.vocab.get, words, repeat(0)), dtype=np.int64, count=len(words))
 
-    def widths(self) -> list[int]:
-        return np.unique(np.minimum(self.lengths, self.n)).tolist()
+    def rare(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Seeds of one piece: its rarest places, as many as the guarantee takes, words or pairs, whichever the documents hold less often."""
+        best, least = None, None
+        for n in WIDTHS:
+            must = self.settings.kept(len(words), n)
+            if must < 1:
+                continue
+            codes = self.codes(words, n)
+            times = counts[np.searchsorted(self.grams, codes)]
+            rarest = np.argsort(times, kind="stable")[:len(codes) - must + 1]
+            if least is None or times[rarest].sum() < least:
+                best, least = codes[rarest], times[rarest].sum()
+        return best
+
+    def choose(self, counts: np.ndarray) -> Block:
+        """Take the seeds of every item, by how often each of ``grams`` stands in the documents. A seed no document has finds nothing and is left out."""
+        chosen = []
+        for _, words in self.items:
+            codes = np.unique(np.concatenate([self.rare(words[a:b], counts) for a, b in self.settings.pieces(len(words))]))
+            chosen.append(codes[counts[np.searchsorted(self.grams, codes)] > 0])
+        flat, owner = np.concatenate([np.zeros(0, dtype=np.int64), *chosen]), np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]
+        self.seeds, first = np.unique(flat[order], return_index=True)
+        self.seed_first = np.append(first, len(flat))
+        self.chosen = chosen
+        return self
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and numbers of the seeds in a text."""
-        places, numbers = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        for n in self.widths():
-            codes = self.codes(ids, n)
-            some = np.flatnonzero(codes)
-            codes = codes[some]
-            number = np.minimum(np.searchsorted(self.seeds, codes), len(self.seeds) - 1)
-            hit = self.seeds[number] == codes
-            places.append(some[hit])
-            numbers.append(number[hit])
-        return np.concatenate(places), np.concatenate(numbers)
-
-    def needed(self, k, settings: Settings):
-        """Words whose matches an alignment with item ``k`` has to be worth."""
-        return np.minimum(settings.least * self.lengths[k], settings.run)
-
-    def possible(self, ids: np.ndarray, seeds: np.ndarray, settings: Settings) -> np.ndarray:
+        """Places and numbers of the seeds in a text, ordered by number."""
+        found = [look_up(self.seeds, self.codes(ids, n)) for n in WIDTHS]
+        places, numbers = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(numbers, kind="stable")
+        return places[order], numbers[order]
+
+    def possible(self, ids: np.ndarray, seeds: np.ndarray) -> np.ndarray:
         """Items that have one of the seeds and ``needed`` of whose words, each as often as it stands in both, are in the text.
 
         A match gives what one word of a perfect alignment gives and nothing else gives more than 0, so no other item can score enough.
@@ -124,15 +166,16 @@ class Block:
         at, sizes = spans(self.word_first, items)
         found = np.minimum(np.searchsorted(in_text, self.words[at]), len(in_text) - 1)
         both = np.where(in_text[found] == self.words[at], np.minimum(n[found], self.times[at]), 0)
-        return items[np.add.reduceat(both, np.cumsum(sizes) - sizes) >= self.needed(items, settings) - 1e-9]
+        return items[np.add.reduceat(both, np.cumsum(sizes) - sizes) >= self.settings.needed(self.lengths[items]) - 1e-9]
 
     def offsets(self, k: int, places: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Where item ``k`` would begin in a text, by each of its seeds there."""
-        words = self.items[k][1]
-        own, inverse = np.unique(self.codes(words, self.width(words)), return_inverse=True)
-        own = np.searchsorted(self.seeds, own)
-        where = {s: places[numbers == s] for s in np.intersect1d(own, numbers).tolist()}
-        found = [np.unique(where[s] - at) for at, s in enumerate(own[inverse].tolist()) if s in where]
+        found = [np.zeros(0, dtype=np.int64)]
+        for n in WIDTHS:
+            at, seed = look_up(self.chosen[k], self.codes(self.items[k][1], n))
+            seed = np.searchsorted(self.seeds, self.chosen[k][seed])
+            lo, hi = np.searchsorted(numbers, seed), np.searchsorted(numbers, seed, side="right")
+            found += [places[a:b] - i for i, a, b in zip(at.tolist(), lo.tolist(), hi.tolist())]
         return np.unique(np.concatenate(found))
 
 
@@ -172,10 +215,11 @@ def crowded(ids: np.ndarray, item: np.ndarray, width: int, needed: float) -> boo
     return (total[width:] - total[:len(total) - width]).max() >= needed - 1e-9
 
 
-def aligned(block: Block, text: str | None, settings: Settings) -> list[tuple[int, float, int]]:
+def aligned(block: Block, text: str | None) -> list[tuple[int, float, int]]:
     """(item, score, last word) of the best alignment with every item that has a seed in the text, if it scores enough.
 
-    That is ``least`` of the whole item, or for longer items ``run`` words' worth. The score stays a share of the whole item.
+    That is ``least`` of the whole item, or for longer items ``run`` words' worth, and at least ``whole`` words' worth or the whole item. The
+    score stays a share of the whole item.
     An alignment that does has at most ``reach`` words more than the item, so the stretches hold every one that passes through a seed.
     Where fewer words of a stretch are words of the item than it takes, no alignment can reach it and none is computed.
     """
@@ -184,9 +228,9 @@ def aligned(block: Block, text: str | None, settings: Settings) -> list[tuple[in
         return []
     places, numbers = block.hits(ids)
     out = []
-    for k in block.possible(ids, numbers, settings).tolist():
+    for k in block.possible(ids, numbers).tolist():
         item_id, item = block.items[k]
-        needed = float(block.needed(k, settings))
+        needed = float(block.settings.needed(len(item)))
         reach = math.ceil(MATCH * (len(item) - needed))
         best, end = 0, 0
         for lo, hi in stretches(block.offsets(k, places, numbers), len(item), reach, len(ids)):
@@ -205,12 +249,34 @@ def blocks(benchmark: DataFrame, settings: Settings):
     rows, chars = [], 0
     for r in benchmark.select("item_id", "text").where("text IS NOT NULL").toLocalIterator():
         if rows and (len(rows) >= settings.block_items or chars + len(r["text"]) > settings.block_chars):
-            yield Block.of(rows, settings.seed)
+            yield Block.of(rows, settings)
             rows, chars = [], 0
         rows.append((r["item_id"], r["text"]))
         chars += len(r["text"])
     if rows:
-        yield Block.of(rows, settings.seed)
+        yield Block.of(rows, settings)
+
+
+def frequencies(docs: DataFrame, block: Block) -> np.ndarray:
+    """How often each of the block's ``grams`` stands in all documents. A task adds up its rows in one array and sends it once."""
+    target = arrow_schema("gram bigint, n bigint")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(block.grams), dtype=np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                # a 0 after each text, so that no pair reaches over its end
+                parts = [x for text in batch.column(0).slice(at, 512).to_pylist() for x in (block.ids(text), (0,))]
+                ids = np.concatenate(parts)
+                for n in WIDTHS:
+                    total += np.bincount(look_up(block.grams, block.codes(ids, n))[1], minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], schema=target)
+
+    out = np.zeros(len(block.grams), dtype=np.int64)
+    for r in docs.select("text").mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+        out[r["gram"]] = r["n"]
+    return out
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), extra: tuple[str, ...] = ()) -> DataFrame:
@@ -222,8 +288,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     schema = f"doc_id {kinds['doc_id']}, item_id bigint, score double, last_word bigint" + "".join(f", `{c}` {kinds[c]}" for c in extra)
     found = None
     for block in blocks(benchmark, settings):
+        block.choose(frequencies(docs, block))
+
         def align(rows, block=block):
-            hits = [(i, *hit) for i, text in enumerate(rows["text"]) for hit in aligned(block, text, settings)]
+            hits = [(i, *hit) for i, text in enumerate(rows["text"]) for hit in aligned(block, text)]
             out = {"item_id": [h[1] for h in hits], "score": [h[2] for h in hits], "last_word": [h[3] for h in hits]}
             return out | {c: [rows[c][h[0]] for h in hits] for c in ("doc_id", *extra)}
 
@@ -240,15 +308,17 @@ def per_document(found: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` without the rows that hold an item; a row is judged by its own text, whatever its id.
 
-    Each block of items is one pass that tests and filters at once, so no row moves.
+    Each block of items is a pass that counts, over ``docs`` as given, and one that tests and filters at once, so no row moves.
     """
     columns = docs.columns
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
     out = docs
     for block in blocks(benchmark, settings):
+        block.choose(frequencies(docs, block))
+
         def clean(rows, block=block):
-            keep = [i for i, text in enumerate(rows["text"]) if not aligned(block, text, settings)]
+            keep = [i for i, text in enumerate(rows["text"]) if not aligned(block, text)]
             return {c: [rows[c][i] for i in keep] for c in columns}
 
         out = per_batch(out, clean, schema)

@@ -4,7 +4,9 @@ import hashlib
 import random
 import re
 import time
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -99,7 +101,6 @@ def plain_alignment(a, b):
 
 
 def test_alignment_equals_the_table():
-    import numpy as np
     rng = random.Random(1)
     for _ in range(200):
         a, b = [[rng.randint(1, 4) for _ in range(rng.randint(1, 12))] for _ in range(2)]
@@ -155,17 +156,62 @@ def test_long_runs_and_long_insertions_are_found(spark, docs):
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == {(1, 1): 0.65, (3, 2): 0.5, (4, 2): 0.12}
 
 
+def seeded(items, texts, settings=decontaminate.Settings()):
+    """A block whose seeds are chosen by plain counts over the texts."""
+    block = decontaminate.Block.of(list(enumerate(" ".join(w) for w in items)), settings)
+    counts = Counter(c for t in texts for n in decontaminate.WIDTHS for c in block.codes(block.ids(" ".join(t)), n).tolist())
+    return block.choose(np.array([counts[c] for c in block.grams.tolist()], dtype=np.int64))
+
+
 def test_leaks_equal_the_alignment_of_whole_texts():
-    rng, settings = random.Random(5), decontaminate.Settings()
-    for _ in range(150):
-        item = [rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 20))]
-        text = [w for w in item for w in ([w] if rng.random() < .8 else [w, *rng.choices("abcxyz", k=rng.randint(1, 6))] if rng.random() < .6 else [])]
+    rng = random.Random(5)
+    for k in range(250):
+        item = [rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 20))]
+        text = [w for w in item for w in ([w] if rng.random() < .7 else [w, *rng.choices("abcxyz", k=rng.randint(1, 6))] if rng.random() < .6 else [])]
         text = rng.choices("abcdefgh", k=rng.randint(0, 30)) + text + rng.choices("abcdefgh", k=rng.randint(0, 30))
-        block = decontaminate.Block.of([(1, " ".join(item))], settings.seed)
-        score = plain_alignment(item, text) / (2 * len(item))
-        shared = {tuple(item[k:k + 3]) for k in range(len(item) - 2)} & {tuple(text[k:k + 3]) for k in range(len(text) - 2)}
-        got = decontaminate.aligned(block, " ".join(text), settings)
-        assert [x[1] for x in got] == [score] * (score >= 0.6 - 1e-9 and bool(shared))
+        # common words and pairs beside it, so that the rare ones differ from case to case
+        others = [rng.choices("abcdefghijklmnop", k=40) for _ in range(k % 4)] + [item[a:a + 4] * 50 for a in range(0, len(item), 1 + k % 7)]
+        got = decontaminate.aligned(seeded([item], [text, *others]), " ".join(text))
+        score = plain_alignment(item, text) / 2
+        assert [x[1] for x in got] == [score / len(item)] * (score >= max(0.6 * len(item), min(len(item), 3)) - 1e-9)
+
+
+def test_every_sufficient_alignment_of_a_longer_item_has_a_seed():
+    """Pieces of 50 words in a row, and thin copies of the whole item, however common each of its pairs is elsewhere."""
+    rng = random.Random(6)
+    for length in (60, 84, 100, 131, 200):
+        item = [rng.choice("abcdefghijklmnopqrst") + rng.choice("xyz") for _ in range(length)]
+        common = [item[a:a + 2] * rng.randint(1, 90) for a in range(length)]
+        start = rng.randint(0, length - 50)
+        thin = [w for k, w in enumerate(item) for w in ([w, "between"] if k % 2 else [w])]
+        for text in (item[start:start + 50], thin):
+            text = ["before"] * 5 + text + ["after"] * 5
+            block = seeded([item], [text, *common])
+            assert len(block.seeds) < len({*zip(item, item[1:])} | {*item})
+            assert [x[1] for x in decontaminate.aligned(block, " ".join(text))] == [plain_alignment(item, text) / (2 * length)]
+
+
+def test_copies_without_three_adjacent_words_are_found(spark, docs):
+    """Recall on rewritten copies: a word put in after every second one, and words changed at random, beside clean documents."""
+    rng = random.Random(9)
+    words = lambda n: [f"{rng.choice('bcdfgklm')}{rng.choice('aeiou')}{rng.choice('rstx')}" for _ in range(n)]
+    items = [words(rng.randint(20, 60)) for _ in range(30)]
+    rows, planted, enough = [], set(), set()
+    for d in range(90):
+        item = items[d % 30]
+        if d < 30:
+            copy = [w for k, w in enumerate(item) for w in ([w, "indeed"] if k % 2 else [w])]
+        else:
+            copy = [w if rng.random() > 0.15 else "changed" for w in item]
+        text = words(100) + copy + words(100)
+        rows.append((d, " ".join(text)))
+        planted.add((d, d % 30))
+        enough |= {(d, k) for k in (d % 30,) if plain_alignment(items[k], text) >= 1.2 * len(items[k]) - 1e-9}
+    rows += [(1000 + d, " ".join(words(200))) for d in range(60)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs(rows), benchmark).collect()}
+    assert found & planted == enough and len(enough) >= 0.9 * len(planted)
+    assert not any(d >= 1000 for d, _ in found)
 
 
 ODD_ROWS_LIKE = [(1000 + i, *r[1:]) for i, r in enumerate(ODD_ROWS)]
@@ -185,7 +231,6 @@ def test_languages_of_held_out_texts(docs, odd, none):
 
 
 def test_kernel_scores_equal_the_unfolded_form():
-    import numpy as np
     texts, langs = ["abab abc", "abba ab", "xyz zyx", "xxy yz"], ["p", "p", "q", "q"]
     settings = language_id.FitSettings(landmarks=2)
     model = language_id.fit(texts, langs, settings)
@@ -221,7 +266,6 @@ def test_toxic_texts_are_learnt_from_positives_and_unlabelled(spark, docs, odd,
 
 
 def test_risk_falls_and_stays_non_negative_in_effect():
-    import numpy as np
     rng = np.random.default_rng(0)
     p, u = (rng.random((60, 1)) < 0.9).astype(float), (rng.random((400, 1)) < 0.2).astype(float)
     w, b = toxicity.nn_pu(p, u, 0.15, toxicity.FitSettings())
