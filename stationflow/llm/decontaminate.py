@@ -85,7 +85,8 @@ class Block:
     """Test items of one block with their words as numbers and their n-grams as codes.
 
     ``grams`` are the distinct codes in order. ``words`` and ``times`` list the distinct words of the items and how often each
-    stands in its item, cut at ``word_first``. ``choose`` sets ``seeds``, codes in order, and ``owner``, their items, cut at ``seed_first``.
+    stands in its item, cut at ``word_first``. ``choose`` sets ``seeds``, codes in order, and ``owner``, their items, cut at ``seed_first``;
+    ``held`` has the places and numbers of each item's own seeds.
     """
     items: list[tuple[int, np.ndarray]]
     vocab: dict[str, int]
@@ -144,12 +145,16 @@ class Block:
         self.owner = owner[order]
         self.seeds, first = np.unique(flat[order], return_index=True)
         self.seed_first = np.append(first, len(flat))
-        self.chosen = chosen
+        self.widths = [n for n in WIDTHS if (self.seeds % 4 == n).any()] or WIDTHS[:1]
+        self.held = []
+        for (_, words), codes in zip(self.items, chosen):
+            found = [look_up(codes, self.codes(words, n)) for n in WIDTHS]
+            self.held.append((np.concatenate([at for at, _ in found]), np.searchsorted(self.seeds, codes[np.concatenate([number for _, number in found])])))
         return self
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and numbers of the seeds in a text, ordered by number."""
-        found = [look_up(self.seeds, self.codes(ids, n)) for n in WIDTHS]
+        found = [look_up(self.seeds, self.codes(ids, n)) for n in self.widths]
         places, numbers = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(numbers, kind="stable")
         return places[order], numbers[order]
@@ -170,13 +175,10 @@ class Block:
 
     def offsets(self, k: int, places: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Where item ``k`` would begin in a text, by each of its seeds there."""
-        found = [np.zeros(0, dtype=np.int64)]
-        for n in WIDTHS:
-            at, seed = look_up(self.chosen[k], self.codes(self.items[k][1], n))
-            seed = np.searchsorted(self.seeds, self.chosen[k][seed])
-            lo, hi = np.searchsorted(numbers, seed), np.searchsorted(numbers, seed, side="right")
-            found += [places[a:b] - i for i, a, b in zip(at.tolist(), lo.tolist(), hi.tolist())]
-        return np.unique(np.concatenate(found))
+        at, seed = self.held[k]
+        lo = np.searchsorted(numbers, seed)
+        n = np.searchsorted(numbers, seed, side="right") - lo
+        return np.unique(places[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())] - np.repeat(at, n))
 
 
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -208,10 +210,10 @@ def stretches(offsets: np.ndarray, length: int, reach: int, size: int) -> list[t
     return out
 
 
-def crowded(ids: np.ndarray, item: np.ndarray, width: int, needed: float) -> bool:
-    """Whether ``needed`` of some ``width`` words in a row are words of the item."""
-    total = np.append(0, np.cumsum(np.isin(ids, item)))
-    width = min(width, len(ids))
+def crowded(member: np.ndarray, width: int, needed: float) -> bool:
+    """Whether ``needed`` of some ``width`` words in a row are words of the item, as ``member`` says."""
+    total = np.append(0, np.cumsum(member))
+    width = min(width, len(member))
     return (total[width:] - total[:len(total) - width]).max() >= needed - 1e-9
 
 
@@ -232,9 +234,12 @@ def aligned(block: Block, text: str | None) -> list[tuple[int, float, int]]:
         item_id, item = block.items[k]
         needed = float(block.settings.needed(len(item)))
         reach = math.ceil(MATCH * (len(item) - needed))
+        own = np.zeros(len(block.vocab) + 1, dtype=bool)
+        own[item] = True
+        member = own[ids]
         best, end = 0, 0
         for lo, hi in stretches(block.offsets(k, places, numbers), len(item), reach, len(ids)):
-            if not crowded(ids[lo:hi], item, len(item) + reach, needed):
+            if not crowded(member[lo:hi], len(item) + reach, needed):
                 continue
             score, at = smith_waterman(item, ids[lo:hi])
             if score > best:
