@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-OUTPUT = "site STRING, ts TIMESTAMP, value DOUBLE, nowcast DOUBLE"
+OUTPUT = "site STRING, ts TIMESTAMP, value DOUBLE, nowcast DOUBLE, late BOOLEAN"
 STATE = "start BIGINT, begun BOOLEAN, vals ARRAY<DOUBLE>"
 HOURS = 12
 #: Hours of a site kept as state: late ones are taken up as long as their whole window is among them.
@@ -37,7 +37,8 @@ def weighted_means(values: np.ndarray, first: int) -> np.ndarray:
 class NowCastProcessor(StatefulProcessor):
     """Keeps the last hours of a site as a gapless row of values; an absent hour counts as a missing value.
 
-    Of one hour that comes twice, the first value stays. Hours older than the state are passed over.
+    Of one hour that comes twice, the first value stays. Hours too old for the state are sent on as they are, marked ``late`` and
+    without a NowCast, for a batch pass to settle.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -52,14 +53,19 @@ class NowCastProcessor(StatefulProcessor):
             old = np.array([np.nan if v is None else v for v in old], dtype="float64")
         # hours whose window would reach beyond the state cannot be settled any more
         usable = hours >= (start + HOURS - 1 if begun else np.iinfo("int64").min)
-        hours, values = hours[usable], pd.to_numeric(new["value"]).to_numpy(dtype="float64")[usable]
+        values = pd.to_numeric(new["value"]).to_numpy(dtype="float64")
+        old_hours, first = np.unique(hours[~usable & ~np.isnan(values)], return_index=True)
+        if len(old_hours):
+            yield pd.DataFrame({"site": key[0], "ts": pd.to_datetime(old_hours * HOUR_NS), "value": values[~usable & ~np.isnan(values)][first],
+                                "nowcast": None, "late": True})
+        hours, values = hours[usable], values[usable]
         if len(hours):
             low = int(hours.min()) if start is None else min(start, int(hours.min()))
             high = int(hours.max()) if start is None else max(start + len(old) - 1, int(hours.max()))
             line = np.full(high - low + 1, np.nan)
             if start is not None:
                 line[start - low:start - low + len(old)] = old
-            order = np.argsort(-np.arange(len(hours)), kind="stable")  # the first of several is written last
+            order = np.lexsort((-np.arange(len(hours)), ~np.isnan(values)))  # the first value of several is written last
             fresh = np.full(len(line), np.nan)
             fresh[hours[order] - low] = values[order]
             line = np.where(np.isnan(line), fresh, line)
@@ -72,7 +78,7 @@ class NowCastProcessor(StatefulProcessor):
             at = np.flatnonzero(touched[:len(line)] & ~np.isnan(line))
             means = weighted_means(line, 0)[at]
             yield pd.DataFrame({"site": key[0], "ts": pd.to_datetime((at + low) * HOUR_NS), "value": line[at],
-                                "nowcast": [None if np.isnan(m) else float(m) for m in means]})
+                                "nowcast": [None if np.isnan(m) else float(m) for m in means], "late": False})
             drop = max(0, len(line) - KEPT)
             self._state.update((low + drop, bool(begun or drop), [None if np.isnan(v) else float(v) for v in line[drop:]]))
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import nowcast_state, times as t
+from ..operators import align, blocks, windows
+from ..session import cut_lineage
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType | str, file_glob: str | None = None,
@@ -75,7 +77,8 @@ def streaming_nowcast(hourly: DataFrame) -> DataFrame:
     """NowCast over a stream of hourly rows ``site, ts, value`` that may come in any order.
 
     Needs the RocksDB state store. A site keeps ``nowcast_state.KEPT`` hours of state, whatever its history. A late hour within
-    them sends out anew all hours whose window holds it; :func:`latest_rows` reads the last version of each.
+    them sends out anew all hours whose window holds it. One behind them is sent on marked ``late``; :func:`settled_nowcast` reads
+    the last version of each hour and settles the late ones.
     """
     return hourly.groupBy("site").transformWithStateInPandas(
         statefulProcessor=nowcast_state.NowCastProcessor(), outputStructType=nowcast_state.OUTPUT, outputMode="Append",
@@ -89,8 +92,19 @@ def append_to_table(result: DataFrame, path: str, checkpoint: str):
     return result.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest_rows(spark: SparkSession, path: str, schema: str, keys: list[str]) -> DataFrame:
-    """The last written version of every row of such a table."""
-    df = spark.read.schema(schema + ", batch INT").parquet(path)
-    rest = [c for c in df.columns if c not in (*keys, "batch")]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
+def settled_nowcast(spark: SparkSession, path: str) -> DataFrame:
+    """``site, ts, value, nowcast`` of a table of :func:`streaming_nowcast`, one row per site and hour that has a value.
+
+    The earliest batch's value of an hour wins. Sites with an hour that came too late for the state are computed again from
+    their landed rows, in blocks of time; the rows of all others are those the stream wrote last.
+    """
+    written = spark.read.schema(nowcast_state.OUTPUT + ", batch INT").parquet(path)
+    rows = written.groupBy("site", F.col("ts").cast(t.NTZ).alias("ts")).agg(
+        F.min_by("value", "batch").alias("value"), F.min_by("late", "batch").alias("late"),
+        F.max_by(F.struct("nowcast"), F.when(~F.col("late"), F.col("batch"))).alias("_last"))
+    rows = cut_lineage(rows, "nowcast-rows")
+    reopened = rows.where("late").select("site").distinct()
+    series = align.regular_calendar(rows.join(reopened, "site", "left_semi").select("site", "ts", "value"), ["site"], "ts")
+    again = blocks.with_trailing_frames(series, ["site"], t.hour_index(F.col("ts")), windows.nowcast_stages("value", name="nowcast"))
+    return rows.join(reopened, "site", "left_anti").select("site", "ts", "value", "_last.nowcast").unionByName(
+        again.where("value IS NOT NULL").select("site", "ts", "value", "nowcast"))
