@@ -8,7 +8,7 @@ from ..functions import names, times as t
 from ..operators import clean
 from ..plans import grids, series, snapshots
 from ..session import scratch_path
-from ..sinks import writers
+from ..sinks import publish, writers
 from ..sources import readers
 from .data import (
     HOURLY_USER_SQL, PAIRS_SQL, SITES_SQL, by_type, hourly_by_user, hourly_pairs, r6, round_columns, sites, table,
@@ -374,3 +374,36 @@ def daily_grid_product(spark, sf_dir):
         F.col("l_partkey").alias("lon"), F.col("l_extendedprice").alias("value"))
     first = grid.agg(F.min("ts")).scalar()
     return round_columns(grids.daily_grid(grid, ["VA", "VN"], first, 4000), ["mean"], 4)
+
+
+def _published(spark, sf_dir):
+    """Hourly rows by day in three publications: all days, the last days again with other values, one day again while the first days expire."""
+    root = scratch_path(spark, "published")
+    rows = hourly_by_user(spark, sf_dir).withColumn("date", F.to_date("ts")).repartition("date")
+    day = F.col("date")
+    publish.publish(rows, root, ["date"])
+    publish.publish(rows.where(day >= F.lit("2024-01-20").cast("date")).withColumn("value", F.col("value") + 1), root, ["date"])
+    publish.publish(rows.where(day == F.lit("2024-01-05").cast("date")).withColumn("value", F.col("value") * 2), root, ["date"],
+                    expired=day < F.lit("2024-01-04").cast("date"))
+    publish.discard(spark, root, keep=1)
+    return root, rows.schema
+
+
+_PUBLISHED_SQL = f"""WITH {HOURLY_USER_SQL}, p AS (SELECT site, ts, CAST(ts AS DATE) AS date, CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN value + 1
+  WHEN CAST(ts AS DATE) = DATE '2024-01-05' THEN value * 2 ELSE value END AS value FROM h WHERE ts >= TIMESTAMP '2024-01-04')
+"""
+
+
+@query(_PUBLISHED_SQL + "SELECT site, ts, date, R6(value) AS value FROM p")
+def published_days(spark, sf_dir):
+    """The newest publication as its manifest lists it, after older ones were discarded."""
+    root, schema = _published(spark, sf_dir)
+    return round_columns(publish.read_published(spark, root, schema), ["value"])
+
+
+@query(_PUBLISHED_SQL + """SELECT date, 'generation=' || CASE WHEN date >= DATE '2024-01-20' THEN '2' WHEN date = DATE '2024-01-05' THEN '3' ELSE '1' END
+  || '/date=' || strftime(date, '%Y-%m-%d') AS folder, count(*) AS n_rows FROM p GROUP BY date""")
+def publish_manifest(spark, sf_dir):
+    """Manifest of the same publication: each day's folder and rows."""
+    root, _ = _published(spark, sf_dir)
+    return publish.manifest(spark, root).select("date", "folder", "n_rows")

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from stationflow.sinks import writers
+from stationflow.sinks import publish, writers
 from stationflow.sources import readers
 
 
@@ -85,3 +85,37 @@ def test_snapshot_documents_in_parts(spark):
     snaps = spark.range(20).select(F.lit("2024-01-01 05:00:00").cast("timestamp_ntz").alias("forecast_hour"), F.col("id").alias("location_name"))
     docs = writers.snapshot_documents(snaps, "forecast_hour", "location_name", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), parts=3).collect()
     assert {d.file for d in docs} == {"2024-01-01_05.json"} and sum(len(json.loads(d.document)["sites"]) for d in docs) == 20
+
+
+def test_publication_by_manifest(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = lambda *r: spark.createDataFrame(r, "v long, kind string, day string")
+    first = rows((1, "a b", "d1"), (2, "x:+y", "d1"), (3, "a b", "d2"), (4, None, "d2"))
+    read = lambda g=None: sorted((r["v"], r["kind"], r["day"]) for r in publish.read_published(spark, root, first.schema, g).collect())
+    with pytest.raises(FileNotFoundError):
+        read()
+    assert publish.publish(first, root, ["kind", "day"]) == 1
+    whole = [(1, "a b", "d1"), (2, "x:+y", "d1"), (3, "a b", "d2"), (4, None, "d2")]
+    assert read() == whole
+    # a publication that died: files staged, the manifest cut off
+    rows((9, "a b", "d1")).write.partitionBy("kind", "day").parquet(f"{root}/data/generation=2")
+    assert read() == whole
+    cut = publish.manifest(spark, root).limit(1).selectExpr("*", "5L AS entries")
+    cut.write.parquet(f"{root}/manifest/generation=2")
+    assert read() == whole
+    # the next one takes its place; a partition is replaced whole, also the one with a null value
+    assert publish.publish(rows((5, "a b", "d1"), (6, "a b", "d1"), (7, None, "d2")), root, ["kind", "day"]) == 2
+    second = [(2, "x:+y", "d1"), (3, "a b", "d2"), (5, "a b", "d1"), (6, "a b", "d1"), (7, None, "d2")]
+    assert read() == second and read(1) == whole
+    assert publish.publish(first.limit(0), root, ["kind", "day"], expired=F.col("day") == "d2") == 3
+    assert read() == [r for r in second if r[2] == "d1"] and read(2) == second
+    names = [r["folder"] for r in publish.manifest(spark, root).collect()]
+    assert names == sorted(names) and publish.damaged(spark, root, first.schema, ["kind", "day"]).count() == 0
+    # only what no kept manifest lists goes; a second run finds nothing
+    gone = publish.discard(spark, root, keep=2)
+    assert len(gone) == 2 and all(f.startswith("generation=1/") for f in gone) and read() == [r for r in second if r[2] == "d1"] and read(2) == second
+    assert publish.discard(spark, root, keep=2) == []
+    rows((8, "a b", "d1")).drop("kind", "day").write.mode("append").parquet(f"{root}/data/generation=2/kind=a b/day=d1")
+    assert [r["folder"] for r in publish.damaged(spark, root, first.schema, ["kind", "day"]).collect()] == ["generation=2/kind=a b/day=d1"]
+    publish.publish(first.limit(0), root, ["kind", "day"], expired=F.lit(True))
+    assert read() == []
