@@ -154,6 +154,22 @@ def match_stations(spark, sf_dir):
     return nearest.match_stations(q, st, "customer", "asked", "station", "station_name")
 
 
+@query("""WITH q AS (SELECT DISTINCT lower(trim(split_part(p_name, ' ', 1))) AS asked FROM part UNION SELECT DISTINCT lower(substr(p_type, 1, 2)) FROM part),
+l AS (SELECT DISTINCT 1 AS kind, lower(p_type) AS label FROM part UNION SELECT DISTINCT 2, lower(p_brand) FROM part
+  UNION SELECT DISTINCT 1, lower(split_part(p_name, ' ', 1)) FROM part),
+m AS (SELECT *, CASE WHEN label = asked THEN kind WHEN contains(label, asked) THEN 3 END AS match_rank FROM q, l WHERE asked <> '' AND contains(label, asked))
+SELECT asked, kind, label, match_rank FROM m QUALIFY match_rank = min(match_rank) OVER (PARTITION BY asked)""")
+def match_names(spark, sf_dir):
+    """Distinct names against distinct labels, whatever the number of rows that have them."""
+    part = table(spark, sf_dir, "part")
+    first = F.lower(F.trim(F.split_part("p_name", F.lit(" "), F.lit(1))))
+    asked = part.select(first.alias("asked")).unionByName(part.select(F.lower(F.substring("p_type", 1, 2)).alias("asked")))
+    labels = part.select(F.inline(F.array(
+        F.struct(F.lit(1).alias("kind"), F.lower("p_type").alias("label")), F.struct(F.lit(2).alias("kind"), F.lower("p_brand").alias("label")),
+        F.struct(F.lit(1).alias("kind"), F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("label")))))
+    return nearest.match_names(asked, labels, "asked", "kind", "label")
+
+
 @query(f"""WITH {SITES_SQL}, k AS (SELECT site, lat, lon, 2 * 6371.0088 * asin(sqrt(least(1.0,
   pow(sin((radians(lat) - radians(10)) / 2), 2) + cos(radians(10)) * cos(radians(lat)) * pow(sin((radians(lon) - radians(20)) / 2), 2)))) AS km FROM sites)
 SELECT site, lat, lon, R6(km) AS distance_km FROM k WHERE km <= 6000""")

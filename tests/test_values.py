@@ -1,4 +1,6 @@
 import math
+import random
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -236,3 +238,36 @@ def test_nearest_in_a_crowded_series(spark, micros):
     targets = targets.unionByName(targets.where("id = 7")).unionByName(spark.createDataFrame([(None, None, 900), ("none", None, 901)], "site STRING, target TIMESTAMP_NTZ, id BIGINT"))
     got = asof.nearest_in_time(targets, rows, ["site"], "target", "ts", "pos", limit=300).collect()
     assert sorted((r["id"], r["pos"]) for r in got) == sorted([(i, i * 99) for i in range(200)] + [(7, 693)])
+
+
+def test_names_match_labels_as_by_brute_force(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choices("abc ", k=n)).strip()
+    names = [word(rng.randint(0, 5)) for _ in range(60)] * 3 + [None, "zzz", "x" * 300]
+    labels = [(rng.randint(1, 2), word(rng.randint(0, 12))) for _ in range(40)] * 2 + [(1, None), (2, "x" * 400), (1, "abc"), (2, "abc")]
+    got = nearest.match_names(spark.createDataFrame([(n,) for n in names], "q string"), spark.createDataFrame(labels, "k int, label string"), "q", "k", "label")
+    want = set()
+    for q in {n for n in names if n}:
+        hits = {(q, k, label, k if label == q else 3) for k, label in labels if label is not None and q in label}
+        want |= {h for h in hits if h[3] == min(h[3] for h in hits)}
+    rows = [tuple(r) for r in got.select("q", "k", "label", "match_rank").collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+    assert nearest.match_names(spark.createDataFrame([], "q string"), spark.createDataFrame(labels, "k int, label string"), "q", "k", "label").count() == 0
+
+
+def test_late_nowcast_hours_are_settled(spark, tmp_path):
+    from stationflow.streaming import feeds
+    from stationflow.functions import nowcast_state
+    hour = lambda h: datetime(2024, 1, 1) + timedelta(hours=h)
+    # batch 0: hours 20 to 35; batch 1: hour 10 comes too late, twice, and hour 25 is repeated; another site has no late hour
+    rows = [("a", hour(h), float(h), None, False, 0) for h in range(20, 36)] + [("a", hour(10), 5.0, None, True, 1), ("a", hour(25), 99.0, None, True, 1),
+            ("a", hour(10), 7.0, None, True, 2), ("b", hour(3), 4.0, 1.0, False, 0), ("b", hour(3), 4.0, 2.5, False, 1), ("b", hour(4), 4.0, None, False, 1)]
+    path = str(tmp_path / "nowcast")
+    spark.createDataFrame(rows, nowcast_state.OUTPUT + ", batch INT").write.partitionBy("batch").parquet(path)
+    got = {(r["site"], r["ts"].replace(tzinfo=None)): (r["value"], r["nowcast"]) for r in feeds.settled_nowcast(spark, path).collect()}
+    assert len(got) == 19 and got["b", hour(3)] == (4.0, 2.5) and got["b", hour(4)] == (4.0, None)
+    assert got["a", hour(10)] == (5.0, 5.0) and got["a", hour(25)][0] == 25.0
+    # hours whose window reaches into the gap have none any more
+    assert [h for h in range(20, 36) if got["a", hour(h)][1] is not None] == [31, 32, 33, 34, 35]
+    values = np.array([5.0] + [np.nan] * 9 + [float(h) for h in range(20, 36)])
+    assert got["a", hour(35)][1] == pytest.approx(nowcast_state.weighted_means(values, 0)[-1])
