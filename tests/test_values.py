@@ -103,6 +103,33 @@ def test_nearest_station_matches_brute_force(spark):
         assert got[i][0] == int(d.argmin()) and got[i][1] == pytest.approx(d.min())
 
 
+def test_remote_points_look_at_few_stations_of_a_crowded_city(spark):
+    rng = np.random.default_rng(11)
+    st = np.vstack([rng.uniform(0, 0.2, (6000, 2)) + [40, -70], np.round(rng.uniform(0, 2e-5, (40, 2)), 7) + [40.1, -69.9]])
+    remote = np.vstack([rng.uniform(-90, 90, (40, 2)) * [1, 2], [[40.1, 150.0], [-80.0, -69.9], [41.0, -69.0], [600.0, 700.0]]])
+    stations = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(st)] + [(-1, float(st[0][0]), float(st[0][1])), (-2, None, 1.0), (-3, float("nan"), 1.0)],
+                                     "station INT, lat DOUBLE, lon DOUBLE")
+    places = stations.where("lat IS NOT NULL AND NOT isnan(lat)").groupBy(F.col("lat").alias("_sa"), F.col("lon").alias("_so")).agg(F.min("station").alias("station"))
+    points = spark.createDataFrame([(float(a), float(b)) for a, b in remote], "_la DOUBLE, _lo DOUBLE")
+    seen = [r["_seen"] for r in nearest.search_tree(points, places, nearest.station_tree(places, "station"), "station").collect()]
+    assert len(seen) == len(remote) and max(seen) < 1500 and np.median(seen) < 900
+    sites = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(np.vstack([remote, st[:1], st[6000:6020]]))] + [(900, None, 0.0), (901, float("nan"), 0.0)],
+                                  "site INT, lat DOUBLE, lon DOUBLE")
+    got = {r.site: r for r in nearest.nearest_station(sites, stations, "site", "station").collect()}
+    assert set(got) == set(range(len(remote) + 21)) and got[len(remote)].station == -1
+    for i, (a, b) in enumerate(remote):
+        d = np.hypot(st[:, 0] - a, st[:, 1] - b)
+        assert got[i].distance == pytest.approx(d.min(), rel=1e-14)
+    assert nearest.nearest_station(sites, stations.where("false"), "site", "station").count() == 0
+
+
+def test_equally_near_stations_give_the_smaller_id(spark):
+    ring = [(9, 1.0, 0.0), (4, 0.0, 1.0), (7, -1.0, 0.0), (5, 0.0, -1.0)] + [(100 + i, 50.0 + i * 1e-3, 50.0) for i in range(400)]
+    stations = spark.createDataFrame(ring, "station INT, lat DOUBLE, lon DOUBLE")
+    sites = spark.createDataFrame([(1, 0.0, 0.0), (2, -0.0, 0.0)], "site INT, lat DOUBLE, lon DOUBLE")
+    assert {(r.site, r.station, r.distance) for r in nearest.nearest_station(sites, stations, "site", "station").collect()} == {(1, 4, 1.0), (2, 4, 1.0)}
+
+
 def test_station_matching_cascade(spark):
     stations = spark.createDataFrame([("S1", "Quito", 0.0, -78.0), ("S2", "Quito Norte", 0.2, -78.0), ("q7", "Lima", -12.0, -77.0)],
                                      "station STRING, label STRING, lat DOUBLE, lon DOUBLE")
