@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sinks import merge
 from ..streaming import feeds
 from .data import HOURLY_TYPE_SQL, SPINE_SQL, hourly_by_type, nowcast_sql, r6, round_columns, table
 from .registry import query
@@ -58,6 +59,40 @@ def stream_ingest(spark, sf_dir):
     return round_columns(feeds.read_readings(spark, path, "sensor", "ts").select("sensor", "ts", "value"), ["value"])
 
 
+READING = "sensor BIGINT, ts TIMESTAMP_NTZ, value DOUBLE"
+
+
+def _arrivals(spark, sf_dir):
+    """Readings as they come: the newest first, then the middle, then the oldest with repeats that have other values."""
+    rows = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("sensor"), "ts").agg(F.min("value").alias("value"))
+    first = F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    second = F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    return [rows.where(first), rows.where(~first & second), rows.where(~second).unionByName(rows.where(first).withColumn("value", F.col("value") + 1000))]
+
+
+@query("""SELECT user_id AS sensor, ts, R6(min(value)) AS value FROM events GROUP BY 1, 2""")
+def stream_merge(spark, sf_dir):
+    """Ingest merged as it is written: late rows, repeats that lose, and a checkpoint that is lost, so that everything comes again."""
+    landed, root, checkpoint = (scratch_path(spark, n) for n in ("landed", "merged", "checkpoint"))
+    for part in _arrivals(spark, sf_dir):
+        part.write.mode("append").parquet(landed)
+        source = feeds.file_stream(spark, landed, READING)
+        _finish(feeds.merge_readings(source, root, checkpoint, ["sensor"], "ts"), spark)
+    _finish(feeds.merge_readings(source, root, scratch_path(spark, "checkpoint"), ["sensor"], "ts"), spark)
+    return round_columns(merge.read_days(spark, root, source.schema), ["value"])
+
+
+@query("""SELECT user_id AS sensor, ts, R6(min(value)) AS value FROM events WHERE ts >= TIMESTAMP '2024-01-09' AND ts < TIMESTAMP '2024-01-12' GROUP BY 1, 2""")
+def merged_days(spark, sf_dir):
+    """Three days of a table that was merged in batch; only their folders are opened."""
+    root = scratch_path(spark, "merged")
+    parts = _arrivals(spark, sf_dir)
+    for part in parts:
+        merge.merge_rows(part, root, ["sensor"], "ts")
+    days = F.col(merge.DAY).between(F.lit("2024-01-09").cast("date"), F.lit("2024-01-11").cast("date"))
+    return round_columns(merge.read_days(spark, root, parts[0].schema, days), ["value"])
+
+
 def _nowcast_of(spark, parts):
     """NowCast table after one trigger for each of ``parts``, settled."""
     key, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

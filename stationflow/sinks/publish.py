@@ -89,6 +89,15 @@ def read_published(spark: SparkSession, root: str, schema: StructType, generatio
     return _read(spark, root, schema, folders).select(schema.names)
 
 
+def read_partitions(spark: SparkSession, root: str, schema: StructType, partitions: DataFrame) -> DataFrame:
+    """Rows of the newest complete generation in the partitions whose values ``partitions`` lists, null being a value too; none if nothing is published."""
+    if not _generations(spark, root):
+        return spark.createDataFrame([], schema)
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"p.{c}")) for c in partitions.columns]
+    listed = manifest(spark, root).alias("m").join(partitions.alias("p"), same, "left_semi")
+    return _read(spark, root, schema, [r["folder"] for r in listed.select("folder").collect()]).select(schema.names)
+
+
 def damaged(spark: SparkSession, root: str, schema: StructType, by: Sequence[str]) -> DataFrame:
     """Listed folders of the newest generation whose rows are not those that were published."""
     listed = manifest(spark, root)

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from ..functions import nowcast_state, times as t
 from ..operators import align, blocks, windows
 from ..session import cut_lineage
+from ..sinks import merge
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType | str, file_glob: str | None = None,
@@ -46,6 +47,16 @@ def read_readings(spark: SparkSession, path: str, sensor: str, ts: str) -> DataF
     return keep_first(spark.read.parquet(path), [sensor, ts], ["batch"]).drop("batch", "day")
 
 
+def merge_readings(stream: DataFrame, root: str, checkpoint: str, keys: list[str], ts: str, keep: int = 2):
+    """Run an ingest that merges each batch into the days it touches (:func:`merge.merge_rows`), read by :func:`merge.read_days`.
+
+    A batch that is run again, after a failure or with a lost checkpoint, changes nothing.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        merge.merge_rows(batch.withColumn(ts, F.col(ts).cast(t.NTZ)), root, keys, ts, keep)
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def windowed_mean(stream: DataFrame, keys: list[str], ts: str, value: str, size: str, slide: str | None = None,
                   delay: str = "1 hour") -> DataFrame:
     """Mean per key and time window (tumbling, or sliding with ``slide``)."""

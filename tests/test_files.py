@@ -1,10 +1,12 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from stationflow.sinks import publish, writers
+from stationflow.sinks import merge, publish, writers
 from stationflow.sources import readers
+from stationflow.streaming import feeds
 
 
 def put(path, text):
@@ -119,3 +121,45 @@ def test_publication_by_manifest(spark, tmp_path):
     assert [r["folder"] for r in publish.damaged(spark, root, first.schema, ["kind", "day"]).collect()] == ["generation=2/kind=a b/day=d1"]
     publish.publish(first.limit(0), root, ["kind", "day"], expired=F.lit(True))
     assert read() == []
+
+
+def test_merged_ingest_survives_repeats_and_a_killed_batch(spark, tmp_path, monkeypatch):
+    schema = "sensor INT, ts TIMESTAMP_NTZ, value DOUBLE"
+    day = lambda d, h=0: datetime(2024, 1, d, h)
+    parts = [[(1, day(5), 1.0), (2, day(5), 2.0), (1, day(6), 3.0), (None, day(6), 4.0)],
+             [(1, day(5), 100.0), (1, day(2), 5.0), (1, day(2), 4.5), (3, None, 6.0)],  # a repeat that loses, a late day, two at once, no time
+             [(2, day(6), 7.0), (3, None, 60.0), (None, day(6), 40.0)]]
+    want = {(1, day(5), 1.0), (2, day(5), 2.0), (1, day(6), 3.0), (None, day(6), 4.0), (1, day(2), 4.5), (3, None, 6.0), (2, day(6), 7.0)}
+    landed, root, checkpoint = (str(tmp_path / n) for n in ("landed", "merged", "checkpoint"))
+    spark.createDataFrame([], schema).write.parquet(landed)
+    stream = feeds.file_stream(spark, landed, schema)
+    rows = lambda wanted=None: merge.read_days(spark, root, stream.schema, wanted)
+
+    def trigger(at=checkpoint):
+        run = feeds.merge_readings(stream, root, at, ["sensor"], "ts")
+        run.awaitTermination()
+
+    whole, calls = publish._folders, []
+
+    def dies(*args):
+        calls.append(1)
+        raise RuntimeError("killed before the manifest")
+
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(landed)
+        if i == 1:
+            before = set(map(tuple, rows().collect()))
+            monkeypatch.setattr(publish, "_folders", dies)
+            with pytest.raises(Exception, match="killed"):
+                trigger()
+            assert calls and set(map(tuple, rows().collect())) == before  # readers see nothing of it
+            monkeypatch.setattr(publish, "_folders", whole)
+        trigger()
+    got = [tuple(r) for r in rows().collect()]
+    assert len(got) == len(want) and set(got) == want
+    trigger(str(tmp_path / "another"))  # the checkpoint is lost: all files come again as one batch
+    got = [tuple(r) for r in rows().collect()]
+    assert len(got) == len(want) and set(got) == want
+    one = rows(F.col(merge.DAY) == F.lit("2024-01-05").cast("date"))
+    assert {r.value for r in one.collect()} == {1.0, 2.0} and all("_day=2024-01-05" in f for f in one.inputFiles())
+    assert merge.merge_rows(spark.createDataFrame([], schema), root, ["sensor"], "ts") is None
