@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions import times as t
 from ..operators import aggregates, asof, clean, joins, nearest
+from ..session import scratch_path
+from ..sinks import grid_store
 from .data import (
     DAILY_MODEL_SQL, DAILY_OBS_SQL, HOURLY_TYPE_SQL, HOURLY_USER_SQL, PAIRS_SQL, SITES_SQL, by_user, daily_user,
     hourly_by_type, hourly_by_user, hourly_pairs, json_k, r6, round_columns, sites, table,
@@ -112,6 +114,30 @@ def nearest_cell(spark, sf_dir):
     return nearest.nearest_cell_series(pts, grid)
 
 
+_PLACES = """places AS (SELECT s_suppkey AS site, r_name AS region, CAST((s_suppkey * 7919) % 17989 AS DOUBLE) / 100 - 90 AS lat,
+  CAST((s_suppkey * 104729) % 35993 AS DOUBLE) / 100 - 180 AS lon FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+cells AS (SELECT site, region, CAST(floor((lat + 90) / 0.25 + 0.5) AS INT) AS r, least(CAST(floor((lon + 180) / 0.25 + 0.5) AS INT), 1439) AS c FROM places)"""
+
+
+@query(f"""WITH {_PLACES},
+grid AS (SELECT l_shipdate AS ts, r, c, l_extendedprice AS value, l_orderkey, l_linenumber FROM lineitem JOIN cells ON site = l_suppkey)
+SELECT site, ts, r * 0.25::DOUBLE - 90 AS lat, c * 0.25::DOUBLE - 180 AS lon, value, l_orderkey, l_linenumber
+FROM grid JOIN cells USING (r, c) WHERE region = 'EUROPE'""")
+def stored_grid_cells(spark, sf_dir):
+    """Series of the cells nearest to the sites of one region, from a grid of all that is stored by place. No two sites share coordinates by rule."""
+    k = F.col("l_suppkey")
+    def place(key):
+        return (((key * 7919) % 17989).cast("double") / 100 - 90).alias("lat"), (((key * 104729) % 35993).cast("double") / 100 - 180).alias("lon")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("ts"), *place(k), F.col("l_extendedprice").alias("value"), "l_orderkey", "l_linenumber")
+    grid = rows.withColumns({"lat": nearest.cell_row(F.col("lat")) * fv.GRID_STEP + fv.GRID_SOUTH, "lon": nearest.cell_col(F.col("lon")) * fv.GRID_STEP + fv.GRID_WEST})
+    path = scratch_path(spark, "grid")
+    grid_store.write_grid(grid, path, "ts")
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region").where("r_name = 'EUROPE'"), F.col("n_regionkey") == F.col("r_regionkey"))
+    suppliers = table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+    pts = suppliers.select(F.col("s_suppkey").alias("site"), *place(F.col("s_suppkey")))
+    return nearest.nearest_cell_series(pts, grid_store.read_grid(spark, path, grid.schema))
+
+
 _CUSTOMER_POINTS = """pts AS (SELECT c_custkey AS customer, CAST((c_custkey * 53) % 1800 AS DOUBLE) / 10 - 90 AS lat,
   CAST((c_custkey * 91) % 3600 AS DOUBLE) / 10 - 180 AS lon, c_name AS name FROM customer)"""
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from stationflow.functions import aqi, names, units
 from stationflow.operators import aggregates, asof, blocks, clean, evaluate, features, folds, joins, models, nearest, outliers, ranks
+from stationflow.plans import series
+from stationflow.sinks import grid_store
 
 
 @pytest.mark.parametrize("conc,want", [
@@ -145,6 +147,37 @@ def test_nearest_cell_ties_and_edges(spark):
     assert got == [(361, 721), (0, 1439), (720, 0)]
 
 
+def test_stored_grid_is_read_near_sites_only(spark, tmp_path):
+    rows = spark.range(64 * 128 * 3).select(
+        (F.floor(F.col("id") / 384) * 2.75 - 88).cast("double").alias("lat"), (F.floor(F.col("id") / 3) % 128 * 2.75 - 180).cast("double").alias("lon"),
+        F.timestamp_add("HOUR", (F.col("id") % 3).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("ts"), F.col("id").cast("double").alias("no2"))
+    path = str(tmp_path / "grid")
+    grid_store.write_grid(rows, path, "ts")
+    stored = grid_store.read_grid(spark, path, rows.schema)
+    assert stored.count() == rows.count()
+    sites = spark.createDataFrame([("a", -88.0, -180.0), ("b", -88.1, -179.95), ("c", 85.25, 169.25), ("edge", 90.0, 180.0), ("none", None, 1.0)], "site STRING, lat DOUBLE, lon DOUBLE")
+    got, want = nearest.nearest_cell_series(sites, stored), nearest.nearest_cell_series(sites, rows)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 9
+    plan = got._jdf.queryExecution().executedPlan()
+    scan = plan.toString()
+    assert "PartitionFilters" in scan and "GreaterThanOrEqual(_cell" in scan
+    cells = sites.where("lat IS NOT NULL").withColumns({"r": nearest.cell_row(F.col("lat")), "c": nearest.cell_col(F.col("lon"))})
+    near = nearest._only_near(stored, cells.select(nearest.cell_block(F.col("r"), F.col("c")).alias("_block"), nearest.cell_code(F.col("r"), F.col("c")).alias("_cell")))
+    assert len({f.split("_block=")[1].split("/")[0] for f in near.inputFiles()}) <= 1035 and near.select("_block").distinct().count() <= 3
+    model = [series.read_model([g], sites, "site", "ts") for g in (stored, rows)]
+    assert sorted(map(tuple, model[0].collect())) == sorted(map(tuple, model[1].collect()))
+
+
+def test_codes_of_cells_are_unique_and_ranges_bounded(spark):
+    every = spark.range(721 * 1440).select((F.col("id") / 1440).cast("int").alias("r"), (F.col("id") % 1440).cast("int").alias("c"))
+    coded = every.select(nearest.cell_block(F.col("r"), F.col("c")).alias("b"), nearest.cell_code(F.col("r"), F.col("c")).alias("k"))
+    out = coded.agg(F.count_distinct("k").alias("n"), F.count_distinct("b").alias("blocks"), F.max(F.abs(F.shiftright("k", 10) - F.col("b"))).alias("off")).first()
+    assert tuple(out) == (721 * 1440, 23 * 45, 0)
+    joined = nearest._ranges([(i * 100, i * 100 + (i % 7)) for i in range(300)])
+    assert len(joined) == nearest.MOST_RANGES and joined[0][0] == 0 and joined[-1][1] == 299 * 100 + 299 % 7
+    assert nearest._ranges([]) == [] and nearest._ranges([(5, 9)]) == [(5, 9)]
+
+
 def test_nearest_in_time_ties(spark):
     series = spark.sql("SELECT 'a' AS site, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts, 1 AS pos UNION ALL SELECT 'a', TIMESTAMP_NTZ'2024-01-01 02:00:00', 0")
     target = spark.sql("SELECT 'a' AS site, TIMESTAMP_NTZ'2024-01-01 01:00:00' AS target UNION ALL SELECT 'b', TIMESTAMP_NTZ'2024-01-01 01:00:00'")
