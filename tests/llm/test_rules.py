@@ -90,6 +90,28 @@ def test_shards_move_only_into_the_new_one(docs):
     assert all(r["grown_shard"] in (r["shard"], 41) for r in next_rows.values())
 
 
+@pytest.mark.parametrize("factor", [0.25, 3.0])
+def test_a_changed_weight_moves_rows_only_where_it_weighs(spark, factor):
+    tree = shards.Tree.of(40)
+    path = ("1", "0", 9)
+    assert any(p == path for p, _ in tree.weights)
+    changed = shards.Tree(tuple((p, w * factor if p == path else w) for p, w in tree.weights))
+    rows = spark.range(8000).select(F.col("id").cast("string").alias("key"))
+    both = shards.with_shard(shards.with_shard(rows, "key", tree, "old"), "key", changed, "new").collect()
+    place = {p[2]: p for p, _ in tree.weights}
+    moved = [(place[r["old"]], place[r["new"]]) for r in both if r["old"] != r["new"]]
+    assert moved
+    for old, new in moved:
+        gains, loses = (new, old) if factor > 1 else (old, new)
+        # at each level rows move only into or out of the changed branch
+        assert gains[0] == path[0]
+        assert loses[0] != path[0] or gains[1] == path[1]
+        assert loses[:2] != path[:2] or gains == path
+    share = {f: sum(r[f] == 9 for r in both) / len(both) for f in ("old", "new")}
+    total = 39 + factor
+    assert abs(share["old"] - 1 / 40) < 0.01 and abs(share["new"] - factor / total) < 0.015
+
+
 def test_slots_are_gapless_with_copies_and_odd_rows(spark, docs, monkeypatch):
     monkeypatch.setattr(shards, "BLOCK_ROWS", 16)
     df = docs([(7, "copy")] * 100 + [(None, None)] * 3 + [(i, "t") for i in range(300)] + ODD_ROWS)

@@ -81,6 +81,52 @@ def test_templates_take_optional_and_replaceable_regions():
             license_scan.compile_template(bad)
 
 
+def longest_match(parts, words, at):
+    """End of the longest way through a template from ``at``, by trying all; parts are words, (low, high) and lists that may be left out."""
+    if not parts:
+        return at
+    head, rest = parts[0], parts[1:]
+    if isinstance(head, bytes):
+        tries = [at + 1] if at < len(words) and words[at] == head else []
+        ends = [longest_match(rest, words, t) for t in tries]
+    elif isinstance(head, tuple):
+        ends = [longest_match(rest, words, at + n) for n in range(head[0], head[1] + 1) if at + n <= len(words)]
+    else:
+        ends = [longest_match(rest, words, at), longest_match([*head, *rest], words, at)]
+    return max((e for e in ends if e is not None), default=None)
+
+
+def test_automata_accept_what_trying_all_ways_accepts():
+    rng = random.Random(8)
+
+    def template(depth):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.random()
+            if kind < 0.55 or depth == 0:
+                out.append(rng.choice([b"a", b"b", b"c"]))
+            elif kind < 0.75:
+                low = rng.randint(0, 2)
+                out.append((low, low + rng.randint(0, 2)))
+            else:
+                out.append(template(depth - 1))
+        return out
+
+    def written(parts):
+        return " ".join(p.decode() if isinstance(p, bytes) else f"<<var;{p[0]}-{p[1]}>>" if isinstance(p, tuple)
+                        else f"<<beginOptional>>{written(p)}<<endOptional>>" for p in parts)
+
+    found = 0
+    for _ in range(400):
+        parts = [rng.choice([b"a", b"b"]), *template(2)]
+        words = rng.choices([b"a", b"b", b"c"], k=rng.randint(1, 9))
+        spans = license_scan.scan(b" ".join(words), (("x", written(parts)),), ())["spans"]
+        want = [(at, end, "x") for at in range(len(words)) if (end := longest_match(parts, words, at)) is not None]
+        assert spans == want, (written(parts), words)
+        found += len(want)
+    assert found > 200
+
+
 def test_licence_rows(docs, odd, none):
     texts = ["The MIT License, the mit license. Apache-License?", "General public licenses", None, "x" + " mit license" * 1000]
     rows = {r["doc_id"]: r for r in license_scan.report(license_scan.license_spans(docs(list(enumerate(texts))))).collect()}
@@ -265,6 +311,26 @@ def test_toxic_texts_are_learnt_from_positives_and_unlabelled(spark, docs, odd,
     assert all(r["score"] < 0.5 for r in toxicity.with_scores(odd, nothing).collect()) and toxicity.with_scores(none, nothing).count() == 0
 
 
+def test_first_step_follows_the_slope_of_the_stated_risk():
+    rng = np.random.default_rng(3)
+    settings = toxicity.FitSettings(rounds=1, ridge=0.0)
+    for prior, share in ((0.1, 0.3), (0.45, 0.02)):
+        p, u = (rng.random((50, 4)) < [0.9, 0.5, 0.2, 0.4]).astype(float), (rng.random((300, 4)) < [share, 0.5, 0.6, 0.4]).astype(float)
+        one = lambda x: np.hstack([x, np.ones((len(x), 1))])
+
+        def parts(w):
+            as_one, as_zero = 1 - toxicity.sigmoid(one(p) @ w), toxicity.sigmoid(one(p) @ w)
+            return prior * as_one.mean(), toxicity.sigmoid(one(u) @ w).mean() - prior * as_zero.mean()
+
+        assert parts(np.zeros(5))[1] > 0  # the corrected part counts, so the risk is the plain sum
+        slope = np.array([(sum(parts(e * 1e-6)) - sum(parts(-e * 1e-6))) / 2e-6 for e in np.eye(5)])
+        w, b = toxicity.nn_pu(p, u, prior, settings)
+        # the first step of Adam is the rate against the sign of each slope
+        steps = np.append(w, b)
+        far = np.abs(slope) > 1e-6
+        assert far.sum() >= 4 and np.allclose(steps[far], -settings.rate * np.sign(slope[far]), atol=1e-4)
+
+
 def test_risk_falls_and_stays_non_negative_in_effect():
     rng = np.random.default_rng(0)
     p, u = (rng.random((60, 1)) < 0.9).astype(float), (rng.random((400, 1)) < 0.2).astype(float)
