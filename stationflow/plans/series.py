@@ -47,9 +47,14 @@ def read_model(grids: Sequence[DataFrame], sites: DataFrame, site: str, ts: str,
     return clean.add_calendar_parts(clean.scale_fractions(out), ts)
 
 
-def sensor_ppb(df: DataFrame, site: Sequence[str], species: str, normalise: bool = False) -> DataFrame:
-    """Valid rows of one species in ppb, optionally normalised per site."""
+def sensor_ppb(df: DataFrame, site: Sequence[str], species: str, normalise: bool = False, above: float | None = None) -> DataFrame:
+    """Valid rows of one species in ppb, optionally normalised per site.
+
+    Zero is a valid value; ``above`` keeps only values greater than it, in the unit they came in.
+    """
     out = clean.valid_value(clean.equals(df, "parameter", species), "value")
+    if above is not None:
+        out = out.where(F.col("value") > above)
     out = out.withColumn("value", units.to_ppb(F.col("value"), F.col("unit"), species))
     return outliers.normalise(out, site, "value", "value") if normalise else out
 
@@ -62,15 +67,18 @@ def sensor_hourly(cached: DataFrame, new: DataFrame, sensor: str, ts: str, value
 
 
 def read_observations(spark: SparkSession, source: str, path: str, species: str, resample: int | None = None,
-                      **options) -> DataFrame:
-    """Observations of one source kind: ``csv``, ``instrument`` or ``sensor``; optionally resampled."""
+                      above: float | None = None, **options) -> DataFrame:
+    """Observations of one source kind: ``csv``, ``instrument`` or ``sensor``; optionally resampled.
+
+    ``above`` is :func:`sensor_ppb`'s.
+    """
     if source == "csv":
         out = readers.observation_csv(spark, path, species=species, **options)
     elif source == "instrument":
         out = readers.instrument_text(spark, path, species)
     elif source == "sensor":
         raw = readers.sensor_pages(spark, path, **options)
-        out = sensor_ppb(raw, ["location"], species).select("time", "value", "location")
+        out = sensor_ppb(raw, ["location"], species, above=above).select("time", "value", "location")
     else:
         raise ValueError(f"unknown source {source!r}")
     if resample:

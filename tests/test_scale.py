@@ -28,3 +28,9 @@ def test_overlay_of_several_documents_and_missing_keys(spark):
     right = spark.createDataFrame([(1, '{"a":{"y":3}}'), (None, '{"a":2}')], "key INT, doc STRING")
     got = sorted((r.key or 0, r.path, r.value) for r in joins.merge_documents(left, right, "key", "doc").collect())
     assert got == [(0, "a", "1"), (0, "a", "2"), (1, "a.x", "1"), (1, "a.x", "2"), (1, "a.y", "3"), (2, "", "{}")]
+
+
+def test_sensor_chain_leaves_zeros_out(spark, tmp_path):
+    rows = [(i, datetime(2024, 1, 1, 0, i), 2, "view", v, None) for i, v in enumerate([0.0, 4.0, 8.0, -1.0])]
+    spark.createDataFrame(rows, EVENTS).write.parquet(str(tmp_path / "events.parquet"))
+    assert [r.value for r in QUERIES["sensor_chain"](spark, str(tmp_path)).collect()] == [pytest.approx(6.0, abs=1e-5)]
