@@ -34,3 +34,12 @@ def test_sensor_chain_leaves_zeros_out(spark, tmp_path):
     rows = [(i, datetime(2024, 1, 1, 0, i), 2, "view", v, None) for i, v in enumerate([0.0, 4.0, 8.0, -1.0])]
     spark.createDataFrame(rows, EVENTS).write.parquet(str(tmp_path / "events.parquet"))
     assert [r.value for r in QUERIES["sensor_chain"](spark, str(tmp_path)).collect()] == [pytest.approx(6.0, abs=1e-5)]
+
+
+def test_nearest_in_time_broadcasts_nothing(spark):
+    from stationflow.operators import asof
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    series = spark.range(40).select((F.col("id") % 4).alias("site"), (start + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("ts"), "id")
+    targets = joins.hours_of_sites(spark.range(4).withColumnRenamed("id", "site"), start, 8).drop("offset")
+    out = asof.nearest_in_time(targets, series, ["site"], "target", "ts", "id")
+    assert "Broadcast" not in plan(out) and out.count() == 32
