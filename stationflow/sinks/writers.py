@@ -94,17 +94,31 @@ def site_documents(rows: DataFrame, sites: DataFrame, metrics: DataFrame | None,
 
 
 def documents(docs: DataFrame, path: str, site: str) -> None:
-    """Write one text file folder per site, as ``<path>/<site>=.../part``."""
+    """Write one text file folder per site, as ``<path>/<site>=.../part``.
+
+    The driver keeps track of every folder; :func:`document_lines` is the form for more than some thousands of sites.
+    """
     docs.write.mode("overwrite").partitionBy(site).text(path)
 
 
+def document_lines(docs: DataFrame, path: str, site: str) -> None:
+    """Write the documents one a line, each with its ``site`` as first field, into as many files as there are tasks."""
+    head = F.to_json(F.struct(F.col(site).cast("string").alias("site")))
+    line = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(","), F.substring("document", F.lit(2), F.length("document") - 1))
+    docs.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+HOUR_FILES = 8
+
+
 def snapshot_rows(snapshots: DataFrame, path: str, hour: str) -> None:
     """Write snapshots as one JSON line per site below ``<hour>=yyyy-MM-dd_HH``.
 
-    However many sites an hour has, its folder is written by many tasks.
+    However many sites an hour has, its folder is written by several tasks, at most ``HOUR_FILES``, whatever the number of partitions.
     """
     named = snapshots.withColumn(hour, names.hour_file(F.col(hour)))
-    named.write.mode("overwrite").partitionBy(hour).option("ignoreNullFields", False).json(path)
+    deal = F.pmod(F.xxhash64(*[c for c in snapshots.columns if c != hour]), F.lit(HOUR_FILES))
+    named.repartition(hour, deal).write.mode("overwrite").partitionBy(hour).option("ignoreNullFields", False).json(path)
 
 
 def snapshot_documents(snapshots: DataFrame, hour: str, site: str, generated: Column, parts: int = 1) -> DataFrame:

@@ -179,11 +179,13 @@ def site_options(registry: DataFrame, species: str) -> DataFrame:
         *[F.col(f"_o.{c}").alias(f"obs_options_{species}_{c}") for c in ("time_col", "val_col", "file", "time_parser", "unit")])
 
 
-def forecast_documents(spark: SparkSession, path: str, fields: dict[str, str]) -> DataFrame:
-    """Site forecast documents, one row per file, with the file stem as ``site``.
+def forecast_documents(spark: SparkSession, path: str, fields: dict[str, str], lines: bool = False) -> DataFrame:
+    """Site forecast documents, one row per file, with the file stem as ``site``; ``lines`` reads one a line, with its own ``site``.
 
     Bare ``NaN`` tokens are read as NaN and become NULL when the rows are unpacked.
     """
+    if lines:
+        return spark.read.schema(f"{schemas.document(fields)}, site STRING").json(path)
     raw = spark.read.schema(schemas.document(fields)).option("multiLine", True).json(path)
     # a folder written as site=<code>/ brings the column itself
     site = F.col("site").cast("string") if "site" in raw.columns else names.file_stem(_path())

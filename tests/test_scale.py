@@ -43,3 +43,20 @@ def test_nearest_in_time_broadcasts_nothing(spark):
     targets = joins.hours_of_sites(spark.range(4).withColumnRenamed("id", "site"), start, 8).drop("offset")
     out = asof.nearest_in_time(targets, series, ["site"], "target", "ts", "id")
     assert "Broadcast" not in plan(out) and out.count() == 32
+
+
+def test_documents_as_lines(spark, tmp_path):
+    from stationflow.sinks import writers
+    from stationflow.sources import readers
+    docs = spark.range(300).select(F.concat(F.lit('a"b/'), F.col("id")).alias("site"), F.lit('{"location":"x","forecasts":[{"time":"2024-01-01 00:00:00","no2":NaN},{"no2":2}]}').alias("document"))
+    writers.document_lines(docs.coalesce(2), str(tmp_path / "d"), "site")
+    assert len(list((tmp_path / "d").glob("part*"))) <= 2
+    rows = readers.document_rows(readers.forecast_documents(spark, str(tmp_path / "d"), {"no2": "DOUBLE"}, lines=True)).collect()
+    assert len(rows) == 600 and {r.site for r in rows} == {f'a"b/{i}' for i in range(300)} and {r.no2 for r in rows} == {None, 2.0}
+
+
+def test_snapshot_hours_have_few_files(spark, tmp_path):
+    from stationflow.sinks import writers
+    rows = spark.range(0, 2000, 1, 40).select(F.timestamp_millis(F.col("id") % 2 * 3_600_000).cast("timestamp_ntz").alias("hour"), "id")
+    writers.snapshot_rows(rows, str(tmp_path / "s"), "hour")
+    assert len(list((tmp_path / "s").glob("*/part*"))) <= 2 * writers.HOUR_FILES and spark.read.json(str(tmp_path / "s")).count() == 2000
