@@ -60,3 +60,18 @@ def test_snapshot_hours_have_few_files(spark, tmp_path):
     rows = spark.range(0, 2000, 1, 40).select(F.timestamp_millis(F.col("id") % 2 * 3_600_000).cast("timestamp_ntz").alias("hour"), "id")
     writers.snapshot_rows(rows, str(tmp_path / "s"), "hour")
     assert len(list((tmp_path / "s").glob("*/part*"))) <= 2 * writers.HOUR_FILES and spark.read.json(str(tmp_path / "s")).count() == 2000
+
+
+def test_stations_of_a_common_name_are_dealt_in_parts(spark, monkeypatch):
+    from stationflow.operators import nearest
+    monkeypatch.setattr(nearest, "PART_ROWS", 3)
+    stations = spark.createDataFrame([(i, "north" if i < 5 else "south port", 0.0, float(i)) for i in range(8)], "station INT, label STRING, lat DOUBLE, lon DOUBLE")
+    asked = [(i, "North ", 0.0, 0.0) for i in range(9)] + [(9, "port", 0.0, 0.0), (10, "?", 0.0, 6.2), (10, "?", 0.0, 6.2), (11, "north", 0.0, 0.0), (11, "7", 0.0, 0.0),
+                                                           (12, "sou", 0.0, 0.0), (12, "port", 0.0, 0.0)]
+    sites = spark.createDataFrame(asked, "site INT, asked STRING, lat DOUBLE, lon DOUBLE")
+    dealt = nearest._named(spark.createDataFrame([(i, "n") for i in range(9)], "site INT, _q STRING"),
+                           spark.createDataFrame([("n", i, 1) for i in range(5)], "_q STRING, station INT, match_rank INT"), "site", "station")
+    assert dealt.distinct().count() == dealt.count() == 45
+    got = sorted(nearest.match_stations(sites, stations, "site", "asked", "station", "label").collect())
+    want = [(s, i, 1) for s in [*range(9), 11] for i in range(5)] + [(s, i, 3) for s in (9, 12) for i in (5, 6, 7)] + [(10, 6, 4)]
+    assert [tuple(r) for r in got] == sorted(want)
