@@ -27,24 +27,32 @@ def merge_series(model: DataFrame, obs: DataFrame, site: Sequence[str], ts: str,
     return clean.time_range(align.resample_mean(merged, site, ts, values, 3600), ts, start, end)
 
 
+PLACE = "_place"
+
+
 def read_model(grids: Sequence[DataFrame], sites: DataFrame, site: str, ts: str, start=None, end=None,
                columns_wise: DataFrame | None = None) -> DataFrame:
     """Hourly model series of the cell nearest to each site.
 
     ``grids`` are stores in order of precedence, each wide by variable with ``lat, lon, <ts>``.
     ``columns_wise`` adds further variables to the first store (left values win). Names are
-    harmonised before the stores are stacked.
+    harmonised before the stores are stacked. All of that happens once for each different place: sites of one
+    cell share a series, and get it by the last join.
     """
+    at = nearest.site_places(sites.select(site, "lat", "lon"), site, PLACE)
+    places = nearest.place_cells(at, PLACE)
+
     def series(grid: DataFrame) -> DataFrame:
         grid = clean.time_range(grid, ts, start, end)
-        cells = nearest.nearest_cell_series(sites.select(site, "lat", "lon"), grid)
+        cells = nearest.nearest_cell_series(places, grid)
         return clean.harmonise_names(cells.drop("lat", "lon"))
     stores = [series(g) for g in grids]
     if columns_wise is not None:
-        stores[0] = joins.side_by_side(stores[0], series(columns_wise), [site, ts])
-    out = setops.precedence_union(stores, [site, ts]) if len(stores) > 1 else setops.keep_first(stores[0], [site, ts], [])
+        stores[0] = joins.side_by_side(stores[0], series(columns_wise), [PLACE, ts])
+    out = setops.precedence_union(stores, [PLACE, ts]) if len(stores) > 1 else setops.keep_first(stores[0], [PLACE, ts], [])
     out = clean.add_sum(out, "aod550_ss", ["aod550_sala", "aod550_salc"])
-    return clean.add_calendar_parts(clean.scale_fractions(out), ts)
+    out = clean.add_calendar_parts(clean.scale_fractions(out), ts)
+    return out.join(at, PLACE).select(site, *[c for c in out.columns if c != PLACE])
 
 
 def sensor_ppb(df: DataFrame, site: Sequence[str], species: str, normalise: bool = False, above: float | None = None) -> DataFrame:

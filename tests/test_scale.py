@@ -75,3 +75,18 @@ def test_stations_of_a_common_name_are_dealt_in_parts(spark, monkeypatch):
     got = sorted(nearest.match_stations(sites, stations, "site", "asked", "station", "label").collect())
     want = [(s, i, 1) for s in [*range(9), 11] for i in range(5)] + [(s, i, 3) for s in (9, 12) for i in (5, 6, 7)] + [(10, 6, 4)]
     assert [tuple(r) for r in got] == sorted(want)
+
+
+def test_sites_of_a_cell_share_one_series(spark):
+    from stationflow.plans import series
+    at = F.lit("2024-01-01").cast("timestamp_ntz").alias("ts")
+    grid = spark.range(2).select(at, F.lit(10.0).alias("lat"), (F.col("id") * 5.0).alias("lon"), (F.col("id") + 1.0).alias("no2"),
+                                 F.lit(0.5).alias("aod550_sala"), F.lit(1.0).alias("aod550_salc"))
+    later = grid.withColumn("no2", F.col("no2") * 10)
+    # site 3 has two places, whose rows of one time are one row; site 4 has none
+    sites = spark.createDataFrame([(0, 10.1, 0.1), (1, 10.0, 0.0), (2, 10.0, 5.0), (3, 10.0, 0.0), (3, 10.0, 5.0), (4, None, 1.0)], "site INT, lat DOUBLE, lon DOUBLE")
+    out = series.read_model([grid, later], sites, "site", "ts")
+    assert sorted((r.site, round(r.no2 / 1e9)) for r in out.collect()) == [(0, 1), (1, 1), (2, 2), (3, 1)]
+    # no row of a site is aggregated: the last step is the join with the sites
+    tail = plan(out).split("HashAggregate")[0].split("SortAggregate")[0]
+    assert "Join" in tail
