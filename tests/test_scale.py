@@ -90,3 +90,18 @@ def test_sites_of_a_cell_share_one_series(spark):
     # no row of a site is aggregated: the last step is the join with the sites
     tail = plan(out).split("HashAggregate")[0].split("SortAggregate")[0]
     assert "Join" in tail
+
+
+def test_missing_steps_are_made_as_rows_stream_by(spark):
+    from stationflow.operators import align
+    day = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 86400).cast("timestamp_ntz")
+    rows = spark.range(0, 10, 3).select(F.lit("a").alias("site"), day.alias("ts"), F.col("id").cast("double").alias("value"))
+    rows = rows.unionByName(spark.range(1).select(F.lit("b").alias("site"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(1.0).alias("value")))
+    for out, n in ((align.resample_mean(rows, ["site"], "ts", ["value"], 3 * 3600), 73), (align.resample_mean(rows, ["site"], "ts", ["value"], 5 * 86400), 2),
+                   (align.hourly_mean_gapless(rows, ["site"], "ts", ["value"], pad_hours=2), 219), (align.regular_calendar(rows, ["site"], "ts", 1800, 3600), 435)):
+        text = plan(out)
+        # rows are read once, and no step enters an aggregation, join or exchange after it was made
+        assert text.count("Range (") == 1 and "Join" not in text
+        assert text.index("Generate") < min([text.find(x) for x in ("HashAggregate", "Exchange", "Sort") if x in text])
+        assert out.count() == n and out.where("site = 'b'").count() == 0
+        assert out.selectExpr("sum(value)").first()[0] in (18.0, 1.5 + 7.5)
