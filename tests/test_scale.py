@@ -105,3 +105,14 @@ def test_missing_steps_are_made_as_rows_stream_by(spark):
         assert text.index("Generate") < min([text.find(x) for x in ("HashAggregate", "Exchange", "Sort") if x in text])
         assert out.count() == n and out.where("site = 'b'").count() == 0
         assert out.selectExpr("sum(value)").first()[0] in (18.0, 1.5 + 7.5)
+
+
+def test_merged_series_is_not_aggregated_after_its_steps_are_made(spark):
+    from stationflow.plans import series
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 7200).cast("timestamp_ntz")
+    model = spark.range(3).select(F.lit("a").alias("site"), at.alias("ts"), F.col("id").cast("double").alias("model"))
+    obs = spark.range(0, 3, 2).select(F.lit("a").alias("site"), at.alias("ts"), F.col("id").cast("double").alias("value"))
+    out = series.merge_series(model, obs, ["site"], "ts")
+    text = plan(out)
+    assert text.index("Generate") < min(text.find(x) for x in ("HashAggregate", "Exchange", "Sort") if x in text)
+    assert [(r.ts.hour, r.model, r.value) for r in out.orderBy("ts").collect()] == [(0, 0, 0), (1, None, None), (2, 1, 1), (3, None, None), (4, 2, 2)]
