@@ -89,11 +89,13 @@ def instrument_text(spark: SparkSession, path: str, species: str) -> DataFrame:
     Lines are read independently: header lines give one row per file, data lines are the ones
     that start with a time stamp, so files of any number and size split over tasks.
     """
-    lines = spark.read.option("encoding", "ISO-8859-1").text(path).select("value", _path().alias("_file"))
+    # the path is only compared, so it stays as it is
+    lines = spark.read.option("encoding", "ISO-8859-1").text(path).select("value", F.col(FILE).alias("_file"))
     found = [F.max(F.when(F.col("value").rlike(p), F.trim(F.regexp_extract("value", p, 1)))).cast(kind).alias(n)
              for n, (p, kind) in HEADER_PATTERNS.items()]
     header = lines.where(~F.col("value").rlike(DATA_LINE)).groupBy("_file").agg(*found)
-    rows = lines.where(F.col("value").rlike(DATA_LINE)).select("_file", F.split(F.trim("value"), r"\s+").alias("_c"))
+    # the columns of a line come out of a generator, so that no filter is moved before it and a line is taken apart once
+    rows = lines.where(F.col("value").rlike(DATA_LINE)).select("_file", F.explode(F.array(F.split(F.trim("value"), r"\s+"))).alias("_c"))
 
     def number(position: int) -> Column:
         return F.get("_c", F.lit(position)).try_cast("double")

@@ -116,3 +116,13 @@ def test_merged_series_is_not_aggregated_after_its_steps_are_made(spark):
     text = plan(out)
     assert text.index("Generate") < min(text.find(x) for x in ("HashAggregate", "Exchange", "Sort") if x in text)
     assert [(r.ts.hour, r.model, r.value) for r in out.orderBy("ts").collect()] == [(0, 0, 0), (1, None, None), (2, 1, 1), (3, None, None), (4, 2, 2)]
+
+
+def test_instrument_lines_are_taken_apart_once(spark, tmp_path):
+    from stationflow.sources import readers
+    head = ["Full location name: Station 1", "Location latitude [deg]: 1", "Location longitude [deg]: -10", "-" * 87]
+    line = " ".join(["20240101T000000.0Z", *["0"] * 12, "1000", "300", *["0"] * 40, "1e-9", *["0"] * 13])
+    (tmp_path / "a.txt").write_text("\n".join([*head, line, line.replace("1e-9", "-9e99")]) + "\n")
+    out = readers.instrument_text(spark, str(tmp_path), "no2")
+    assert plan(out).count("split(") == 1
+    assert [(r.time, r.lat, r.lon, r.location) for r in out.collect()] == [(datetime(2024, 1, 1), 1, -10, "Station 1")]
