@@ -126,3 +126,27 @@ def test_instrument_lines_are_taken_apart_once(spark, tmp_path):
     out = readers.instrument_text(spark, str(tmp_path), "no2")
     assert plan(out).count("split(") == 1
     assert [(r.time, r.lat, r.lon, r.location) for r in out.collect()] == [(datetime(2024, 1, 1), 1, -10, "Station 1")]
+
+
+def test_equal_phrases_are_added_up_whatever_they_are_ordered_by():
+    import numpy as np
+    from stationflow.llm import phrases
+    drawn = np.random.default_rng(5)
+    for n in (2, 3, 4):
+        codes = drawn.integers(1, 6, (n, 5000))
+        high = np.zeros(5000, dtype=np.int64)
+        for c in codes[:-1]:
+            high = high << 21 | c
+        key = phrases.order_key(n, high, codes[-1])
+        # one number for a phrase, another for any other: one pass finds each phrase once
+        assert len(np.unique(key)) == len(set(map(tuple, codes.T.tolist())))
+        counter = phrases.Counter("en", 1, 2, np.zeros((3, 1 << 16), dtype=np.uint8), 16)
+        counter.codes([f"w{i}" for i in range(1, 6)])
+        counter.gathered[n] = [(high, codes[-1], np.ones(5000, dtype=np.int64), np.ones(5000, dtype=np.int64))]
+        counter.merge(n)
+        out = counter.phrases(n)
+        want = {}
+        for row in codes.T.tolist():
+            name = " ".join(f"w{i}" for i in row)
+            want[name] = want.get(name, 0) + 1
+        assert out.num_rows == len(want) and dict(zip(out["phrase"].to_pylist(), out["c"].to_pylist())) == want
