@@ -48,3 +48,14 @@ def test_tree_queries_ask_for_full_sizes(spark, monkeypatch):
     from stationflow.catalog.modelling import SEARCH_SPACE
     drawn = tuning.draw_combinations(SEARCH_SPACE, 10)
     assert len(drawn) == 10 and max(c["maxIter"] for c in drawn) == 500 and boosting.BINS == 32
+
+
+def test_trainers_go_over_the_events_once(spark, monkeypatch):
+    from stationflow.catalog import modelling
+    from stationflow.plans import pooled
+    taken = []
+    monkeypatch.setattr(pooled, "train_from_pool", lambda pool: (None, taken.append(pool), None))
+    modelling.pooled_from_file(spark, SF_DIR)
+    for df in (*modelling._model_and_obs(spark, SF_DIR), *taken):
+        assert df.count() > 0 and not any("events.parquet" in f for f in df.inputFiles())
+    assert len(taken) == 1
