@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import times as t
-from ..operators import align
+from ..operators import align, blocks
 from ..plans import forecasts, series, sites as site_plans
 from ..session import scratch_path
 from ..sinks import writers
@@ -35,8 +35,9 @@ def merge_series(spark, sf_dir):
     """Model and observations merged, interpolated in time, made hourly, cut to a range."""
     ev = table(spark, sf_dir, "events")
     model = ev.where(F.col("event_type").isin("view", "click")).select(F.col("user_id").alias("site"), "ts", json_k(ev).alias("model"))
-    model = align.hourly_mean(model, SITE, "ts", ["model"]).withColumn("lat", F.lit(1.0))
-    out = series.merge_series(model, _gappy(spark, sf_dir), SITE, "ts", "2024-01-05", "2024-01-28")
+    tasks = blocks.task_number(ev)
+    model = align.hourly_mean(model, SITE, "ts", ["model"], tasks).withColumn("lat", F.lit(1.0))
+    out = series.merge_series(model, _gappy(spark, sf_dir, tasks), SITE, "ts", "2024-01-05", "2024-01-28")
     return round_columns(out.select("site", "ts", "model", "value"), ["model", "value"])
 
 

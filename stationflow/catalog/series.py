@@ -124,10 +124,10 @@ _GAPPY = """gappy AS (SELECT user_id AS site, date_trunc('hour', ts) AS ts,
   avg(CASE WHEN event_type = 'error' THEN value END) AS value FROM events GROUP BY 1, 2)"""
 
 
-def _gappy(spark, sf_dir):
+def _gappy(spark, sf_dir, tasks=None):
     ev = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("site"), "ts", F.when(F.col("event_type") == "error", F.col("value")).alias("value"))
-    return align.hourly_mean(ev, SITE, "ts", ["value"])
+    return align.hourly_mean(ev, SITE, "ts", ["value"], tasks)
 
 
 @query(f"""WITH {_GAPPY}, med AS (SELECT median(value) AS m FROM gappy)

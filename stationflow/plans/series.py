@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..functions import units
-from ..operators import aggregates, align, clean, joins, nearest, outliers, setops
+from ..operators import aggregates, align, blocks, clean, joins, nearest, outliers, setops
+from ..session import cut_lineage
 from ..sources import readers
 
 
@@ -16,15 +17,22 @@ def merge_series(model: DataFrame, obs: DataFrame, site: Sequence[str], ts: str,
                  blacklist: Sequence[str] = ("lat", "lon", "lev"), interpolate: bool = True) -> DataFrame:
     """Outer merge of model and observations, gaps interpolated in time, hourly means, time range.
 
-    Only rows that share a site and time meet; the first row of a duplicated time is kept.
+    Only rows that share a site and time meet; of a duplicated time each side's first row is kept. Rows without a site or time do not take part.
+    Both sides are stacked, written and meet in one aggregation, in as many tasks as they have rows for.
     """
-    model = clean.drop_listed(model, blacklist)
-    merged = model.join(obs, [*site, ts], "full")
-    values = [c for c in clean.numeric_columns(merged) if c not in (*site, ts)]
-    merged = setops.keep_first(merged.select(*site, ts, *values), [*site, ts], [])
-    if interpolate:
-        merged = align.interpolate_time(merged, site, ts, values)
-    return clean.time_range(align.resample_mean(merged, site, ts, values, 3600), ts, start, end)
+    sides = [clean.drop_listed(model, blacklist), obs]
+    values = [[c for c in clean.numeric_columns(df) if c not in (*site, ts)] for df in sides]
+    every = [c for own in values for c in own]
+    known = " AND ".join(f"`{c}` IS NOT NULL" for c in (*site, ts))
+    stacked = setops.union_all([df.where(known).select(*site, ts, F.lit(i).alias("_side"), *own) for i, (df, own) in enumerate(zip(sides, values))])
+    stacked = cut_lineage(stacked, "stacked")
+    tasks = blocks.task_number(stacked, len(every))
+
+    def meet(rows: DataFrame, keys: list[str]) -> DataFrame:
+        first = [F.min(F.when(F.col("_side") == i, F.struct(*own))).alias(f"_first{i}") for i, own in enumerate(values) if own]
+        return rows.groupBy(*keys).agg(*first).select(*keys, *[F.col(f"_first{i}.{c}").alias(c) for i, own in enumerate(values) for c in own])
+    merged = align.interpolate_time(stacked, site, ts, every, settle=meet, tasks=tasks) if interpolate else meet(stacked, [*site, ts])
+    return clean.time_range(align.resample_mean(merged, site, ts, every, 3600, tasks), ts, start, end)
 
 
 PLACE = "_place"

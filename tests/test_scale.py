@@ -118,6 +118,28 @@ def test_merged_series_is_not_aggregated_after_its_steps_are_made(spark):
     assert [(r.ts.hour, r.model, r.value) for r in out.orderBy("ts").collect()] == [(0, 0, 0), (1, None, None), (2, 1, 1), (3, None, None), (4, 2, 2)]
 
 
+def test_tasks_of_a_merged_series_follow_its_rows(spark, monkeypatch):
+    import re
+    from stationflow.operators import align, blocks
+    from stationflow.plans import series
+    monkeypatch.setattr(blocks, "TASK_POINTS", 1)
+    hour = lambda h: datetime(2024, 1, 1, h)
+    model = spark.createDataFrame([("a", hour(0), 5.0), ("a", hour(0), 3.0), ("a", hour(2), 7.0), ("b", hour(1), None), (None, hour(1), 9.0), ("a", None, 9.0)],
+                                  "site STRING, ts TIMESTAMP_NTZ, model DOUBLE")
+    obs = spark.createDataFrame([("a", hour(1), 1.0), ("a", hour(2), None), ("a", hour(2), 8.0), ("a", hour(4), 4.0), (None, hour(1), 9.0)], "site STRING, ts TIMESTAMP_NTZ, value DOUBLE")
+    out = series.merge_series(model, obs, ["site"], "ts")
+    # 8 rows of 2 values that have a site and a time: 16 tasks, whatever the session's number, and no join of one side with the other
+    text = plan(out)
+    assert set(re.findall(r"hashpartitioning\(site#\d+, (\w+)#\d+L, (\d+)\), REPARTITION_BY_NUM", text)) == {("_blk", "16"), ("_s", "16")}
+    assert "FullOuter" not in text
+    assert [(r.site, r.ts.hour, r.model, r.value) for r in out.orderBy("site", "ts").collect()] == [
+        ("a", 0, 3, None), ("a", 1, 5, 1), ("a", 2, 7, 2), ("a", 3, None, None), ("a", 4, None, 4), ("b", 1, None, None)]
+    assert [(r.ts.hour, r.model, r.value) for r in series.merge_series(model, obs, ["site"], "ts", interpolate=False).where("site = 'a'").orderBy("ts").collect()] == [
+        (0, 3, None), (1, None, 1), (2, 7, None), (3, None, None), (4, None, 4)]
+    means = align.hourly_mean(model, ["site"], "ts", ["model"], tasks=7)
+    assert means.count() == 5 and plan(means).count("Exchange") == 1 and ", 7), REPARTITION_BY_NUM" in plan(means)
+
+
 def test_instrument_lines_are_taken_apart_once(spark, tmp_path):
     from stationflow.sources import readers
     head = ["Full location name: Station 1", "Location latitude [deg]: 1", "Location longitude [deg]: -10", "-" * 87]
